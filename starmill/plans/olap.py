@@ -27,9 +27,17 @@ from starmill.functions.calendar import day_type
 from starmill.operators.joins import broadcast_if_fits
 from starmill.plans.star import Star
 
-AMOUNT = F.sum("total_amount")
-QUANTITY = F.sum("quantity")
-ORDERS = F.count_distinct("order_id")
+
+def _amount() -> Column:
+    return F.sum("total_amount")
+
+
+def _quantity() -> Column:
+    return F.sum("quantity")
+
+
+def _orders() -> Column:
+    return F.count_distinct("order_id")
 
 
 def _sales(star: Star, year: int | None = None) -> DataFrame:
@@ -53,10 +61,18 @@ def _mean(total: Column, rows: Column) -> Column:
     return total.cast("double") / rows
 
 
+def _ratio(part: Column, whole: Column) -> Column:
+    """Exact quotient to nine decimals; NULL if the divisor is zero.
+
+    Binary fractions would round ties such as 12.345 % at random.
+    """
+    return F.try_divide(part.cast("decimal(22,2)"), whole.cast("decimal(20,2)")).cast("decimal(38,9)")
+
+
 def _growth(current: str, previous: str) -> Column:
     """Change in percent; NULL without a previous value or if it was zero."""
-    now, before = F.col(current).cast("double"), F.col(previous).cast("double")
-    return F.round(F.try_divide(now - before, before) * 100, 2)
+    now, before = F.col(current), F.col(previous)
+    return F.round(_ratio(now - before, before) * 100, 2)
 
 
 def q01_top_products_daytype_monthly(star: Star, year: int, limit: int = 60) -> DataFrame:
@@ -65,7 +81,7 @@ def q01_top_products_daytype_monthly(star: Star, year: int, limit: int = 60) ->
     return (
         _dated(star, *keys, year=year)
         .groupBy(*keys, "product_id")
-        .agg(AMOUNT.alias("total_revenue"), QUANTITY.alias("total_quantity"))
+        .agg(_amount().alias("total_revenue"), _quantity().alias("total_quantity"))
         .join(star.dim_product.select("product_id", "product_category"), "product_id")
         .select(
             *keys,
@@ -83,16 +99,17 @@ def q01_top_products_daytype_monthly(star: Star, year: int, limit: int = 60) ->
 def _by_customer(star: Star) -> DataFrame:
     """One row per customer who bought something, with the customer's traits."""
     totals = star.sales.groupBy("customer_id").agg(
-        AMOUNT.alias("amount"), F.count("total_amount").alias("rows")
+        _amount().alias("amount"), F.count("total_amount").alias("rows")
     )
     return totals.join(star.dim_customer, "customer_id")
 
 
-_CUSTOMER_TOTALS = {
-    "total_purchase_amount": F.sum("amount"),
-    "customer_count": F.count("customer_id"),
-    "avg_purchase_amount": _mean(F.sum("amount"), F.sum("rows")),
-}
+def _customer_totals() -> list[Column]:
+    return [
+        F.sum("amount").alias("total_purchase_amount"),
+        F.count("customer_id").alias("customer_count"),
+        _mean(F.sum("amount"), F.sum("rows")).alias("avg_purchase_amount"),
+    ]
 
 
 def q02_demographics_city(star: Star) -> DataFrame:
@@ -100,7 +117,7 @@ def q02_demographics_city(star: Star) -> DataFrame:
     return (
         _by_customer(star)
         .groupBy(*keys)
-        .agg(*[column.alias(name) for name, column in _CUSTOMER_TOTALS.items()])
+        .agg(*_customer_totals())
         .orderBy(F.desc("total_purchase_amount"), *keys)
     )
 
@@ -116,9 +133,9 @@ def q03_category_by_occupation(star: Star) -> DataFrame:
         _with_customer_and_category(star, "occupation")
         .groupBy("occupation", "product_category")
         .agg(
-            AMOUNT.alias("total_sales"),
-            QUANTITY.alias("total_quantity"),
-            ORDERS.alias("total_orders"),
+            _amount().alias("total_sales"),
+            _quantity().alias("total_quantity"),
+            _orders().alias("total_orders"),
         )
         .orderBy("occupation", F.desc("total_sales"), "product_category")
     )
@@ -130,7 +147,7 @@ def q04_gender_age_quarterly(star: Star, year: int) -> DataFrame:
         _dated(star, "year", "quarter", year=year)
         .join(star.dim_customer.select("customer_id", "gender", "age_group"), "customer_id")
         .groupBy(*keys)
-        .agg(AMOUNT.alias("total_purchase_amount"), ORDERS.alias("total_orders"))
+        .agg(_amount().alias("total_purchase_amount"), _orders().alias("total_orders"))
         .orderBy(*keys)
     )
 
@@ -140,7 +157,7 @@ def _top_traits_by_category(star: Star, trait: str, total: str, rank: str, top:
     return (
         _with_customer_and_category(star, trait)
         .groupBy("product_category", trait)
-        .agg(AMOUNT.alias(total))
+        .agg(_amount().alias(total))
         .withColumn(rank, F.rank().over(best))
         .filter(F.col(rank) <= top)
         .orderBy("product_category", rank, trait)
@@ -157,7 +174,7 @@ def q06_city_marital_h2(star: Star, year: int) -> DataFrame:
         _dated(star, "year", "month", "month_name", year=year, where="month >= 7")
         .join(star.dim_customer.select("customer_id", "city_category", "marital_status"), "customer_id")
         .groupBy(*keys)
-        .agg(AMOUNT.alias("total_purchase_amount"), ORDERS.alias("total_orders"))
+        .agg(_amount().alias("total_purchase_amount"), _orders().alias("total_orders"))
         .orderBy("year", "month", "city_category", "marital_status")
     )
 
@@ -167,7 +184,7 @@ def q07_stay_gender_avg(star: Star) -> DataFrame:
     return (
         _by_customer(star)
         .groupBy(*keys)
-        .agg(*[column.alias(name) for name, column in _CUSTOMER_TOTALS.items()])
+        .agg(*_customer_totals())
         .orderBy(*keys)
     )
 
@@ -182,7 +199,7 @@ def q09_monthly_growth_category(star: Star, year: int) -> DataFrame:
     return (
         _dated(star, *months, year=year)
         .groupBy(*months, "product_id")
-        .agg(AMOUNT.alias("amount"))
+        .agg(_amount().alias("amount"))
         .join(star.dim_product.select("product_id", "product_category"), "product_id")
         .groupBy(*months, "product_category")
         .agg(F.sum("amount").alias("current_month_sales"))
@@ -198,10 +215,10 @@ def q10_weekend_by_age(star: Star, year: int) -> DataFrame:
         .join(star.dim_customer.select("customer_id", "age_group"), "customer_id")
         .groupBy("age_group", "is_weekend")
         .agg(
-            AMOUNT.alias("total_sales"),
-            ORDERS.alias("total_orders"),
+            _amount().alias("total_sales"),
+            _orders().alias("total_orders"),
             # per sales row, although the name says order
-            _mean(AMOUNT, F.count("total_amount")).alias("avg_order_value"),
+            _mean(_amount(), F.count("total_amount")).alias("avg_order_value"),
         )
         .orderBy("age_group", "is_weekend")
         .select(
@@ -220,7 +237,7 @@ def q11_top5_products_daytype(star: Star, year: int, top: int = 5) -> DataFrame:
     return (
         _dated(star, *periods, year=year)
         .groupBy(*periods, "product_id")
-        .agg(AMOUNT.alias("revenue"))
+        .agg(_amount().alias("revenue"))
         .join(star.dim_product.select("product_id", "product_category"), "product_id")
         .withColumn("product_rank", F.rank().over(best))
         .filter(F.col("product_rank") <= top)
@@ -242,7 +259,7 @@ def q12_store_quarterly_growth(star: Star, year: int) -> DataFrame:
     return (
         _dated(star, "quarter", year=year)
         .groupBy("store_id", "quarter")
-        .agg(AMOUNT.alias("quarterly_revenue"))
+        .agg(_amount().alias("quarterly_revenue"))
         .join(star.dim_store.select("store_id", "store_name"), "store_id")
         .withColumn("previous_quarter_revenue", F.lag("quarterly_revenue").over(in_order))
         .select(
@@ -260,7 +277,7 @@ def q12_store_quarterly_growth(star: Star, year: int) -> DataFrame:
 def q13_supplier_store_product(star: Star) -> DataFrame:
     return (
         star.sales.groupBy("store_id", "supplier_id", "product_id")
-        .agg(AMOUNT.alias("total_sales"), QUANTITY.alias("total_quantity"))
+        .agg(_amount().alias("total_sales"), _quantity().alias("total_quantity"))
         .join(star.dim_product.select("product_id", "product_category"), "product_id")
         .join(star.dim_store.select("store_id", "store_name"), "store_id")
         .join(star.dim_supplier, "supplier_id")
@@ -283,9 +300,9 @@ def q14_seasonal_products(star: Star) -> DataFrame:
         _dated(star, "season")
         .groupBy("season", "product_id")
         .agg(
-            AMOUNT.alias("total_sales"),
-            QUANTITY.alias("total_quantity"),
-            ORDERS.alias("total_orders"),
+            _amount().alias("total_sales"),
+            _quantity().alias("total_quantity"),
+            _orders().alias("total_orders"),
         )
         .join(star.dim_product.select("product_id", "product_category"), "product_id")
         .select(
@@ -305,7 +322,7 @@ def q15_store_supplier_volatility(star: Star) -> DataFrame:
     return (
         _dated(star, "year", "month")
         .groupBy("store_id", "supplier_id", "year", "month")
-        .agg(AMOUNT.alias("monthly_revenue"))
+        .agg(_amount().alias("monthly_revenue"))
         .join(star.dim_store.select("store_id", "store_name"), "store_id")
         .join(star.dim_supplier, "supplier_id")
         .withColumn("previous_month_revenue", F.lag("monthly_revenue").over(in_order))
@@ -336,7 +353,7 @@ def _rolled_up(star: Star, *measures: Column) -> DataFrame:
     leaves = (
         _dated(star, "year")
         .groupBy("year", "store_id", "supplier_id", "product_id")
-        .agg(AMOUNT.alias("amount"), QUANTITY.alias("items"))
+        .agg(_amount().alias("amount"), _quantity().alias("items"))
         .join(star.dim_product.select("product_id"), "product_id")
         .join(star.dim_store.select("store_id", "store_name"), "store_id")
         .join(star.dim_supplier, "supplier_id")
@@ -368,7 +385,7 @@ def q18_half_year_split(star: Star, year: int) -> DataFrame:
     return (
         _dated(star, "month", year=year)
         .groupBy("product_id")
-        .agg(*split, AMOUNT.alias("yearly_revenue"), QUANTITY.alias("yearly_quantity"))
+        .agg(*split, _amount().alias("yearly_revenue"), _quantity().alias("yearly_quantity"))
         .join(star.dim_product.select("product_id", "product_category"), "product_id")
         .select(
             "product_id",
@@ -387,7 +404,7 @@ def q18_half_year_split(star: Star, year: int) -> DataFrame:
 def _daily(star: Star) -> DataFrame:
     return (
         star.sales.groupBy("product_id", "date_id")
-        .agg(AMOUNT.alias("daily_sales"))
+        .agg(_amount().alias("daily_sales"))
         .join(star.dim_product.select("product_id", "product_category"), "product_id")
     )
 
@@ -423,7 +440,7 @@ def _labelled_days(star: Star) -> DataFrame:
             "date_id",
             "daily_sales",
             mean.alias("avg_daily_sales"),
-            F.round(F.try_divide(F.col("daily_sales").cast("double"), mean), 2).alias(
+            F.round(_ratio(F.col("daily_sales") * F.col("n"), F.col("total")), 2).alias(
                 "sales_multiplier"
             ),
             F.when(spike, "SPIKE/OUTLIER").otherwise("NORMAL").alias("anomaly_flag"),
@@ -458,7 +475,7 @@ def _store_quarters(star: Star) -> DataFrame:
     return (
         _dated(star, "year", "quarter")
         .groupBy("store_id", "year", "quarter")
-        .agg(AMOUNT.alias("total_sales"), QUANTITY.alias("total_qty"))
+        .agg(_amount().alias("total_sales"), _quantity().alias("total_qty"))
         .join(star.dim_store.select("store_id", "store_name"), "store_id")
         .select("store_id", "store_name", "year", "quarter", "total_sales", "total_qty")
     )

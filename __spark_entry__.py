@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import dataclasses
 import os
 import sys
 from collections.abc import Callable
@@ -37,7 +36,7 @@ def _plain(df: DataFrame) -> DataFrame:
 
 
 def _on_star(query: Callable, **parameters) -> Query:
-    return lambda spark, folder: query(sample.star(spark, folder), **parameters)
+    return lambda spark, folder: query(sample.SampleStar(spark, folder), **parameters)
 
 
 # Cleaned inputs
@@ -193,16 +192,19 @@ def stream_store_quarterly(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _star_with_gaps(spark: SparkSession, folder: str) -> Star:
-    star = sample.star(spark, folder)
-    return dataclasses.replace(
-        star,
+    star = sample.SampleStar(spark, folder)
+    return Star(
+        sales=star.sales,
+        dim_date=star.dim_date,
         dim_customer=star.dim_customer.filter("customer_id % 10 <> 9"),
+        dim_product=star.dim_product,
         dim_store=star.dim_store.filter("store_id % 5 <> 4"),
+        dim_supplier=star.dim_supplier,
     )
 
 
 def _star_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    star = sample.star(spark, folder)
+    star = sample.SampleStar(spark, folder)
     return {name: getattr(star, name) for name in tables.DIMENSIONS} | {
         "fact_sales": sample.transactions(spark, folder)
     }
@@ -219,7 +221,7 @@ def not_null_violations(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def completion_report(spark: SparkSession, folder: str) -> DataFrame:
-    star = sample.star(spark, folder)
+    star = sample.SampleStar(spark, folder)
     return quality.completion_report(
         _star_tables(spark, folder)
         | {
@@ -279,7 +281,7 @@ def _registered() -> dict[str, Query]:
         "q17_rollup": _on_star(olap.q17_rollup),
         "q17_rollup_grouping_id": _on_star(olap.q17_rollup_grouping_id),
         "q18_half_year_split": _on_star(olap.q18_half_year_split, **in_year),
-        "product_daily_stats": lambda s, d: olap.product_daily_stats(sample.star(s, d)).withColumn(
+        "product_daily_stats": lambda s, d: olap.product_daily_stats(sample.SampleStar(s, d)).withColumn(
             # the deviation's last digits depend on the order of summation
             "stddev_sales", F.round("stddev_sales", 4)
         ),

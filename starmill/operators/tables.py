@@ -8,6 +8,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from starmill import schemas
 from starmill.plans.star import Star
+from starmill.schemas import SALE_YEAR
 
 # Loading order: nothing refers to a later table.
 DIMENSIONS = {
@@ -17,8 +18,6 @@ DIMENSIONS = {
     "dim_product": schemas.DIM_PRODUCT,
     "dim_date": schemas.DIM_DATE,
 }
-# The enriched fact is stored by year of sale; see sale_year below.
-SALE_YEAR = "sale_year"
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
@@ -64,19 +63,16 @@ def append_enriched(df: DataFrame, path: str) -> None:
     )
 
 
-def read_enriched(spark: SparkSession, path: str, year: int | None = None) -> DataFrame:
-    """Enriched sales as stored; ``year`` reads that year's folder alone."""
+def read_enriched(spark: SparkSession, path: str) -> DataFrame:
+    """Enriched sales as stored, with the year their folder is named after."""
     stored = StructType([*schemas.FACT_ENRICHED, StructField(SALE_YEAR, IntegerType())])
-    rows = spark.read.schema(stored).parquet(path)
-    if year is not None:
-        rows = rows.filter(F.col(SALE_YEAR) == year)
-    return rows.drop(SALE_YEAR)
+    return spark.read.schema(stored).parquet(path)
 
 
-def stored_star(spark: SparkSession, base: str, year: int | None = None) -> Star:
+def stored_star(spark: SparkSession, base: str) -> Star:
     """The star of a loaded warehouse, its file sizes known to the planner."""
     dims = {name: read(spark, f"{base}/{name}", schema) for name, schema in DIMENSIONS.items()}
-    return Star(sales=read_enriched(spark, f"{base}/fact_sales_enriched", year), **dims)
+    return Star(sales=read_enriched(spark, f"{base}/fact_sales_enriched"), **dims)
 
 
 def create_view(df: DataFrame, name: str) -> DataFrame:

@@ -209,7 +209,7 @@ def _star(body: str) -> str:
 
 
 def _growth(cur: str, prev: str) -> str:
-    return f"CAST(round(CAST(({cur} - {prev}) / nullif({prev}, 0) AS DECIMAL(38,9)) * 100, 2) AS DOUBLE)"
+    return f"CAST(round(CAST(({cur} - {prev}) / nullif({prev}, 0) AS DECIMAL(30,9)) * 100, 2) AS DOUBLE)"
 
 
 DAILY = """,
@@ -223,7 +223,7 @@ labelled AS (
   SELECT product_id, product_category, date_id,
          CAST(amount AS DOUBLE) AS daily_sales,
          CAST(total AS DOUBLE) / n AS avg_daily_sales,
-         CAST(round(CAST(CAST(amount * n AS DOUBLE) / nullif(CAST(total AS DOUBLE), 0) AS DECIMAL(38,9)), 2) AS DOUBLE) AS sales_multiplier,
+         CAST(round(CAST(CAST(amount * n AS DOUBLE) / nullif(CAST(total AS DOUBLE), 0) AS DECIMAL(30,9)), 2) AS DOUBLE) AS sales_multiplier,
          CASE WHEN amount * n > 2 * total THEN 'SPIKE/OUTLIER' ELSE 'NORMAL' END AS anomaly_flag
   FROM daily JOIN product_mean USING (product_id))"""
 

@@ -19,7 +19,7 @@ the same; what differs is how many pairs are ever built:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmill.operators.joins import broadcast_if_fits
@@ -69,28 +69,28 @@ def _per_pair(pairs: DataFrame) -> DataFrame:
     )
 
 
-def _pairs(lines: DataFrame, chunk: int) -> DataFrame:
-    """Ordered product pairs of every basket, ``chunk`` left rows at a time."""
-    size = F.count(F.lit(1)).over(Window.partitionBy(*BASKET))
-    sized = lines.withColumn("chunks", F.ceil(size / chunk).cast("int"))
-    left = _side(
-        sized.withColumn("chunk", F.pmod(F.xxhash64("product_id"), F.col("chunks")).cast("int")),
-        1,
-        "chunk",
-    )
-    right = _side(
-        sized.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))),
-        2,
-        "chunk",
-    )
-    return left.join(right, [*BASKET, "chunk"]).filter("product1 < product2")
+def _pairs(lines: DataFrame, large: DataFrame | None = None, chunk: int = 0) -> DataFrame:
+    """Ordered product pairs of every basket.
+
+    ``large`` lists the baskets (with their ``products``) to be cut up: about
+    ``chunk`` left rows at a time meet a copy of the whole basket.
+    """
+    on = BASKET
+    left = right = lines
+    if large is not None:
+        on = [*BASKET, "chunk"]
+        chunks = F.coalesce(F.ceil(F.col("products") / chunk), F.lit(1)).cast("int")
+        sized = lines.join(large, BASKET, "left").withColumn("chunks", chunks)
+        left = sized.withColumn("chunk", F.pmod(F.xxhash64("product_id"), "chunks").cast("int"))
+        right = sized.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    return _side(left, 1, *on[2:]).join(_side(right, 2, *on[2:]), on).filter("product1 < product2")
 
 
 def _floor(lines: DataFrame, support: DataFrame, limit: int, seeds: int) -> int:
     """Customers that the last winner has at least; 1 if nothing is known."""
     best = support.orderBy(F.desc("customers"), "product_id").limit(seeds)
     seed_lines = lines.join(F.broadcast(best.select("product_id")), "product_id", "left_semi")
-    top = _per_pair(_pairs(seed_lines, seeds)).orderBy(F.desc("times")).limit(limit)
+    top = _per_pair(_pairs(seed_lines)).orderBy(F.desc("times")).limit(limit)
     found = top.agg(F.count("*").alias("pairs"), F.min("times").alias("times")).first()
     return found["times"] if found["pairs"] == limit else 1
 
@@ -109,25 +109,14 @@ def q16_product_affinity(
         frequent = support.filter(F.col("customers") >= floor).select("product_id")
         lines = lines.join(broadcast_if_fits(frequent), "product_id", "left_semi")
 
-    # The floor allows for at most floor - 1 customers to be set aside.
-    largest = (
-        lines.groupBy(*BASKET)
-        .count()
-        .filter(F.col("count") > large_basket)
-        .groupBy("customer_id")
-        .agg(F.max("count").alias("products"))
-        .orderBy(F.desc("products"), "customer_id")
-        .limit(min(floor - 1, max_looked_up))
+    large = stage(
+        lines.groupBy(*BASKET).agg(F.count("*").alias("products")).filter(F.col("products") > large_basket),
+        "affinity-large",
     )
-    aside = [row["customer_id"] for row in largest.collect()]  # at most max_looked_up ids
-    if not aside:
-        result = _per_pair(_pairs(lines, large_basket))
+    if large.isEmpty():
+        result = _per_pair(_pairs(lines))
     else:
-        is_aside = F.col("customer_id").isin(aside)
-        built = _per_pair(_pairs(lines.filter(~is_aside), large_basket)).filter(
-            F.col("times") >= floor - len(aside)
-        )
-        result = _with_looked_up(stage(built, "affinity-pairs"), lines.filter(is_aside))
+        result = _with_large(lines, large, large_basket, min(floor - 1, max_looked_up), floor)
     return (
         result.select(
             *PAIR,
@@ -139,17 +128,33 @@ def q16_product_affinity(
     )
 
 
-def _with_looked_up(built: DataFrame, lines: DataFrame) -> DataFrame:
-    """Add to the built pairs what the customers set aside bought of them."""
+def _with_large(
+    lines: DataFrame, large: DataFrame, chunk: int, set_aside: int, floor: int
+) -> DataFrame:
+    """Pairs by customers and revenue, where some baskets are large.
+
+    ``set_aside`` customers, less than ``floor``, keep their pairs unbuilt.
+    """
+    largest = (
+        large.groupBy("customer_id")
+        .agg(F.max("products").alias("products"))
+        .orderBy(F.desc("products"), "customer_id")
+        .limit(set_aside)
+    )
+    aside = [row["customer_id"] for row in largest.collect()]  # at most MAX_LOOKED_UP ids
+    is_aside = F.col("customer_id").isin(aside)
+    built = _per_pair(_pairs(lines.filter(~is_aside), large, chunk))
+    if not aside:
+        return built
+    built = stage(built.filter(F.col("times") >= floor - len(aside)), "affinity-pairs")
+    rest = lines.filter(is_aside)
     found = _per_pair(
-        built.select(*PAIR).join(_side(lines, 1), "product1").join(_side(lines, 2), [*BASKET, "product2"])
+        built.select(*PAIR).join(_side(rest, 1), "product1").join(_side(rest, 2), [*BASKET, "product2"])
     )
-    return (
-        built.join(found.withColumnsRenamed({"times": "more", "revenue": "extra"}), PAIR, "left")
-        .withColumn("times", F.col("times") + F.coalesce("more", F.lit(0)))
-        .withColumn(
-            "revenue",
-            # NULL only if neither side has a revenue
-            F.coalesce(F.col("revenue") + F.col("extra"), F.col("revenue"), F.col("extra")),
-        )
+    more = found.withColumnsRenamed({"times": "more", "revenue": "extra"})
+    return built.join(more, PAIR, "left").select(
+        *PAIR,
+        (F.col("times") + F.coalesce("more", F.lit(0))).alias("times"),
+        # NULL only if neither side has a revenue
+        F.coalesce(F.col("revenue") + F.col("extra"), "revenue", "extra").alias("revenue"),
     )

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from starmill.functions.calendar import day_type
 from starmill.operators.joins import broadcast_if_fits
 from starmill.plans.star import Star
+from starmill.schemas import SALE_YEAR
 
 
 def _amount() -> Column:
@@ -44,7 +45,10 @@ def _sales(star: Star, year: int | None = None) -> DataFrame:
     if year is None:
         return star.sales
     first, last = dt.date(year, 1, 1), dt.date(year, 12, 31)
-    return star.sales.filter(F.col("date_id").between(F.lit(first), F.lit(last)))
+    sales = star.sales.filter(F.col("date_id").between(F.lit(first), F.lit(last)))
+    if SALE_YEAR in sales.columns:
+        sales = sales.filter(F.col(SALE_YEAR) == year)
+    return sales
 
 
 def _dated(star: Star, *attributes: str, year: int | None = None, where: str = "true") -> DataFrame:
@@ -66,7 +70,7 @@ def _ratio(part: Column, whole: Column) -> Column:
 
     Binary fractions would round ties such as 12.345 % at random.
     """
-    return F.try_divide(part.cast("decimal(22,2)"), whole.cast("decimal(20,2)")).cast("decimal(38,9)")
+    return F.try_divide(part.cast("decimal(22,2)"), whole.cast("decimal(20,2)")).cast("decimal(30,9)")
 
 
 def _growth(current: str, previous: str) -> Column:

@@ -12,7 +12,8 @@ class Star:
     """Enriched sales and their dimensions.
 
     Each dimension holds its key once (operators.quality checks that). The
-    queries rely on it when they aggregate sales by key before joining.
+    queries rely on it when they aggregate sales by key before joining. They
+    only use the names below, so anything that has them will do.
     """
 
     sales: DataFrame

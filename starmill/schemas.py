@@ -130,6 +130,8 @@ FACT_ENRICHED = _columns(
     supplier_id=IntegerType(),
     total_amount=PRICE,
 )
+# Where the enriched fact is stored, it is split by this column.
+SALE_YEAR = "sale_year"
 
 # Declared keys and NOT NULL columns, checked by operators.quality.
 PRIMARY_KEYS = {

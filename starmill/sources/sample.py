@@ -6,20 +6,38 @@ plants duplicates, codes, blanks and unreadable values for the cleaning.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmill import schemas
 from starmill.operators import dimensions, enrich
-from starmill.plans.star import Star
 
 AGE_BANDS = ["0-17", "18-25", "26-35", "36-45", "46-50", "51-55", "55+"]
 CITIES = ["A", "B", "C"]
 STAYS = ["0", "1", "2", "3", "4+"]
 
 
+# Stated rather than read from the files: no footer is opened to plan a query.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def _pick(labels: list[str], key: Column) -> Column:
@@ -27,8 +45,10 @@ def _pick(labels: list[str], key: Column) -> Column:
 
 
 def _product_id(part_key: Column) -> Column:
+    # eight digits, or more where the keys need them
     digits = part_key.cast("string")
-    return F.concat(F.lit("P"), F.lpad(digits, F.greatest(F.length(digits), F.lit(8)), F.lit("0")))
+    padded = F.when(part_key < 100_000_000, F.lpad(digits, 8, "0")).otherwise(digits)
+    return F.concat(F.lit("P"), padded)
 
 
 def _order_id() -> Column:
@@ -120,27 +140,43 @@ def dates(spark: SparkSession, folder: str) -> DataFrame:
     return dimensions.dim_date(days)
 
 
-def star(spark: SparkSession, folder: str) -> Star:
-    return Star(
-        sales=sales(spark, folder),
-        dim_date=dates(spark, folder),
-        dim_customer=dimensions_unique(customers(spark, folder), schemas.DIM_CUSTOMER.names),
-        dim_product=dimensions_unique(master(spark, folder), schemas.DIM_PRODUCT.names),
-        dim_store=stores(spark, folder),
-        dim_supplier=suppliers(spark, folder),
-    )
+class SampleStar:
+    """The star of a folder; a query only plans the tables it asks for."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self._source = (spark, folder)
+
+    @functools.cached_property
+    def sales(self) -> DataFrame:
+        return sales(*self._source)
+
+    @functools.cached_property
+    def dim_date(self) -> DataFrame:
+        return dates(*self._source)
+
+    # the keys below are unique as generated, so no distinct is needed
+
+    @functools.cached_property
+    def dim_customer(self) -> DataFrame:
+        return customers(*self._source)
+
+    @functools.cached_property
+    def dim_product(self) -> DataFrame:
+        return master(*self._source).select(*schemas.DIM_PRODUCT.names)
 
+    @functools.cached_property
+    def dim_store(self) -> DataFrame:
+        return stores(*self._source)
 
-def dimensions_unique(df: DataFrame, columns: list[str]) -> DataFrame:
-    # the sample's keys are unique as generated, so no distinct is needed
-    return df.select(*columns)
+    @functools.cached_property
+    def dim_supplier(self) -> DataFrame:
+        return suppliers(*self._source)
 
 
 def line_stream(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
     """Order lines as a stream, each with its place in the files."""
-    schema = table(spark, folder, "lineitem").schema
     rows = (
-        spark.readStream.schema(schema)
+        spark.readStream.schema(TABLES["lineitem"])
         .option("maxFilesPerTrigger", files_per_batch)
         .parquet(f"{folder}/lineitem*.parquet")
     )

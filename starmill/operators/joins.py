@@ -21,7 +21,7 @@ def broadcast_if_fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFram
 
 
 def row_salt(rows: DataFrame, salts: int = SALTS) -> Column:
-    """A salt per row; equal copies differ if ``rows`` carries ``file_order``."""
+    """A salt per row; equal copies differ if ``rows`` carries ``file_place``."""
     return F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int")
 
 

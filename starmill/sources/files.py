@@ -79,4 +79,7 @@ def stream_transactions(spark: SparkSession, path: str, files_per_batch: int = 1
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(path)
     )
-    return _missing_to_null(with_file_order(rows), schemas.TRANSACTION_FILE)
+    # Streams cannot count rows. A number drawn while a split is scanned (from a
+    # fixed seed, so a repeated scan draws it again) tells equal rows apart.
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.rand(0))
+    return _missing_to_null(rows.withColumn("file_place", place), schemas.TRANSACTION_FILE)

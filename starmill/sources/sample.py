@@ -126,7 +126,7 @@ def transactions(spark: SparkSession, folder: str, lines: DataFrame | None = Non
         _product_id(F.col("l_partkey")).alias("product_id"),
         F.col("o_orderdate").cast("date").alias("date_id"),
         F.col("l_quantity").cast("int").alias("quantity"),
-        *[c for c in lines.columns if c == "file_order"],
+        *[c for c in lines.columns if c == "file_place"],
     )
 
 
@@ -180,9 +180,7 @@ def line_stream(spark: SparkSession, folder: str, files_per_batch: int = 1000) -
         .option("maxFilesPerTrigger", files_per_batch)
         .parquet(f"{folder}/lineitem*.parquet")
     )
-    return rows.withColumn(
-        "file_order", F.struct("_metadata.file_path", "_metadata.row_index")
-    )
+    return rows.withColumn("file_place", F.struct("_metadata.file_path", "_metadata.row_index"))
 
 
 # Dirty mapping, under the delivered column names
@@ -245,7 +243,8 @@ def raw_products(spark: SparkSession, folder: str) -> DataFrame:
 def raw_transactions(spark: SparkSession, folder: str, lines: DataFrame | None = None) -> DataFrame:
     """Order lines with planted faults; ``lines`` may be a stream of them."""
     lines = table(spark, folder, "lineitem") if lines is None else lines
-    order = F.col("file_order") if "file_order" in lines.columns else _line_order()
+    streamed = "file_place" in lines.columns
+    place = F.col("file_place") if streamed else _line_order().alias("file_order")
     key = F.col("l_orderkey")
     quantity = (
         F.when(key % 97 == 0, "n/a")
@@ -262,5 +261,5 @@ def raw_transactions(spark: SparkSession, folder: str, lines: DataFrame | None =
         F.when(key % 61 == 0, "not-a-date")
         .otherwise(F.col("o_orderdate").cast("date").cast("string"))
         .alias("date"),
-        order.alias("file_order"),
+        place,
     )

@@ -1,7 +1,7 @@
 """Streaming enrichment of transactions with the product master.
 
-Streams carry ``order_id, customer_id, product_id, date_id, quantity`` and,
-where the source knows it, ``file_order``. The master is written once before a
+Streams carry ``order_id, customer_id, product_id, date_id, quantity`` and
+``file_place``, which tells equal rows apart. The master is written once before a
 query starts, so a micro-batch scans it instead of computing it again.
 """
 

@@ -20,7 +20,7 @@ from starmill.operators.dedupe import keep_first
 from starmill.operators.enrich import enrich
 from starmill.plans import affinity, olap
 from starmill.plans.star import Star
-from starmill.scratch import scratch_path
+from starmill.scratch import scratch_path, stage
 from starmill.sources import files, sample
 from starmill.streaming import enrichment
 
@@ -59,7 +59,7 @@ def _rejected(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _dimensions(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    products = _products(spark, folder)
+    products = stage(_products(spark, folder), "products")  # read by three dimensions
     return {
         "dim_customer": dimensions.dim_customer(_customers(spark, folder)),
         "dim_store": dimensions.dim_store(products),

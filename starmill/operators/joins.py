@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 # Rows a hinted broadcast may have; at about 100 bytes each some 50 MB.
 BROADCAST_ROWS = 500_000
-SALTS = 32
+# A key with a third of the rows is left with a fiftieth of them per task.
+SALTS = 16
 
 
 def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from starmill import schemas
 from starmill.plans.star import Star
+from starmill.scratch import stage
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -26,8 +27,8 @@ def _dimension(star: Star, column: str) -> DataFrame:
     return getattr(star, name)
 
 
-def fk_orphans(star: Star) -> DataFrame:
-    """Fact rows per foreign key whose value no dimension row has.
+def orphan_keys(star: Star) -> DataFrame:
+    """Foreign-key values no dimension row has, with the fact rows that use them.
 
     The five keys are counted in one pass, each value folded within its task,
     so a frequent value is shuffled once per task and meets the dimension as a
@@ -49,8 +50,13 @@ def fk_orphans(star: Star) -> DataFrame:
             for key in keys
         ]
     )
-    orphans = used.join(known, ["foreign_key", "value"], "left_anti")
-    totals = orphans.agg(
+    return used.join(known, ["foreign_key", "value"], "left_anti")
+
+
+def fk_orphans(star: Star) -> DataFrame:
+    """Fact rows without a dimension row, per foreign key."""
+    keys = list(schemas.FOREIGN_KEYS)
+    totals = orphan_keys(star).agg(
         *[
             F.coalesce(F.sum(F.when(F.col("foreign_key") == key, F.col("rows"))), F.lit(0)).alias(key)
             for key in keys
@@ -91,18 +97,26 @@ def fk_set_null(star: Star) -> DataFrame:
 
     Store and supplier ids without a dimension row become NULL; a missing
     customer, product or date is flagged for the caller to refuse.
+
+    The orphan values are found first and stored. They are few as a rule, and
+    the planner sees how many: the fact is then joined with them in place,
+    where joins with five dimensions would shuffle it five times.
     """
+    orphans = stage(orphan_keys(star), "orphan-keys")
     checked = star.sales
+    flags = []
     for key, (_, policy) in schemas.FOREIGN_KEYS.items():
-        known = _dimension(star, key).select(key, F.lit(True).alias("_known"))
-        checked = checked.join(known, key, "left")
+        values = orphans.filter(F.col("foreign_key") == key).select(
+            F.col("value").cast(schemas.FACT_ENRICHED[key].dataType).alias(key),
+            F.lit(True).alias("_orphan"),
+        )
+        checked = checked.join(values, key, "left")
         if policy == "set null":
-            checked = checked.withColumn(key, F.when(F.col("_known"), F.col(key)))
+            checked = checked.withColumn(key, F.when(F.col("_orphan").isNull(), F.col(key)))
         else:
-            missing = F.col(key).isNotNull() & F.col("_known").isNull()
-            checked = checked.withColumn(key.replace("_id", "_missing"), missing.cast("int"))
-        checked = checked.drop("_known")
-    flags = [k.replace("_id", "_missing") for k, (_, p) in schemas.FOREIGN_KEYS.items() if p == "restrict"]
+            flags.append(key.replace("_id", "_missing"))
+            checked = checked.withColumn(flags[-1], F.col("_orphan").isNotNull().cast("int"))
+        checked = checked.drop("_orphan")
     return checked.select(*schemas.FACT_ENRICHED.names, *flags)
 
 

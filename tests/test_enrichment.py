@@ -72,7 +72,7 @@ def test_salted_join_is_a_join(spark, how):
     assert same_rows(salted, rows.join(lookup, "k", how).select(*salted.columns))
     # a key that holds a third of the rows is spread
     per_salt = rows.filter("k = 'hot'").groupBy(joins.row_salt(rows).alias("s")).count()
-    assert per_salt.agg(F.max("count")).first()[0] < 60
+    assert per_salt.agg(F.max("count")).first()[0] < 80
 
 
 def test_lookup_join_by_size(spark, master):

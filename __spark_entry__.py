@@ -153,9 +153,9 @@ def _target(spark: SparkSession, name: str) -> dict[str, str]:
 
 
 def stream_enrich(spark: SparkSession, folder: str) -> DataFrame:
-    return enrichment.stream_enrich(
-        _stream(spark, folder), sample.master(spark, folder), **_target(spark, "stream-enrich")
-    )
+    paths = _target(spark, "stream-enrich")
+    tables.recreate(spark, paths["target"], schemas.FACT_ENRICHED)
+    return enrichment.stream_enrich(_stream(spark, folder), sample.master(spark, folder), **paths)
 
 
 def stream_batch_counts(spark: SparkSession, folder: str) -> DataFrame:

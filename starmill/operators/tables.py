@@ -29,6 +29,11 @@ def append(df: DataFrame, path: str, schema: StructType) -> None:
     conform(df, schema).write.mode("append").parquet(path)
 
 
+def with_load_time(df: DataFrame, column: str = "load_time") -> DataFrame:
+    """Stamp rows with the time they are loaded."""
+    return df.withColumn(column, F.current_timestamp())
+
+
 def read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 

@@ -29,7 +29,11 @@ def _parquet(df: DataFrame, path: str):
 
 
 def stream_enrich(stream: DataFrame, master: DataFrame, target: str, checkpoint: str) -> DataFrame:
-    """Append enriched transactions to ``target`` until the input is used up."""
+    """Append enriched transactions to ``target`` until the input is used up.
+
+    ``tables.recreate`` first gives an empty target, so that it can be read
+    even if nothing has arrived.
+    """
     enriched = enrich(stream, stage(master, "product-master"), lookup_join)
     run_to_end(_parquet(enriched, target), checkpoint)
     return read(stream.sparkSession, target, schemas.FACT_ENRICHED)

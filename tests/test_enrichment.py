@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starmill import schemas
-from starmill.operators import enrich, joins
+from starmill.operators import enrich, joins, tables
 from starmill.scratch import scratch_path
 from starmill.sources import files, sample
 from starmill.streaming import enrichment
@@ -85,6 +85,7 @@ def test_lookup_join_by_size(spark, master):
 
 def test_stream_equals_batch_and_repeats_nothing(spark, tiny, lines):
     target, checkpoint = paths(spark)
+    tables.recreate(spark, target, schemas.FACT_ENRICHED)
     master = sample.master(spark, tiny)
     streamed = enrichment.stream_enrich(stream(spark, tiny, lines), master, target, checkpoint)
     assert same_rows(streamed, sample.sales(spark, tiny))

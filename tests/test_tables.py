@@ -117,6 +117,12 @@ def test_sales_without_a_date_are_stored(spark):
     assert stored.count() == 4
 
 
+def test_load_time_is_stamped(spark):
+    before = dt.datetime.now() - dt.timedelta(days=1)
+    row = tables.with_load_time(spark.range(1)).first()
+    assert before < row.load_time
+
+
 def test_view_preview_and_description(spark):
     view = tables.create_view(make_star(spark, SALES).dim_store, "stores_under_test")
     assert [r.store_id for r in tables.preview(view, 1).collect()] == [1]

@@ -10,10 +10,11 @@ the same; what differs is how many pairs are ever built:
 2. Counting the pairs among the best-selling products alone gives a floor: the
    winners are shared by at least that many customers. A product with fewer
    customers cannot be in a winning pair and is left out.
-3. Fewer than ``floor`` customers cannot make a winner by themselves. So the
-   pairs of the customers with the very largest baskets are not built at all:
-   each winner also turns up in somebody else's basket, and only those pairs
-   are then looked up in the large baskets.
+3. The pairs of the few customers with the very largest baskets are not built.
+   Those built from all other baskets are looked up in the large ones instead.
+   A pair missed that way belongs to the customers set aside alone; once the
+   last winner has more customers than were set aside, it cannot win. Otherwise
+   so many fewer are set aside that it holds.
 4. Other large baskets are cut into chunks that different tasks pair up.
 """
 
@@ -86,13 +87,11 @@ def _pairs(lines: DataFrame, large: DataFrame | None = None, chunk: int = 0) ->
     return _side(left, 1, *on[2:]).join(_side(right, 2, *on[2:]), on).filter("product1 < product2")
 
 
-def _floor(lines: DataFrame, support: DataFrame, limit: int, seeds: int) -> int:
-    """Customers that the last winner has at least; 1 if nothing is known."""
-    best = support.orderBy(F.desc("customers"), "product_id").limit(seeds)
-    seed_lines = lines.join(F.broadcast(best.select("product_id")), "product_id", "left_semi")
-    top = _per_pair(_pairs(seed_lines)).orderBy(F.desc("times")).limit(limit)
-    found = top.agg(F.count("*").alias("pairs"), F.min("times").alias("times")).first()
-    return found["times"] if found["pairs"] == limit else 1
+def _last_winner(pairs: DataFrame, limit: int) -> int:
+    """Customers of the last of the ``limit`` best pairs; 0 if there are fewer."""
+    best = pairs.orderBy(F.desc("times")).limit(limit)
+    found = best.agg(F.count("*").alias("pairs"), F.min("times").alias("times")).first()
+    return found["times"] if found["pairs"] == limit else 0
 
 
 def q16_product_affinity(
@@ -104,7 +103,9 @@ def q16_product_affinity(
 ) -> DataFrame:
     lines = stage(_lines(star.sales), "affinity-lines")
     support = lines.groupBy("product_id").agg(F.count_distinct("customer_id").alias("customers"))
-    floor = _floor(lines, support, limit, seeds)
+    best = support.orderBy(F.desc("customers"), "product_id").limit(seeds).select("product_id")
+    seed_lines = lines.join(F.broadcast(best), "product_id", "left_semi")
+    floor = _last_winner(_per_pair(_pairs(seed_lines)), limit)
     if floor > 1:
         frequent = support.filter(F.col("customers") >= floor).select("product_id")
         lines = lines.join(broadcast_if_fits(frequent), "product_id", "left_semi")
@@ -114,11 +115,11 @@ def q16_product_affinity(
         "affinity-large",
     )
     if large.isEmpty():
-        result = _per_pair(_pairs(lines))
+        pairs = _per_pair(_pairs(lines))
     else:
-        result = _with_large(lines, large, large_basket, min(floor - 1, max_looked_up), floor)
+        pairs = _pairs_with_large(lines, large, large_basket, limit, max_looked_up)
     return (
-        result.select(
+        pairs.select(
             *PAIR,
             F.col("times").alias("times_bought_together"),
             F.col("revenue").alias("combined_revenue"),
@@ -128,25 +129,36 @@ def q16_product_affinity(
     )
 
 
-def _with_large(
-    lines: DataFrame, large: DataFrame, chunk: int, set_aside: int, floor: int
+def _pairs_with_large(
+    lines: DataFrame, large: DataFrame, chunk: int, limit: int, max_looked_up: int
 ) -> DataFrame:
-    """Pairs by customers and revenue, where some baskets are large.
-
-    ``set_aside`` customers, less than ``floor``, keep their pairs unbuilt.
-    """
+    """Pairs that include the ``limit`` best, where some baskets are large."""
     largest = (
         large.groupBy("customer_id")
         .agg(F.max("products").alias("products"))
         .orderBy(F.desc("products"), "customer_id")
-        .limit(set_aside)
+        .limit(max_looked_up)
     )
-    aside = [row["customer_id"] for row in largest.collect()]  # at most MAX_LOOKED_UP ids
+    aside = [row["customer_id"] for row in largest.collect()]  # at most max_looked_up ids
+    while aside:
+        pairs = stage(_looked_up(lines, large, chunk, limit, aside), "affinity-pairs")
+        last = _last_winner(pairs, limit)
+        if last > len(aside):
+            return pairs
+        # Next time the same pairs are found at least, so this is the last round.
+        aside = aside[: max(last - 1, 0)]
+    return _per_pair(_pairs(lines, large, chunk))
+
+
+def _looked_up(
+    lines: DataFrame, large: DataFrame, chunk: int, limit: int, aside: list[int]
+) -> DataFrame:
+    """Pairs built without the customers ``aside``, then completed with theirs."""
     is_aside = F.col("customer_id").isin(aside)
-    built = _per_pair(_pairs(lines.filter(~is_aside), large, chunk))
-    if not aside:
-        return built
-    built = stage(built.filter(F.col("times") >= floor - len(aside)), "affinity-pairs")
+    built = stage(_per_pair(_pairs(lines.filter(~is_aside), large, chunk)), "affinity-built")
+    # Those set aside can add one customer each.
+    least = _last_winner(built, limit) - len(aside)
+    built = built.filter(F.col("times") >= least)
     rest = lines.filter(is_aside)
     found = _per_pair(
         built.select(*PAIR).join(_side(rest, 1), "product1").join(_side(rest, 2), [*BASKET, "product2"])

@@ -77,16 +77,45 @@ def test_all_ways_agree_with_all_pairs(spark, seed, parameters):
     assert run(spark, sales, **parameters) == brute_force(sales, 5)
 
 
-def test_hot_customer_is_looked_up_not_paired(spark, monkeypatch):
-    sales = random_sales(3, customers=12, items=20, hot=40)
-    paired = []
+@pytest.fixture
+def paired(monkeypatch):
+    """The customers of each call that builds pairs."""
+    calls = []
     pairs = affinity._pairs
 
     def watch(lines, *rest):
-        paired.append({r.customer_id for r in lines.select("customer_id").distinct().collect()})
+        calls.append({r.customer_id for r in lines.select("customer_id").distinct().collect()})
         return pairs(lines, *rest)
 
     monkeypatch.setattr(affinity, "_pairs", watch)
+    return calls
+
+
+def test_hot_customer_is_looked_up_not_paired(spark, paired):
+    sales = random_sales(3, customers=12, items=20, hot=40)
     assert run(spark, sales, seeds=8, large_basket=10) == brute_force(sales, 5)
     # the first call pairs best sellers only
-    assert 1000 in paired[0] and 1000 not in paired[-1]
+    assert 1000 in paired[0]
+    assert all(1000 not in call for call in paired[1:])
+
+
+def test_pairs_shared_with_the_hot_customer_alone(spark, paired):
+    """No two other customers share a pair, so the best sellers give no floor."""
+    sales = [(i, i // 2 + 1, f"p{i:02d}", "2017-01-01", 1, i) for i in range(20)]
+    sales += [(100 + i, 1000, f"p{i:02d}", "2017-01-03", 1, i) for i in range(30)]
+    assert run(spark, sales, seeds=2, large_basket=10) == brute_force(sales, 5)
+    assert all(1000 not in call for call in paired[1:])
+
+
+def test_pairs_of_the_hot_customer_are_built_if_they_can_win(spark, paired):
+    sales = [(1, 1, "p01", "2017-01-01", 1, 5), (2, 1, "p02", "2017-01-01", 1, 5)]
+    sales += [(100 + i, 1000, f"p{i:02d}", "2017-01-03", 1, i) for i in range(30)]
+    assert run(spark, sales, seeds=2, large_basket=10) == brute_force(sales, 5)
+    assert 1000 in paired[-1]
+
+
+def test_two_hot_customers_share_the_winners(spark):
+    sales = [(i, c, f"p{i:02d}", f"2017-01-0{c}", 1, i * c) for c in (1, 2) for i in range(15)]
+    sales += [(200 + i, 3, f"p{i:02d}", "2017-01-01", 1, 1) for i in range(3)]
+    assert run(spark, sales, seeds=2, large_basket=10) == brute_force(sales, 5)
+    assert run(spark, sales, limit=2, seeds=2, large_basket=10) == brute_force(sales, 2)

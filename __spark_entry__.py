@@ -154,7 +154,7 @@ def _target(spark: SparkSession, name: str) -> dict[str, str]:
 
 def stream_enrich(spark: SparkSession, folder: str) -> DataFrame:
     paths = _target(spark, "stream-enrich")
-    tables.recreate(spark, paths["target"], schemas.FACT_ENRICHED)
+    tables.recreate_enriched(spark, paths["target"])
     return enrichment.stream_enrich(_stream(spark, folder), sample.master(spark, folder), **paths)
 
 

@@ -12,8 +12,12 @@ SALTS = 16
 
 
 def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; reads no further."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Whether ``df`` has at most ``max_rows`` rows.
+
+    A plain count: each task sends one number, where a limit would send up to
+    ``max_rows`` rows per task to a single one.
+    """
+    return df.count() <= max_rows
 
 
 def broadcast_if_fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -38,9 +38,9 @@ def read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def recreate(spark: SparkSession, path: str, schema: StructType) -> None:
-    """Drop what the table held and leave it empty, with its columns."""
-    spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+def recreate(spark: SparkSession, path: str, schema: StructType, *split_by: str) -> None:
+    """Drop what the table held and leave it empty."""
+    spark.createDataFrame([], schema).write.mode("overwrite").partitionBy(*split_by).parquet(path)
 
 
 def load_dimensions(dims: dict[str, DataFrame], base: str) -> dict[str, DataFrame]:
@@ -52,6 +52,13 @@ def load_dimensions(dims: dict[str, DataFrame], base: str) -> dict[str, DataFram
     return stored
 
 
+STORED_ENRICHED = StructType([*schemas.FACT_ENRICHED, StructField(SALE_YEAR, IntegerType())])
+
+
+def with_sale_year(df: DataFrame) -> DataFrame:
+    return df.withColumn(SALE_YEAR, F.year("date_id"))
+
+
 def append_enriched(df: DataFrame, path: str) -> None:
     """Append enriched sales, one folder per year of sale.
 
@@ -59,8 +66,7 @@ def append_enriched(df: DataFrame, path: str) -> None:
     and join small ones, instead of every task writing a file for every year.
     """
     (
-        conform(df, schemas.FACT_ENRICHED)
-        .withColumn(SALE_YEAR, F.year("date_id"))
+        with_sale_year(conform(df, schemas.FACT_ENRICHED))
         .hint("rebalance", SALE_YEAR)
         .write.mode("append")
         .partitionBy(SALE_YEAR)
@@ -70,8 +76,11 @@ def append_enriched(df: DataFrame, path: str) -> None:
 
 def read_enriched(spark: SparkSession, path: str) -> DataFrame:
     """Enriched sales as stored, with the year their folder is named after."""
-    stored = StructType([*schemas.FACT_ENRICHED, StructField(SALE_YEAR, IntegerType())])
-    return spark.read.schema(stored).parquet(path)
+    return spark.read.schema(STORED_ENRICHED).parquet(path)
+
+
+def recreate_enriched(spark: SparkSession, path: str) -> None:
+    recreate(spark, path, STORED_ENRICHED, SALE_YEAR)
 
 
 def stored_star(spark: SparkSession, base: str) -> Star:

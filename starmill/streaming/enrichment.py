@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from starmill import schemas
 from starmill.operators.cleaning import coerced_transactions, fill_and_require_keys
 from starmill.operators.enrich import enrich, unmatched, with_amount
 from starmill.operators.joins import broadcast_if_fits, lookup_join, row_salt
-from starmill.operators.tables import read
+from starmill.operators.tables import read, read_enriched, with_sale_year
 from starmill.scratch import stage
 from starmill.streaming.sinks import run_to_end
 
@@ -24,25 +25,29 @@ DEDUPE_HORIZON = "7 days"
 BATCH_COUNTS = "processed bigint, joined bigint, batch_id bigint"
 
 
-def _parquet(df: DataFrame, path: str):
+def _append(df: DataFrame, path: str) -> DataStreamWriter:
     return df.writeStream.format("parquet").option("path", path).outputMode("append")
 
 
+def _append_enriched(df: DataFrame, path: str) -> DataStreamWriter:
+    return _append(with_sale_year(df), path).partitionBy(schemas.SALE_YEAR)
+
+
 def stream_enrich(stream: DataFrame, master: DataFrame, target: str, checkpoint: str) -> DataFrame:
     """Append enriched transactions to ``target`` until the input is used up.
 
-    ``tables.recreate`` first gives an empty target, so that it can be read
-    even if nothing has arrived.
+    ``tables.recreate_enriched`` first gives an empty target, so that it can be
+    read even if nothing has arrived.
     """
     enriched = enrich(stream, stage(master, "product-master"), lookup_join)
-    run_to_end(_parquet(enriched, target), checkpoint)
-    return read(stream.sparkSession, target, schemas.FACT_ENRICHED)
+    run_to_end(_append_enriched(enriched, target), checkpoint)
+    return read_enriched(stream.sparkSession, target).select(*schemas.FACT_ENRICHED.names)
 
 
 def stream_unmatched(stream: DataFrame, master: DataFrame, target: str, checkpoint: str) -> DataFrame:
     """Append the transactions the master does not know to ``target``."""
     unknown = unmatched(stream, stage(master, "product-master"), lookup_join)
-    run_to_end(_parquet(unknown, target), checkpoint)
+    run_to_end(_append(unknown, target), checkpoint)
     return read(stream.sparkSession, target, schemas.FACT_SALES)
 
 
@@ -104,8 +109,8 @@ def stream_enrich_clean(
     """
     usable = fill_and_require_keys(coerced_transactions(raw_stream)).filter("quantity > 0")
     enriched = enrich(first_arrivals(usable), stage(master, "product-master"), lookup_join)
-    run_to_end(_parquet(enriched, target), checkpoint)
-    return read(raw_stream.sparkSession, target, schemas.FACT_ENRICHED)
+    run_to_end(_append_enriched(enriched, target), checkpoint)
+    return read_enriched(raw_stream.sparkSession, target).select(*schemas.FACT_ENRICHED.names)
 
 
 def stream_store_quarterly(

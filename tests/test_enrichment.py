@@ -85,7 +85,8 @@ def test_lookup_join_by_size(spark, master):
 
 def test_stream_equals_batch_and_repeats_nothing(spark, tiny, lines):
     target, checkpoint = paths(spark)
-    tables.recreate(spark, target, schemas.FACT_ENRICHED)
+    tables.recreate_enriched(spark, target)
+    assert tables.read_enriched(spark, target).count() == 0
     master = sample.master(spark, tiny)
     streamed = enrichment.stream_enrich(stream(spark, tiny, lines), master, target, checkpoint)
     assert same_rows(streamed, sample.sales(spark, tiny))

@@ -205,8 +205,10 @@ def _star_with_gaps(spark: SparkSession, folder: str) -> Star:
 
 def _star_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     star = sample.SampleStar(spark, folder)
+    facts = sample.transactions(spark, folder)
     return {name: getattr(star, name) for name in tables.DIMENSIONS} | {
-        "fact_sales": sample.transactions(spark, folder)
+        "dim_date": dimensions.dim_date(facts),
+        "fact_sales": facts,
     }
 
 

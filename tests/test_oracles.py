@@ -31,7 +31,7 @@ def test_same_rows(spark, con, name):
 
 def test_batch_counts_cover_the_input(spark, con):
     rows = QUERIES["stream_batch_counts"](spark, FOLDER).collect()
-    lines = con.execute("select count(*) from lineitem").fetchone()[0]
+    lines = con.execute("select count(*) from lineitem").fetchall()[0][0]
     unknown = len(con.sql(SQL["stream_unmatched"]).fetchall())
     assert sum(r.processed for r in rows) == lines
     assert sum(r.joined for r in rows) == lines - unknown

@@ -19,7 +19,7 @@ from starmill.operators.tables import read, read_enriched, with_sale_year
 from starmill.scratch import stage
 from starmill.streaming.sinks import run_to_end
 
-# How long an order id is remembered after its last arrival.
+# How long an order id is remembered after its first arrival.
 DEDUPE_HORIZON = "7 days"
 
 BATCH_COUNTS = "processed bigint, joined bigint, batch_id bigint"

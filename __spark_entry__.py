@@ -24,6 +24,13 @@ from starmill.scratch import scratch_path, stage
 from starmill.sources import files, sample
 from starmill.streaming import enrichment
 
+try:
+    from starmill.llm import queries as corpus
+except ModuleNotFoundError as missing:
+    if missing.name not in ("starmill.llm", "starmill.llm.queries", "corpus_pipeline"):
+        raise
+    corpus = None
+
 YEAR = oracles.YEAR
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -305,13 +312,15 @@ def queries() -> dict[str, Query]:
     def plain(query: Query) -> Query:
         return lambda spark, folder: _plain(query(spark, folder))
 
-    return {name: plain(query) for name, query in _registered().items()}
+    made = {name: plain(query) for name, query in _registered().items()}
+    return made | corpus.queries() if corpus else made
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL giving the same rows; stream_batch_counts has none, since how
     the input falls into micro-batches is not a matter of SQL."""
-    return oracles.oracle_sql()
+    made = oracles.oracle_sql()
+    return made | corpus.oracle_sql() if corpus else made
 
 
 def entry(spark: SparkSession) -> DataFrame:

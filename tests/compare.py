@@ -38,6 +38,7 @@ TYPES = {
     "bigint": "BIGINT",
     "double": "DOUBLE",
     "date": "DATE",
+    "boolean": "BOOLEAN",
 }
 
 

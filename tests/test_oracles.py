@@ -10,8 +10,9 @@ from compare import differences, duck
 import __spark_entry__ as entry
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-SQL = entry.oracle_sql()
-QUERIES = entry.queries()
+OWN = entry._registered()
+QUERIES = {name: query for name, query in entry.queries().items() if name in OWN}
+SQL = {name: sql for name, sql in entry.oracle_sql().items() if name in OWN}
 
 
 @pytest.fixture(scope="module")

@@ -32,12 +32,12 @@ LOWER = SAME.copy()
 LOWER[65:91] += 32
 
 _TABLE = np.random.default_rng(20240607).integers(1, 1 << 64, 256, dtype=np.uint64)
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_powers = {_BASE: np.ones(1, np.uint64), _INVERSE: np.ones(1, np.uint64)}
+BASE = 0x9E3779B97F4A7C15
+INVERSE = pow(BASE, -1, 1 << 64)
+_powers = {BASE: np.ones(1, np.uint64), INVERSE: np.ones(1, np.uint64)}
 
 
-def _power(base: int, n: int) -> np.ndarray:
+def power(base: int, n: int) -> np.ndarray:
     """base ** 0 .. base ** (n - 1), modulo 2 ** 64."""
     have = _powers[base]
     while len(have) < n:
@@ -93,8 +93,8 @@ def tokens(texts: pa.Array, classes: np.ndarray = WORDS, letters: np.ndarray = S
     starts = np.flatnonzero((kind != 0) & (kind != before))
     ends = np.flatnonzero((kind != 0) & (kind != after)) + 1
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_TABLE[data] * _power(_BASE, n), out=sums[1:])
-    hashes = mix((sums[ends] - sums[starts]) * _power(_INVERSE, n)[starts] + (ends - starts).astype(np.uint64))
+    np.cumsum(_TABLE[data] * power(BASE, n), out=sums[1:])
+    hashes = mix((sums[ends] - sums[starts]) * power(INVERSE, n)[starts] + (ends - starts).astype(np.uint64))
     return Tokens(data, offsets, starts, ends, np.searchsorted(starts, offsets), hashes)
 
 
@@ -105,7 +105,7 @@ def grams(found: Tokens, size: int) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     rolled = found.hashes[:count].copy()
     for k in range(1, size):
-        rolled *= np.uint64(_BASE)
+        rolled *= np.uint64(BASE)
         rolled += found.hashes[k : k + count]
     ends = np.repeat(found.first[1:], np.diff(found.first))[:count]
     at = np.flatnonzero(np.arange(size, size + count) <= ends)

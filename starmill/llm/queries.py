@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmill.llm import line_dedup, minhash, packing
+from starmill.llm import fingerprints, langid, line_dedup, minhash, packing, pieces, quality, secrets, warc
 from starmill.llm.oracles import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_langid(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    model = langid.train(docs.filter(~F.coalesce(held_out, F.lit(False))))
+    return langid.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return pieces.select(
@@ -29,14 +36,54 @@ def op4_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"), size=4, percent=80)
 
 
+def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
+    derived = warc.derivatives(warc.responses(table(spark, folder, "pages")))
+    return derived.select(
+        "record_id", "warc_type", "target_uri", "refers_to", "content_type", "payload_digest", "block_digest",
+        "content_length", F.col("headers")["X-Source-Payload-Digest"].alias("source_digest"),
+        F.col("headers")["X-Source-Content-Type"].alias("source_content_type"),
+        F.when(F.col("warc_type") == "conversion", F.col("block").cast("string")).alias("text"),
+    )
+
+
+def op6_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    best = pieces.encode(docs, model, n=2).withColumn("n_pieces", F.size("ids"))
+    back = pieces.decode(best, model)
+    return back.select("doc_id", "rank", "score", "n_pieces", F.crc32(F.col("text").cast("binary")).alias("text_crc32"))
+
+
+def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = secrets.findings(docs, secrets.context(docs))
+    forest = secrets.train(found.filter("label is not null"))
+    return secrets.score(found, forest)
+
+
+def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
+    rated, _ = quality.assess(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return rated
+
+
+def op9_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.with_next(table(spark, folder, "documents"))
+
+
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.drop_lines(table(spark, folder, "documents")).select("doc_id", "source", "text")
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_langid": op1_langid,
         "op3_packing": op3_packing,
         "op4_minhash": op4_minhash,
+        "op5_warc": op5_warc,
+        "op6_pieces": op6_pieces,
+        "op7_secrets": op7_secrets,
+        "op8_quality": op8_quality,
+        "op9_fingerprints": op9_fingerprints,
         "op10_line_dedup": op10_line_dedup,
     }
 

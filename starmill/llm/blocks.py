@@ -103,10 +103,16 @@ def grams(found: Tokens, size: int) -> tuple[np.ndarray, np.ndarray]:
     count = len(found.hashes) - size + 1
     if count <= 0:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    rolled = found.hashes[:count].copy()
-    for k in range(1, size):
-        rolled *= np.uint64(BASE)
-        rolled += found.hashes[k : k + count]
+    if size <= 8:
+        rolled = found.hashes[:count].copy()
+        for k in range(1, size):
+            rolled *= np.uint64(BASE)
+            rolled += found.hashes[k : k + count]
+    else:
+        n = len(found.hashes)
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(found.hashes * power(INVERSE, n), out=sums[1:])
+        rolled = (sums[size:] - sums[:count]) * power(BASE, n + 1)[size : n + 1]
     ends = np.repeat(found.first[1:], np.diff(found.first))[:count]
     at = np.flatnonzero(np.arange(size, size + count) <= ends)
     return mix(rolled[at] + np.uint64(size)), at

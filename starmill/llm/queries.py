@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmill.llm import fingerprints, langid, line_dedup, minhash, packing, pieces, quality, secrets, warc
+from starmill.llm import fingerprints, langid, line_dedup, minhash, packing, pieces, quality, secrets, suffixes, warc
 from starmill.llm.oracles import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,10 @@ def op1_langid(spark: SparkSession, folder: str) -> DataFrame:
     return langid.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op2_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.repeated_spans(table(spark, folder, "documents"))
+
+
 def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return pieces.select(
@@ -77,6 +81,7 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_langid": op1_langid,
+        "op2_suffixes": op2_suffixes,
         "op3_packing": op3_packing,
         "op4_minhash": op4_minhash,
         "op5_warc": op5_warc,

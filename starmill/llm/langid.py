@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from starmill.llm import blocks
 from starmill.scratch import stage
@@ -197,3 +198,22 @@ def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "
         return [block.column("doc_id"), pa.array([n for n, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())]
 
     return blocks.map_texts(docs, work, "doc_id bigint, lang_pred string, score double", doc_id=doc_id, text=text)
+
+
+def annotate(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """``docs`` with columns ``lang_pred`` and ``score`` (replaced where they exist); no row moves."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # of bounded size
+    rest = docs.drop("lang_pred", "score")
+    place = rest.columns.index(text)
+    scorer: list[Scorer] = []
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not scorer:
+            scorer.append(Scorer(shared.value))
+        for batch in batches:
+            found = [scorer[0].predict(t) for t in batch.column(place).to_pylist()]
+            made = [pa.array([n for n, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *made], [*batch.schema.names, "lang_pred", "score"])
+
+    schema = StructType([*rest.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    return rest.mapInArrow(run, schema)

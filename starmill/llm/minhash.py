@@ -10,10 +10,12 @@ Two documents of similarity 0.8 miss every band with a chance below 1e-7.
    neighbours; that is a pair per member, not a pair per two members.
 3. Pairs are confirmed on the full sets, and joined to components.
 4. Buckets that still hold several components are compared in blocks of
-   members: all those outside the bucket's largest component against all.
-   Blocks hold bands only; a pair leaves its block if it shares
-   ``shared`` bands and only at the first of them. These pairs are confirmed
-   too. Pairs within one component need no look: they change nothing.
+   members: all those outside the bucket's largest component against all. A
+   block holds bands, and of every set the low 16 bits of its hashes. What two
+   sets share of these is never less than what they share, so a pair below the
+   similarity by that measure cannot be a link. A pair is looked at if it
+   shares ``shared`` bands, at the first of them; what is left of it leaves the
+   block and is confirmed too. Pairs within one component change nothing.
 
 Nothing is capped: any two documents that share bands are in one component,
 or compared.
@@ -39,7 +41,7 @@ from starmill.scratch import stage
 
 BANDS = 32
 ROWS = 4  # values of a band: minimum and maximum of two permutations
-CHUNK = 128  # members of a bucket that are compared at once
+CHUNK = 2048  # members of a bucket that are compared at once
 
 _random = np.random.default_rng(4711)
 _FACTORS = _random.integers(1, 1 << 63, BANDS * ROWS // 2, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -133,10 +135,31 @@ def _alike(a: str, b: str, percent: int):
     return (F.col(a) * percent <= F.col(b) * 100) & (F.col(b) * percent <= F.col(a) * 100)
 
 
+def _outlines(texts: DataFrame, size: int) -> DataFrame:
+    """(doc_id, outline): the low 16 bits of every shingle hash, sorted, as bytes."""
+
+    def work(block: pa.RecordBatch) -> list:
+        sets = shingle_sets(block.column("text"), size)
+        return [block.column("doc_id"), pa.array([np.sort((s & np.uint64(0xFFFF)).astype("<u2")).tobytes() for s in sets], pa.binary())]
+
+    return blocks.map_texts(texts, work, "doc_id bigint, outline binary")
+
+
+def _numbered(outlines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """All values, equal ones within an outline told apart by their number, and the bounds of each outline."""
+    bounds = np.cumsum([0] + [len(o) // 2 for o in outlines])
+    values = np.frombuffer(b"".join(outlines), "<u2").astype(np.int64)
+    place = np.arange(len(values))
+    new = np.ones(len(values), bool)
+    new[1:] = values[1:] != values[:-1]
+    new[bounds[:-1][bounds[:-1] < len(values)]] = True
+    return values + (place - np.maximum.accumulate(np.where(new, place, 0)) << 16), bounds
+
+
 def _block_pairs(mixed: DataFrame, percent: int, shared: int) -> DataFrame:
-    """Pairs (x, y) of one bucket and two components, x outside the bucket's largest, that share bands.
+    """Pairs (x, y) of one bucket and two components, x outside the bucket's largest, that may be links.
 
-    ``mixed``: (key, doc_id, n_shingles, bands, component_id, largest, members, outside).
+    ``mixed``: (key, doc_id, n_shingles, bands, outline, component_id, largest, members, outside).
     """
     cells = mixed.withColumns(
         {
@@ -144,7 +167,7 @@ def _block_pairs(mixed: DataFrame, percent: int, shared: int) -> DataFrame:
             "columns": F.ceil(F.col("members") / CHUNK).cast("int"),
         }
     )
-    packed = F.struct("doc_id", "n_shingles", "component_id", "bands")
+    packed = F.struct("doc_id", "n_shingles", "component_id", "bands", "outline")
     dealt = F.abs(F.xxhash64("doc_id", F.lit("cell")))
     left = (
         cells.filter("component_id <> largest")
@@ -161,20 +184,35 @@ def _block_pairs(mixed: DataFrame, percent: int, shared: int) -> DataFrame:
     def columns(cell: pa.Array) -> tuple:
         flat = cell.flatten()
         rows = flat.field("bands").flatten().to_numpy(zero_copy_only=False).reshape(-1, BANDS)
-        return tuple(flat.field(n).to_numpy(zero_copy_only=False) for n in ("doc_id", "n_shingles", "component_id")) + (rows,)
+        named = tuple(flat.field(n).to_numpy(zero_copy_only=False) for n in ("doc_id", "n_shingles", "component_id"))
+        return (*named, rows, flat.field("outline").to_pylist())
+
+    def compare(key: int, left: pa.Array, right: pa.Array) -> tuple[list, list]:
+        a, na, ca, ba, oa = columns(left)
+        b, nb, cb, bb, ob = columns(right)
+        values, bounds = _numbered(ob)
+        x, y = [], []
+        for k in range(len(a)):
+            j = np.flatnonzero((ca[k] != cb) & (na[k] * percent <= nb * 100) & (nb * percent <= na[k] * 100))
+            equal = ba[k] == bb[j]
+            j = j[(ba[k][equal.argmax(1)] == key) & (equal.sum(1) >= shared)]
+            if not len(j):
+                continue
+            own, _ = _numbered([oa[k]])
+            parts = [values[bounds[m] : bounds[m + 1]] for m in j]
+            seen = np.zeros(max(own.max(), max(p.max() for p in parts)) + 1, bool)
+            seen[own] = True
+            both = np.add.reduceat(seen[np.concatenate(parts)], np.cumsum([0] + [len(p) for p in parts[:-1]]), dtype=np.int64)
+            good = b[j[100 * both >= percent * (na[k] + nb[j] - both)]]
+            x += [a[k]] * len(good)
+            y += good.tolist()
+        return x, y
 
     def work(batches):
         for batch in batches:
             for r in range(batch.num_rows):
-                a, na, ca, ba = columns(batch.column("left").slice(r, 1))
-                b, nb, cb, bb = columns(batch.column("right").slice(r, 1))
-                key = batch.column("key")[r].as_py()
-                near = (ca[:, None] != cb[None]) & (na[:, None] * percent <= nb[None] * 100) & (nb[None] * percent <= na[:, None] * 100)
-                i, j = np.nonzero(near)
-                equal = ba[i] == bb[j]
-                first = ba[i, equal.argmax(1)] == key
-                good = first & (equal.sum(1) >= shared)
-                yield pa.RecordBatch.from_arrays([pa.array(a[i[good]]), pa.array(b[j[good]])], ["x", "y"])
+                x, y = compare(batch.column("key")[r].as_py(), *(batch.column(c).slice(r, 1) for c in ("left", "right")))
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], ["x", "y"])
 
     found = left.join(right, ["key", "i", "j"]).select("key", "left", "right").mapInArrow(work, "x bigint, y bigint")
     return found.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct()
@@ -220,7 +258,10 @@ def near_duplicates(
         .filter("parts > 1")
         .select("key", F.col("top.component_id").alias("largest"), (F.col("total") - F.col("top.share")).alias("outside"))
     )
-    mixed = placed.join(split, "key").join(heads.select("doc_id", "bands"), "doc_id")
+    mixed = stage(placed.join(split, "key"), "mixed")
+    inside = mixed.select("doc_id").distinct()
+    outlined = _outlines(texts.join(inside, "doc_id", "left_semi"), size).join(heads.select("doc_id", "bands"), "doc_id")
+    mixed = mixed.join(outlined, "doc_id")
     more = stage(_confirmed(_block_pairs(mixed, percent, shared), texts, size, percent), "links")
 
     final = components(links.unionByName(more)).withColumnRenamed("doc_id", "class_id").withColumnRenamed("component_id", "root")

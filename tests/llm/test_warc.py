@@ -1,0 +1,90 @@
+from __future__ import annotations
+
+import gzip
+import json
+import uuid
+
+from starmill.llm import queries, warc
+from starmill.scratch import scratch_path
+
+PAGE = (
+    '<!DOCTYPE html><html lang="FR"><head><title>A &amp; B</title><style>p{}</style>'
+    '<meta name="description" content="about it"></head><body><!-- <a href="/no"> --><nav><a href="/x">one</a></nav>'
+    "<p>two<br>three  &lt;3</p><script>var t='</p>';</script><img src=pic.png><p>four</body></html>"
+)
+
+
+def pages(spark, rows):
+    return spark.createDataFrame(rows, "page_id bigint, url string, html string")
+
+
+def test_metadata_and_text():
+    about = warc.page_metadata(PAGE, "http://h.example/a/b")
+    assert (about["title"], about["description"], about["language"]) == ("A & B", "about it", "fr")
+    assert about["links"] == [
+        {"path": "A@/href", "url": "http://h.example/x"},
+        {"path": "IMG@/src", "url": "http://h.example/a/pic.png"},
+    ]
+    assert warc.page_text(PAGE) == "one\ntwo\nthree <3\nfour"
+
+
+def test_derivatives_refer_to_their_response(spark):
+    source = warc.responses(pages(spark, [(1, "http://h.example/a", PAGE), (2, None, None)]))
+    responses = {r.record_id: r for r in source.collect()}
+    made = warc.derivatives(source).collect()
+    assert len(made) == 4 and len({r.record_id for r in made}) == 4
+    for r in made:
+        origin = responses[r.refers_to]
+        assert (r.target_uri, r.date) == (origin.target_uri, origin.date)
+        assert r.headers["X-Source-Payload-Digest"] == origin.payload_digest
+        assert r.headers["X-Source-Content-Type"] == "text/html; charset=utf-8"
+        assert r.block_digest == warc.digest(bytes(r.block)) and r.content_length == len(r.block)
+        if r.warc_type == "metadata":
+            about = json.loads(bytes(r.block))
+            assert about["envelope"]["refers_to"] == r.refers_to
+            assert about["envelope"]["headers"]["content-type"] == "text/html; charset=utf-8"
+        uuid.UUID(r.record_id[10:-1])
+
+
+def test_files_round_trip(spark):
+    source = warc.responses(pages(spark, [(k, f"http://h.example/{k}", PAGE + "\r\n\r\n" * (k % 3)) for k in range(40)]))
+    every = source.unionByName(warc.derivatives(source))
+    files = warc.as_files(every.repartition(3)).collect()
+    assert len({f.name for f in files}) == len(files)
+    path = scratch_path(spark, "warc")
+    # stored by the test: Spark has no binary writer of its own
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    for f in files:
+        out = system.create(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{f.name}"))
+        out.write(bytearray(f.content))
+        out.close()
+    back = warc.read_files(spark, path)
+    plain = lambda df: sorted(json.dumps(r.asDict(), default=lambda b: bytes(b).hex(), sort_keys=True) for r in df.collect())
+    assert plain(back) == plain(every)
+
+
+def test_serialized_records_follow_one_another():
+    rows = [dict(zip(warc._NAMES, r)) for r in warc.derive("<urn:uuid:1>", "http://a", warc.DATE, b"HTTP/1.1 200 OK\r\nA: b\r\nA: c\r\n\r\nhi")]
+    data = b"".join(map(warc.serialize, rows))
+    assert [r[1] for r in warc.parse(data)] == ["metadata", "conversion"]
+    assert list(warc.parse(data))[0][9]["X-Source-A"] == "b, c"
+    assert gzip.decompress(gzip.compress(data)) == data
+
+
+def test_edge_cases(spark):
+    broken = b"\xff\xfe<p>x"
+    meta, text = warc.derive("<urn:uuid:1>", None, warc.DATE, broken)
+    assert text[10].decode() == "��x" and meta[6].startswith("sha1:")
+    assert [len(r[10]) for r in warc.derive("a", "http://[bad", warc.DATE, None)][1] == 0
+    assert warc.page_metadata('<a href="http://[x">', "http://a")["links"][0]["url"] == "http://[x"
+    rows = [(1, None, None), (1, None, None), (None, "u", ""), (3, "http://h", "<p>" + "long " * 200_000)]
+    made = warc.derivatives(warc.responses(pages(spark, rows).selectExpr("*", "'x' as block", "'y' as headers"))).collect()
+    assert len(made) == 8
+    assert warc.derivatives(warc.responses(pages(spark, []))).collect() == []
+
+
+def test_whole_sample(spark, tiny):
+    made = queries.op5_warc(spark, tiny)
+    assert made.count() == 2 * queries.table(spark, tiny, "pages").count()
+    assert made.filter("refers_to is null or source_digest is null").count() == 0

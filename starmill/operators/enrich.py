@@ -2,39 +2,32 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmill import schemas
-
-
-def _plain_join(rows: DataFrame, lookup: DataFrame, key: str, how: str = "inner") -> DataFrame:
-    return rows.join(lookup, key, how)
+from starmill.functions.coerce import to_int
 
 
 def with_amount(joined: DataFrame) -> DataFrame:
-    """The columns of the enriched fact, the amount computed."""
-    amount = (F.col("quantity") * F.col("unit_price")).cast(schemas.PRICE)
-    return joined.withColumn("total_amount", amount).withColumn(
-        "quantity", F.round("quantity").cast("int")
-    ).select(*schemas.FACT_ENRICHED.names)
+    """The columns of the enriched fact, the amount computed; NULL where it does not fit."""
+    amount = F.try_multiply("quantity", "unit_price").try_cast(schemas.PRICE)
+    return joined.withColumn("total_amount", amount).withColumn("quantity", to_int(F.col("quantity"))).select(*schemas.FACT_ENRICHED.names)
 
 
-def enrich(transactions: DataFrame, master: DataFrame, join: Callable = _plain_join) -> DataFrame:
+def enrich(transactions: DataFrame, master: DataFrame) -> DataFrame:
     """Matched transactions with price, store, supplier and amount.
 
     The transactions are taken as they come: repeated orders and quantities
     of zero or less stay in. Products the master does not know drop out.
     """
     lookup = master.select("product_id", "unit_price", "store_id", "supplier_id")
-    return with_amount(join(transactions, lookup, "product_id"))
+    return with_amount(transactions.join(lookup, "product_id"))
 
 
-def unmatched(transactions: DataFrame, master: DataFrame, join: Callable = _plain_join) -> DataFrame:
+def unmatched(transactions: DataFrame, master: DataFrame) -> DataFrame:
     """Transactions whose product the master does not know."""
     known = master.select("product_id")
-    return join(transactions, known, "product_id", "left_anti").select(
+    return transactions.join(known, "product_id", "left_anti").select(
         *schemas.FACT_SALES.names
     )

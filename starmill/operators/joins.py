@@ -26,33 +26,8 @@ def broadcast_if_fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFram
 
 
 def row_salt(rows: DataFrame, salts: int = SALTS) -> Column:
-    """A salt per row; equal copies differ if ``rows`` carries ``file_place``."""
-    return F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int")
-
+    """A salt per row; equal copies differ if ``rows`` carries ``file_place``.
 
-def salted_join(
-    rows: DataFrame, lookup: DataFrame, key: str, how: str = "inner", salts: int = SALTS
-) -> DataFrame:
-    """Equi-join spreading each key of ``rows`` over ``salts`` tasks.
-
-    Every lookup row is repeated once per salt, so each row still meets its
-    match exactly once. Used on streams, where no runtime skew handling
-    splits a hot key. The salt is a hash of the whole row, not random: a task
-    that is run again after a lost executor gives each row the same salt.
+    It is a hash, not random: a task that runs again gives the same salts.
     """
-    salted = rows.withColumn("_salt", row_salt(rows, salts))
-    repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(repeated, [key, "_salt"], how).drop("_salt")
-
-
-def lookup_join(
-    rows: DataFrame,
-    lookup: DataFrame,
-    key: str,
-    how: str = "inner",
-    max_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
-    """Join a stream with a static table: broadcast if it fits, else salt."""
-    if fits(lookup, max_rows):
-        return rows.join(F.broadcast(lookup), key, how)
-    return salted_join(rows, lookup, key, how)
+    return F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int")

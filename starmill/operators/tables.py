@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from starmill import schemas
 from starmill.plans.star import Star
 from starmill.schemas import SALE_YEAR
+from starmill.scratch import exists, remove
 
 # Loading order: nothing refers to a later table.
 DIMENSIONS = {
@@ -52,25 +55,30 @@ def load_dimensions(dims: dict[str, DataFrame], base: str) -> dict[str, DataFram
     return stored
 
 
-STORED_ENRICHED = StructType([*schemas.FACT_ENRICHED, StructField(SALE_YEAR, IntegerType())])
+STORED_ENRICHED = StructType(
+    [*schemas.FACT_ENRICHED, StructField("load", StringType()), StructField(SALE_YEAR, IntegerType())]
+)
 
 
 def with_sale_year(df: DataFrame) -> DataFrame:
     return df.withColumn(SALE_YEAR, F.year("date_id"))
 
 
-def append_enriched(df: DataFrame, path: str) -> None:
-    """Append enriched sales, one folder per year of sale.
+def append_enriched(df: DataFrame, path: str, load: str | None = None) -> None:
+    """Append enriched sales as one load, one folder per year of sale in it.
 
+    A load that is named replaces what an earlier attempt of that name left.
     ``rebalance`` lets AQE cut a year that holds most rows into several files
     and join small ones, instead of every task writing a file for every year.
+    Within a file rows are sorted by date, so a range of dates skips row groups.
     """
     (
         with_sale_year(conform(df, schemas.FACT_ENRICHED))
         .hint("rebalance", SALE_YEAR)
-        .write.mode("append")
+        .sortWithinPartitions(SALE_YEAR, "date_id")
+        .write.mode("overwrite")
         .partitionBy(SALE_YEAR)
-        .parquet(path)
+        .parquet(f"{path}/load={load or uuid.uuid4().hex}")
     )
 
 
@@ -79,8 +87,21 @@ def read_enriched(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STORED_ENRICHED).parquet(path)
 
 
-def recreate_enriched(spark: SparkSession, path: str) -> None:
-    recreate(spark, path, STORED_ENRICHED, SALE_YEAR)
+def recreate_enriched(spark: SparkSession, path: str, checkpoint: str | None = None) -> None:
+    """Drop the enriched sales, and with them how far a stream had come."""
+    recreate(spark, path, STORED_ENRICHED, "load", SALE_YEAR)
+    if checkpoint:
+        remove(spark, checkpoint)
+
+
+def ensure(spark: SparkSession, path: str, schema: StructType, *split_by: str) -> None:
+    """Leave a table as it is, or make it empty where there is none."""
+    if not exists(spark, path):
+        recreate(spark, path, schema, *split_by)
+
+
+def ensure_enriched(spark: SparkSession, path: str) -> None:
+    ensure(spark, path, STORED_ENRICHED, "load", SALE_YEAR)
 
 
 def stored_star(spark: SparkSession, base: str) -> Star:
@@ -105,5 +126,5 @@ def count_rows(df: DataFrame) -> DataFrame:
 
 
 def describe(spark: SparkSession, name: str) -> DataFrame:
-    """Column names, types and comments of a table or view."""
+    """Column names, types and comments of a table or view; reads no rows."""
     return spark.sql(f"DESCRIBE TABLE {name}")

@@ -76,6 +76,7 @@ TRANSACTION_NAMES = {
     "date": "date_id",
 }
 
+# Columns of the warehouse tables, their keys and NOT NULL columns.
 # Order and customer ids are 64 bits wide: 32 do not number 100 TB of orders.
 DIM_DATE = _columns(
     date_id=DateType(),
@@ -130,6 +131,15 @@ FACT_ENRICHED = _columns(
     supplier_id=IntegerType(),
     total_amount=PRICE,
 )
+STORE_QUARTERS = _columns(
+    store_id=IntegerType(),
+    store_name=StringType(),
+    year=IntegerType(),
+    quarter=IntegerType(),
+    total_sales=DecimalType(20, 2),
+    total_qty=LongType(),
+)
+BATCH_TOTALS = _columns(processed=LongType(), joined=LongType())
 # Where the enriched fact is stored, it is split by this column.
 SALE_YEAR = "sale_year"
 

@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Paths given out within the innermost scope.
+_given: ContextVar[list[str] | None] = ContextVar("given", default=None)
+
+
 @functools.cache
 def _local_root() -> str:
     return tempfile.mkdtemp(prefix="starmill-")
@@ -30,7 +37,10 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path nobody has used before, below the shared folder."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    if (given := _given.get()) is not None:
+        given.append(path)
+    return path
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -44,3 +54,42 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextlib.contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at its end, whatever was given a scratch path within it.
+
+    Results are read lazily, so a result has to be written (or collected)
+    inside the scope.
+    """
+    paths: list[str] = []
+    token = _given.set(paths)
+    try:
+        yield
+    finally:
+        _given.reset(token)
+        for path in paths:
+            remove(spark, path)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, target = _hadoop(spark, path)
+    return files.exists(target)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder and all below it, on whatever store holds it."""
+    files, target = _hadoop(spark, path)
+    files.delete(target, True)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names below a folder; none if it does not exist."""
+    files, target = _hadoop(spark, path)
+    return [s.getPath().getName() for s in files.listStatus(target)] if files.exists(target) else []

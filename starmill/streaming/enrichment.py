@@ -2,69 +2,78 @@
 
 Streams carry ``order_id, customer_id, product_id, date_id, quantity`` and
 ``file_place``, which tells equal rows apart. The master is written once before a
-query starts, so a micro-batch scans it instead of computing it again.
+query starts, so a micro-batch scans it instead of computing it again. Every
+micro-batch is joined and written as an ordinary frame, into a folder of its own
+that a repeated attempt replaces. All functions take ``time_limit`` (seconds);
+without it they run until the input is used up.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter
 
 from starmill import schemas
-from starmill.operators.cleaning import coerced_transactions, fill_and_require_keys
+from starmill.operators import tables
+from starmill.operators.cleaning import coerced_transactions, fill_and_require_keys, good_quantity
 from starmill.operators.enrich import enrich, unmatched, with_amount
-from starmill.operators.joins import broadcast_if_fits, lookup_join, row_salt
-from starmill.operators.tables import read, read_enriched, with_sale_year
-from starmill.scratch import stage
-from starmill.streaming.sinks import run_to_end
+from starmill.operators.joins import broadcast_if_fits, row_salt
+from starmill.scratch import children, exists, remove, stage
+from starmill.streaming.sinks import each_batch, run_to_end
 
-# How long an order id is remembered after its first arrival.
-DEDUPE_HORIZON = "7 days"
+BATCH_COUNTS = "processed bigint, joined bigint, batch string"
 
-BATCH_COUNTS = "processed bigint, joined bigint, batch_id bigint"
-
-
-def _append(df: DataFrame, path: str) -> DataStreamWriter:
-    return df.writeStream.format("parquet").option("path", path).outputMode("append")
-
-
-def _append_enriched(df: DataFrame, path: str) -> DataStreamWriter:
-    return _append(with_sale_year(df), path).partitionBy(schemas.SALE_YEAR)
-
-
-def stream_enrich(stream: DataFrame, master: DataFrame, target: str, checkpoint: str) -> DataFrame:
+def stream_enrich(
+    stream: DataFrame, master: DataFrame, target: str, checkpoint: str, time_limit: float | None = None
+) -> DataFrame:
     """Append enriched transactions to ``target`` until the input is used up.
 
-    ``tables.recreate_enriched`` first gives an empty target, so that it can be
-    read even if nothing has arrived.
+    ``tables.recreate_enriched`` first gives an empty target. Batch and stream
+    may both append to one table: neither keeps a log of files.
     """
-    enriched = enrich(stream, stage(master, "product-master"), lookup_join)
-    run_to_end(_append_enriched(enriched, target), checkpoint)
-    return read_enriched(stream.sparkSession, target).select(*schemas.FACT_ENRICHED.names)
+    spark = stream.sparkSession
+    lookup = stage(master, "product-master")
+    tables.ensure_enriched(spark, target)
+    each_batch(
+        stream,
+        lambda batch, name: tables.append_enriched(enrich(batch, lookup), target, load=name),
+        checkpoint,
+        time_limit,
+    )
+    return tables.read_enriched(spark, target).select(*schemas.FACT_ENRICHED.names)
 
 
-def stream_unmatched(stream: DataFrame, master: DataFrame, target: str, checkpoint: str) -> DataFrame:
+def stream_unmatched(
+    stream: DataFrame, master: DataFrame, target: str, checkpoint: str, time_limit: float | None = None
+) -> DataFrame:
     """Append the transactions the master does not know to ``target``."""
-    unknown = unmatched(stream, stage(master, "product-master"), lookup_join)
-    run_to_end(_append(unknown, target), checkpoint)
-    return read(stream.sparkSession, target, schemas.FACT_SALES)
+    spark = stream.sparkSession
+    lookup = stage(master.select("product_id"), "product-master")
+    tables.ensure(spark, target, schemas.FACT_SALES)
+
+    def write(batch: DataFrame, name: str) -> None:
+        rows = tables.conform(unmatched(batch, lookup), schemas.FACT_SALES)
+        rows.write.mode("overwrite").parquet(f"{target}/load={name}")
+
+    each_batch(stream, write, checkpoint, time_limit)
+    return tables.read(spark, target, schemas.FACT_SALES).select(*schemas.FACT_SALES.names)
 
 
 def stream_batch_counts(
-    stream: DataFrame, master: DataFrame, target: str, checkpoint: str
+    stream: DataFrame, master: DataFrame, target: str, checkpoint: str, time_limit: float | None = None
 ) -> DataFrame:
     """Enrich by micro-batch and report what each batch read and matched.
 
     A batch replaces its own folder, so one that is repeated after a failure
-    leaves a single copy. The counts are taken while it is written. Within a
-    batch the join is an ordinary one, planned and split by AQE.
+    leaves a single copy. The counts are taken while it is written.
     """
     lookup = stage(
         master.select("product_id", "unit_price", "store_id", "supplier_id"), "product-master"
     ).withColumn("_known", F.lit(True))
+    spark = stream.sparkSession
+    tables.ensure(spark, f"{target}/counts", schemas.BATCH_TOTALS)
 
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def write(batch: DataFrame, name: str) -> None:
         counts = Observation()
         joined = batch.join(lookup, "product_id", "left").observe(
             counts,
@@ -72,27 +81,33 @@ def stream_batch_counts(
             F.count("_known").alias("joined"),
         )
         with_amount(joined.filter("_known")).write.mode("overwrite").parquet(
-            f"{target}/facts/batch_id={batch_id}"
+            f"{target}/facts/batch={name}"
         )
         row = [(counts.get["processed"], counts.get["joined"])]
-        batch.sparkSession.createDataFrame(row, "processed bigint, joined bigint").write.mode(
-            "overwrite"
-        ).parquet(f"{target}/counts/batch_id={batch_id}")
+        if row == [(0, 0)]:  # files without rows
+            return
+        batch.sparkSession.createDataFrame(row, schemas.BATCH_TOTALS).write.mode("overwrite").parquet(
+            f"{target}/counts/batch={name}"
+        )
+
+    each_batch(stream, write, checkpoint, time_limit)
+    return spark.read.schema(BATCH_COUNTS).parquet(f"{target}/counts")
 
-    run_to_end(stream.writeStream.foreachBatch(write), checkpoint)
-    return stream.sparkSession.read.schema(BATCH_COUNTS).parquet(f"{target}/counts")
 
+def first_arrivals(stream: DataFrame, horizon: str | None = None) -> DataFrame:
+    """One row per order id, whenever its copies arrive.
 
-def first_arrivals(stream: DataFrame, horizon: str = DEDUPE_HORIZON) -> DataFrame:
-    """One row per order id among those that arrive within ``horizon``.
+    Every id is remembered, in the state store; on a cluster use the RocksDB
+    provider (README). ``horizon`` bounds the memory: ids are then forgotten that
+    long after their first arrival, and a copy that comes later is let in.
 
-    Time is the time of arrival, so no row is ever too late. An order id that
-    holds a third of the rows would end up in one task; a first pass per salt
-    leaves at most one row per salt for the second, which is exact.
+    An order id that holds a third of the rows would end up in one task; a first
+    pass per salt leaves at most one row per salt for the second.
     """
-    arriving = stream.withColumn("_arrival", F.current_timestamp()).withWatermark(
-        "_arrival", horizon
-    )
+    if horizon is None:
+        per_salt = stream.withColumn("_salt", row_salt(stream)).dropDuplicates(["order_id", "_salt"])
+        return per_salt.dropDuplicates(["order_id"]).drop("_salt")
+    arriving = stream.withColumn("_arrival", F.current_timestamp()).withWatermark("_arrival", horizon)
     per_salt = arriving.withColumn("_salt", row_salt(stream)).dropDuplicatesWithinWatermark(
         ["order_id", "_salt"]
     )
@@ -100,17 +115,20 @@ def first_arrivals(stream: DataFrame, horizon: str = DEDUPE_HORIZON) -> DataFram
 
 
 def stream_enrich_clean(
-    raw_stream: DataFrame, master: DataFrame, target: str, checkpoint: str
+    raw_stream: DataFrame,
+    master: DataFrame,
+    target: str,
+    checkpoint: str,
+    horizon: str | None = None,
+    time_limit: float | None = None,
 ) -> DataFrame:
     """Enrichment with the cleaning rules of the batch load applied.
 
     A stream has no first copy by file order, so bad rows go before
     duplicates are dropped: an order survives if any of its copies is good.
     """
-    usable = fill_and_require_keys(coerced_transactions(raw_stream)).filter("quantity > 0")
-    enriched = enrich(first_arrivals(usable), stage(master, "product-master"), lookup_join)
-    run_to_end(_append_enriched(enriched, target), checkpoint)
-    return read_enriched(raw_stream.sparkSession, target).select(*schemas.FACT_ENRICHED.names)
+    usable = fill_and_require_keys(coerced_transactions(raw_stream)).filter(good_quantity())
+    return stream_enrich(first_arrivals(usable, horizon), master, target, checkpoint, time_limit)
 
 
 def stream_store_quarterly(
@@ -120,17 +138,22 @@ def stream_store_quarterly(
     dim_store: DataFrame,
     target: str,
     checkpoint: str,
+    time_limit: float | None = None,
 ) -> DataFrame:
     """The store view kept up to date while sales arrive.
 
     Every micro-batch writes the whole view (stores times quarters) as a new
-    version; readers take the latest.
+    version, names it as the current one when it is complete, and deletes what
+    came before the previous one, which readers may still hold.
     """
+    spark = stream.sparkSession
+    lookup = stage(master, "product-master")
     calendar = broadcast_if_fits(
         stage(dim_date.select("date_id", "year", "quarter"), "calendar")
     )
+    dated = stream.join(lookup.select("product_id", "unit_price", "store_id", "supplier_id"), "product_id")
     totals = (
-        enrich(stream, stage(master, "product-master"), lookup_join)
+        with_amount(dated)
         .join(calendar, "date_id")
         .groupBy("store_id", "year", "quarter")
         .agg(F.sum("total_amount").alias("total_sales"), F.sum("quantity").alias("total_qty"))
@@ -138,11 +161,23 @@ def stream_store_quarterly(
 
     def publish(view: DataFrame, batch_id: int) -> None:
         named = view.join(dim_store.select("store_id", "store_name"), "store_id")
-        named.select("store_id", "store_name", "year", "quarter", "total_sales", "total_qty").write.mode(
-            "overwrite"
-        ).parquet(f"{target}/version={batch_id}")
-
-    run_to_end(totals.writeStream.outputMode("complete").foreachBatch(publish), checkpoint)
-    versions = stream.sparkSession.read.parquet(target)
-    latest = versions.select(F.max("version").alias("version")).scalar()
-    return versions.filter(F.col("version") == latest).drop("version")
+        tables.conform(named, schemas.STORE_QUARTERS).write.mode("overwrite").parquet(f"{target}/version={batch_id}")
+        for old in store_versions(spark, target)[:-2]:
+            remove(spark, f"{target}/version={old}")
+
+    run_to_end(totals.writeStream.outputMode("complete").foreachBatch(publish), checkpoint, time_limit)
+    return current_store_view(stream.sparkSession, target)
+
+
+def store_versions(spark, target: str) -> list[int]:
+    """Complete versions of the view, oldest first; a complete one holds the committer's mark."""
+    names = (n.removeprefix("version=") for n in children(spark, target) if n.startswith("version="))
+    return sorted(int(n) for n in names if exists(spark, f"{target}/version={n}/_SUCCESS"))
+
+
+def current_store_view(spark, target: str) -> DataFrame:
+    """The last complete version of the view; empty before the first."""
+    versions = store_versions(spark, target)
+    if not versions:
+        return spark.createDataFrame([], schemas.STORE_QUARTERS)
+    return spark.read.schema(schemas.STORE_QUARTERS).parquet(f"{target}/version={versions[-1]}")

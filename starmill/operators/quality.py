@@ -92,6 +92,19 @@ def not_null_violations(tables: dict[str, DataFrame]) -> DataFrame:
     return _union([check(name, df) for name, df in tables.items()])
 
 
+def require_keys(tables: dict[str, DataFrame]) -> None:
+    """Raise if a primary key occurs twice or is missing; one row per table is collected."""
+    faults = [
+        f"{row.table_name}: {row.duplicate_keys} keys more than once"
+        for row in pk_violations(tables).filter("duplicate_keys > 0").collect()
+    ]
+    for name, df in tables.items():
+        if missing := df.filter(F.col(schemas.PRIMARY_KEYS[name]).isNull()).count():
+            faults.append(f"{name}: {missing} rows without a key")
+    if faults:
+        raise ValueError("; ".join(faults))
+
+
 def fk_set_null(star: Star) -> DataFrame:
     """Apply the foreign-key policy to the fact.
 

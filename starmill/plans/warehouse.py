@@ -2,28 +2,46 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from starmill import schemas
-from starmill.operators import cleaning, dimensions, tables
+from starmill.operators import cleaning, dimensions, quality, tables
 from starmill.plans.star import Star
-from starmill.scratch import stage
+from starmill.scratch import exists, remove, stage
 from starmill.sources import files
 from starmill.streaming.enrichment import stream_enrich
 
+ENRICHED = "fact_sales_enriched"
+TABLES = [*tables.DIMENSIONS, "fact_sales", ENRICHED]
+
 
 def build_warehouse(
-    spark: SparkSession, customers: str, products: str, transactions: str, base: str
+    spark: SparkSession,
+    customers: str,
+    products: str,
+    transactions: str,
+    base: str,
+    replace: bool = False,
 ) -> Star:
     """Clean, load dimensions and facts below ``base``, then enrich the stream.
 
     The stream reads the transaction files again as delivered; only the product
     master it meets is cleaned. What is used more than once is written first.
+
+    A warehouse that is there already is left alone and an error raised, unless
+    ``replace`` is given: then all tables, and the stream's checkpoint with
+    them, are dropped first. Declared keys are checked before the stream starts.
     """
+    present = [name for name in [*TABLES, "checkpoints"] if exists(spark, f"{base}/{name}")]
+    if present and not replace:
+        raise FileExistsError(f"{base} already holds {', '.join(present)}; give replace=True to build it anew")
+    for name in present:
+        remove(spark, f"{base}/{name}")
+
     cleaned = stage(cleaning.clean_products(files.read_products(spark, products)), "products")
     load_facts(spark, transactions, base)
     facts = tables.read(spark, f"{base}/fact_sales", schemas.FACT_SALES)
-    tables.load_dimensions(
+    stored = tables.load_dimensions(
         {
             "dim_customer": dimensions.dim_customer(
                 cleaning.clean_customers(files.read_customers(spark, customers))
@@ -35,17 +53,25 @@ def build_warehouse(
         },
         base,
     )
-    target = f"{base}/fact_sales_enriched"
-    tables.recreate_enriched(spark, target)
+    quality.require_keys(stored | {"fact_sales": facts})
+    target, checkpoint = f"{base}/{ENRICHED}", f"{base}/checkpoints/{ENRICHED}"
+    tables.recreate_enriched(spark, target, checkpoint)
     stream_enrich(
         cleaning.coerced_transactions(files.stream_transactions(spark, transactions)),
         dimensions.product_master(cleaned),
         target,
-        f"{base}/checkpoints/fact_sales_enriched",
+        checkpoint,
     )
     return tables.stored_star(spark, base)
 
 
+def stored_tables(spark: SparkSession, base: str) -> dict[str, DataFrame]:
+    """Every table of a warehouse by name."""
+    star = tables.stored_star(spark, base)
+    facts = tables.read(spark, f"{base}/fact_sales", schemas.FACT_SALES)
+    return {name: getattr(star, name) for name in tables.DIMENSIONS} | {"fact_sales": facts, ENRICHED: star.sales}
+
+
 def load_facts(spark: SparkSession, transactions: str, base: str) -> None:
     raw = files.read_transactions(spark, transactions)
     tables.append(cleaning.clean_transactions(raw).kept, f"{base}/fact_sales", schemas.FACT_SALES)

@@ -54,32 +54,68 @@ def _missing_to_null(df: DataFrame, schema: StructType) -> DataFrame:
     return df.withColumns(known)
 
 
-def _read(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    rows = spark.read.schema(schema).option("header", True).csv(path)
-    return _missing_to_null(with_file_order(rows), schema)
+def _format(path: str) -> str:
+    return "parquet" if path.rstrip("/").endswith(".parquet") else "csv"
 
 
-def read_customers(spark: SparkSession, path: str) -> DataFrame:
-    return _read(spark, path, schemas.CUSTOMER_FILE)
+def _delivered(spark: SparkSession, path: str, schema: StructType, file_format: str | None) -> StructType:
+    """The schema of the files as they are: their own columns in their own order, all text in CSV.
+
+    Only a header or footer is read. The wanted columns must be there, under
+    their names; where they stand, and what else there is, does not matter.
+    """
+    kind = file_format or _format(path)
+    reader = spark.read.option("header", True) if kind == "csv" else spark.read
+    found = reader.format(kind).load(path).schema
+    missing = [name for name in schema.names if name not in found.names]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}; it has {', '.join(found.names)}")
+    return found
+
+
+def _wanted(rows: DataFrame, schema: StructType, place: str) -> DataFrame:
+    columns = [F.col(f"`{name}`").cast("string").alias(name) for name in schema.names]
+    return _missing_to_null(rows.select(*columns, place), schema)
+
+
+def _read(spark: SparkSession, path: str, schema: StructType, file_format: str | None) -> DataFrame:
+    """The columns of ``schema`` by name; ``file_format`` (csv or parquet) is told from the path if not given.
+
+    All files below one path have the columns in one order, which CSV checks
+    (``enforceSchema`` is off): a file in another order is an error, not a mix-up.
+    """
+    found = _delivered(spark, path, schema, file_format)
+    reader = spark.read.schema(found).option("header", True).option("enforceSchema", False)
+    rows = reader.format(file_format or _format(path)).load(path)
+    return _wanted(with_file_order(rows), schema, "file_order")
+
+
+def read_customers(spark: SparkSession, path: str, file_format: str | None = None) -> DataFrame:
+    return _read(spark, path, schemas.CUSTOMER_FILE, file_format)
 
 
-def read_products(spark: SparkSession, path: str) -> DataFrame:
-    return _read(spark, path, schemas.PRODUCT_FILE)
+def read_products(spark: SparkSession, path: str, file_format: str | None = None) -> DataFrame:
+    return _read(spark, path, schemas.PRODUCT_FILE, file_format)
 
 
-def read_transactions(spark: SparkSession, path: str) -> DataFrame:
-    return _read(spark, path, schemas.TRANSACTION_FILE)
+def read_transactions(spark: SparkSession, path: str, file_format: str | None = None) -> DataFrame:
+    return _read(spark, path, schemas.TRANSACTION_FILE, file_format)
 
 
-def stream_transactions(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
-    """The same files as a stream, in bounded micro-batches."""
+def stream_transactions(
+    spark: SparkSession, path: str, files_per_batch: int = 1000, file_format: str | None = None
+) -> DataFrame:
+    """The same files as a stream, in bounded micro-batches; the first file's columns hold for all."""
+    found = _delivered(spark, path, schemas.TRANSACTION_FILE, file_format)
     rows = (
-        spark.readStream.schema(schemas.TRANSACTION_FILE)
+        spark.readStream.schema(found)
         .option("header", True)
+        .option("enforceSchema", False)
         .option("maxFilesPerTrigger", files_per_batch)
-        .csv(path)
+        .format(file_format or _format(path))
+        .load(path)
     )
     # Streams cannot count rows. A number drawn while a split is scanned (from a
     # fixed seed, so a repeated scan draws it again) tells equal rows apart.
     place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.rand(0))
-    return _missing_to_null(rows.withColumn("file_place", place), schemas.TRANSACTION_FILE)
+    return _wanted(rows.withColumn("file_place", place), schemas.TRANSACTION_FILE, "file_place")

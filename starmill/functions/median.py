@@ -5,50 +5,68 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Prices below 10^8 with two decimals: at most 10^6 buckets, and at most 10^4
-# distinct values in each. These bound what the two windows below can hold.
-BUCKET_WIDTH = 100
+from starmill.scratch import stage
 
+# Buckets a range of values is cut into, and distinct values at which the cutting
+# ends. Both bound what the driver and the last, single task receive.
+PARTS = 1000
+FEW = 50_000
 
-def exact_median(df: DataFrame, column: str) -> Column:
-    """The median of the non-null values, interpolated, as a scalar subquery.
 
-    ``median`` merges the set of all distinct values in a single task. Here
-    the values are counted per bucket in parallel, and only the one or two
-    buckets that hold the middle ranks are looked into.
+def exact_median(df: DataFrame, column: str, parts: int = PARTS, few: int = FEW) -> Column:
+    """The median of the non-null values, interpolated, as a literal; NULL without values.
+
+    ``median`` merges the set of all distinct values in a single task. Here the
+    distinct values are counted in parallel and stored. Their range is cut into
+    ``parts`` buckets, again and again around the middle ranks, until the bucket
+    that holds them has at most ``few`` values, however they are spread.
     """
     # One row per distinct value: a price shared by a third of the rows is
     # folded before it is shuffled.
-    values = (
+    values = stage(
         df.select(F.col(column).alias("v"))
         .filter(F.col("v").isNotNull())
         .groupBy("v")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("bucket", F.floor(F.col("v") / BUCKET_WIDTH))
+        .agg(F.count(F.lit(1)).alias("n")),
+        "median-values",
     )
+    total = values.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    if not total:
+        return F.lit(None)
+    # 1-based ranks of the middle rows; equal when the count is odd
+    low, high = (total + 1) // 2, (total + 2) // 2
+    first = _at_rank(values, low, parts, few)
+    last = first if low == high else _at_rank(values, high, parts, few)
+    return F.lit((first + last) / 2)
 
-    def holds_middle(before: Column) -> Column:
-        # 1-based ranks of the middle rows; equal when the count is odd
-        low, high = F.floor((F.col("total") + 1) / 2), F.floor((F.col("total") + 2) / 2)
-        return (before < high) & (before + F.col("n") >= low)
-
-    buckets = (
-        values.groupBy("bucket")
-        .agg(F.sum("n").alias("n"))
-        .withColumn("total", F.sum("n").over(Window.partitionBy()))
-        .withColumn("base", F.sum("n").over(Window.orderBy("bucket")) - F.col("n"))
-        .filter(holds_middle(F.col("base")))
-        .select("bucket", "base", "total")
-    )
-    middle = (
-        values.join(F.broadcast(buckets), "bucket")  # at most two rows
-        .withColumn(
-            "before",
-            F.col("base")
-            + F.sum("n").over(Window.partitionBy("bucket").orderBy("v"))
-            - F.col("n"),
+
+def _at_rank(values: DataFrame, rank: int, parts: int, few: int):
+    """The value whose rows include the ``rank``-th."""
+    whole = values.agg(F.min("v").alias("low"), F.max("v").alias("high"), F.count("*").alias("rows")).first()
+    low, high, rows, before = whole.low, whole.high, whole.rows, 0
+    while rows > few:
+        width = (float(high) - float(low)) / parts
+        if width == 0:  # closer than a double can tell; these are few
+            break
+        # rounding keeps the order, so a bucket is a range of values
+        bucket = F.floor((F.col("v").cast("double") - float(low)) / width)
+        cells = (
+            values.filter(F.col("v").between(low, high))
+            .groupBy(bucket.alias("bucket"))
+            .agg(F.min("v").alias("low"), F.max("v").alias("high"), F.count("*").alias("rows"), F.sum("n").alias("n"))
+            .orderBy("bucket")
+            .collect()  # parts + 1 rows at most
         )
-        .filter(holds_middle(F.col("before")))
+        for cell in cells:
+            if before + cell.n >= rank:
+                break
+            before += cell.n
+        low, high, rows = cell.low, cell.high, cell.rows
+    upto = F.sum("n").over(Window.orderBy("v"))
+    return (
+        values.filter(F.col("v").between(low, high))
+        .withColumn("upto", upto + before)
+        .filter(F.col("upto") >= rank)
+        .agg(F.min("v"))
+        .first()[0]
     )
-    # One value (at both ranks) or two neighbours.
-    return middle.select((F.sum("v") / F.count("v")).alias("median")).scalar()

@@ -12,10 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmill import schemas
-from starmill.functions.coerce import to_date, to_key, to_number
+from starmill.functions.coerce import to_date, to_int, to_key, to_number
 from starmill.functions.median import exact_median
 from starmill.functions.text import strip, title_case
 from starmill.operators.dedupe import keep_first
+from starmill.scratch import stage
 
 # Codes in the customer file and what they stand for.
 GENDERS = {"M": "Male", "F": "Female"}
@@ -65,17 +66,19 @@ def impute_price(products: DataFrame) -> DataFrame:
     """Fill missing prices with the median of the known ones."""
     median = exact_median(products, "unit_price")
     return products.withColumn(
-        "unit_price", F.coalesce("unit_price", median).cast(schemas.PRICE)
+        "unit_price", F.coalesce(F.col("unit_price").try_cast(schemas.PRICE), median.cast("decimal(30,10)").try_cast(schemas.PRICE))
     )
 
 
 def clean_products(raw: DataFrame) -> DataFrame:
-    return impute_price(coerced_products(raw)).select(
+    # read for the rows and for the median
+    first = stage(coerced_products(raw), "products")
+    return impute_price(first).select(
         "product_id",
         strip(title_case(F.col("product_category"))).alias("product_category"),
         "unit_price",
-        to_key(F.col("store_id")).cast("int").alias("store_id"),
-        to_key(F.col("supplier_id")).cast("int").alias("supplier_id"),
+        to_key(F.col("store_id")).try_cast("int").alias("store_id"),
+        to_key(F.col("supplier_id")).try_cast("int").alias("supplier_id"),
         strip(title_case(F.col("store_name"))).alias("store_name"),
         strip(title_case(F.col("supplier_name"))).alias("supplier_name"),
     )
@@ -100,6 +103,11 @@ def fill_and_require_keys(transactions: DataFrame) -> DataFrame:
     )
 
 
+def good_quantity() -> Column:
+    """Whether a filled quantity is positive and fits the table; one that does not fit is rejected, as NULL."""
+    return (F.col("quantity") > 0) & to_int(F.col("quantity")).isNotNull()
+
+
 @dataclass(frozen=True)
 class Transactions:
     kept: DataFrame
@@ -117,11 +125,7 @@ def clean_transactions(raw: DataFrame) -> Transactions:
 
     def at_sink(rows: DataFrame) -> DataFrame:
         # the test above sees the exact value; only the stored one is rounded
-        return rows.withColumn("quantity", F.round("quantity").cast("int")).select(
-            *schemas.FACT_SALES.names
-        )
+        return rows.withColumn("quantity", to_int(F.col("quantity"))).select(*schemas.FACT_SALES.names)
 
-    return Transactions(
-        kept=at_sink(usable.filter("quantity > 0")),
-        rejected=at_sink(usable.filter("quantity <= 0")),
-    )
+    good = good_quantity()
+    return Transactions(kept=at_sink(usable.filter(good)), rejected=at_sink(usable.filter(~good)))

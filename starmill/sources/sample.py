@@ -176,12 +176,14 @@ class SampleStar:
         return suppliers(*self._source)
 
 
-def line_stream(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
+def line_stream(
+    spark: SparkSession, folder: str, files_per_batch: int = 1000, pattern: str = "lineitem*.parquet"
+) -> DataFrame:
     """Order lines as a stream, each with its place in the files."""
     rows = (
         spark.readStream.schema(TABLES["lineitem"])
         .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(f"{folder}/lineitem*.parquet")
+        .parquet(f"{folder}/{pattern}")
     )
     return rows.withColumn("file_place", F.struct("_metadata.file_path", "_metadata.row_index"))
 
@@ -254,6 +256,7 @@ def raw_transactions(spark: SparkSession, folder: str, lines: DataFrame | None =
         .when(key % 89 == 0, "-1")
         .when(key % 83 == 0, F.lit(None))
         .when(key % 79 == 0, "0")
+        .when(key % 73 == 0, "99999999999")
         .otherwise(F.col("l_quantity").cast("int").cast("string"))
     )
     return _with_orders(lines, spark, folder).select(

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 import statistics
 from decimal import Decimal
 
@@ -115,6 +116,22 @@ def test_median_of_a_value_that_holds_a_third(spark):
     assert spark.range(1).select(exact_median(df, "v")).first()[0] == statistics.median(values)
 
 
+def test_median_of_values_over_many_magnitudes(spark):
+    rng = random.Random(11)
+    values = [Decimal(rng.randint(1, 10 ** rng.randint(1, 18))).scaleb(-6) for _ in range(4001)] + [Decimal("0.000001")] * 9
+    df = spark.createDataFrame([(v,) for v in values], "v decimal(20,6)")
+    assert spark.range(1).select(exact_median(df, "v", parts=7, few=5)).first()[0] == statistics.median(values)
+
+
+def test_dates_in_many_forms(spark):
+    texts = {
+        "2017-01-15": "2017-01-15", "1/15/2017": "2017-01-15", "20170115": "2017-01-15", "15/1/2017": "2017-01-15",
+        "15.1.2017": "2017-01-15", "Jan 15, 2017": "2017-01-15", "2017-02-30": None, "2/30/2017": None, "soon": None, " 2017-1-5 ": "2017-01-05",
+    }
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", to_date(F.col("t")).cast("string").alias("d"))
+    assert {r.t: r.d for r in df.collect()} == texts
+
+
 def test_median_of_nothing(spark):
     df = spark.createDataFrame([(None,)], "v decimal(20,6)")
     assert spark.range(1).select(exact_median(df, "v")).first()[0] is None

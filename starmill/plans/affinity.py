@@ -12,9 +12,9 @@ the same; what differs is how many pairs are ever built:
    customers cannot be in a winning pair and is left out.
 3. The pairs of the few customers with the very largest baskets are not built.
    Those built from all other baskets are looked up in the large ones instead.
-   A pair missed that way belongs to the customers set aside alone; once the
-   last winner has more customers than were set aside, it cannot win. Otherwise
-   so many fewer are set aside that it holds.
+   A pair missed that way belongs to the customers set aside alone. They are
+   fewer than the floor, so it cannot win. Where the best sellers give no floor,
+   the last winner found has to have more customers than were set aside.
 4. Other large baskets are cut into chunks that different tasks pair up.
 """
 
@@ -102,13 +102,15 @@ def q16_product_affinity(
     max_looked_up: int = MAX_LOOKED_UP,
 ) -> DataFrame:
     lines = stage(_lines(star.sales), "affinity-lines")
-    support = lines.groupBy("product_id").agg(F.count_distinct("customer_id").alias("customers"))
+    support = stage(
+        lines.groupBy("product_id").agg(F.count_distinct("customer_id").alias("customers")), "affinity-support"
+    )
     best = support.orderBy(F.desc("customers"), "product_id").limit(seeds).select("product_id")
     seed_lines = lines.join(F.broadcast(best), "product_id", "left_semi")
     floor = _last_winner(_per_pair(_pairs(seed_lines)), limit)
     if floor > 1:
         frequent = support.filter(F.col("customers") >= floor).select("product_id")
-        lines = lines.join(broadcast_if_fits(frequent), "product_id", "left_semi")
+        lines = stage(lines.join(broadcast_if_fits(frequent), "product_id", "left_semi"), "affinity-frequent")
 
     large = stage(
         lines.groupBy(*BASKET).agg(F.count("*").alias("products")).filter(F.col("products") > large_basket),
@@ -117,7 +119,7 @@ def q16_product_affinity(
     if large.isEmpty():
         pairs = _per_pair(_pairs(lines))
     else:
-        pairs = _pairs_with_large(lines, large, large_basket, limit, max_looked_up)
+        pairs = _pairs_with_large(lines, large, large_basket, limit, max_looked_up, floor)
     return (
         pairs.select(
             *PAIR,
@@ -130,23 +132,24 @@ def q16_product_affinity(
 
 
 def _pairs_with_large(
-    lines: DataFrame, large: DataFrame, chunk: int, limit: int, max_looked_up: int
+    lines: DataFrame, large: DataFrame, chunk: int, limit: int, max_looked_up: int, floor: int
 ) -> DataFrame:
     """Pairs that include the ``limit`` best, where some baskets are large."""
+    # fewer than the floor, and the winners are certain; without a floor the result must show it
+    most = min(max_looked_up, floor - 1) if floor > 1 else max_looked_up
     largest = (
         large.groupBy("customer_id")
         .agg(F.max("products").alias("products"))
         .orderBy(F.desc("products"), "customer_id")
-        .limit(max_looked_up)
+        .limit(most)
     )
     aside = [row["customer_id"] for row in largest.collect()]  # at most max_looked_up ids
-    while aside:
+    if floor > len(aside) > 0:
+        return _looked_up(lines, large, chunk, limit, aside)
+    if aside:
         pairs = stage(_looked_up(lines, large, chunk, limit, aside), "affinity-pairs")
-        last = _last_winner(pairs, limit)
-        if last > len(aside):
+        if _last_winner(pairs, limit) > len(aside):
             return pairs
-        # Next time the same pairs are found at least, so this is the last round.
-        aside = aside[: max(last - 1, 0)]
     return _per_pair(_pairs(lines, large, chunk))
 
 

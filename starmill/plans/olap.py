@@ -41,24 +41,24 @@ def _orders() -> Column:
     return F.count_distinct("order_id")
 
 
-def _sales(star: Star, year: int | None = None) -> DataFrame:
+def _sales(star: Star, year: int | None = None, first_month: int = 1) -> DataFrame:
     if year is None:
         return star.sales
-    first, last = dt.date(year, 1, 1), dt.date(year, 12, 31)
+    first, last = dt.date(year, first_month, 1), dt.date(year, 12, 31)
     sales = star.sales.filter(F.col("date_id").between(F.lit(first), F.lit(last)))
     if SALE_YEAR in sales.columns:
         sales = sales.filter(F.col(SALE_YEAR) == year)
     return sales
 
 
-def _dated(star: Star, *attributes: str, year: int | None = None, where: str = "true") -> DataFrame:
-    """Sales with calendar attributes, one year of them if given."""
-    calendar = star.dim_date.filter(where)
+def _dated(star: Star, *attributes: str, year: int | None = None, first_month: int = 1) -> DataFrame:
+    """Sales with calendar attributes, one year of them if given, from a month on."""
+    calendar = star.dim_date.filter(F.col("month") >= first_month) if first_month > 1 else star.dim_date
     if year is None:
         calendar = broadcast_if_fits(calendar.select("date_id", *attributes))
     else:
         calendar = F.broadcast(calendar.filter(F.col("year") == year).select("date_id", *attributes))
-    return _sales(star, year).join(calendar, "date_id")
+    return _sales(star, year, first_month).join(calendar, "date_id")
 
 
 def _mean(total: Column, rows: Column) -> Column:
@@ -158,10 +158,15 @@ def q04_gender_age_quarterly(star: Star, year: int) -> DataFrame:
 
 def _top_traits_by_category(star: Star, trait: str, total: str, rank: str, top: int) -> DataFrame:
     best = Window.partitionBy("product_category").orderBy(F.desc(total))
+    per_customer = (
+        star.sales.groupBy("customer_id", "product_id").agg(_amount().alias("amount"))
+        .join(star.dim_product.select("product_id", "product_category"), "product_id")
+        .groupBy("customer_id", "product_category").agg(F.sum("amount").alias("amount"))
+    )
     return (
-        _with_customer_and_category(star, trait)
+        per_customer.join(star.dim_customer.select("customer_id", trait), "customer_id")
         .groupBy("product_category", trait)
-        .agg(_amount().alias(total))
+        .agg(F.sum("amount").alias(total))
         .withColumn(rank, F.rank().over(best))
         .filter(F.col(rank) <= top)
         .orderBy("product_category", rank, trait)
@@ -175,7 +180,7 @@ def q05_top_occupations_by_category(star: Star, top: int = 5) -> DataFrame:
 def q06_city_marital_h2(star: Star, year: int) -> DataFrame:
     keys = ["year", "month", "month_name", "city_category", "marital_status"]
     return (
-        _dated(star, "year", "month", "month_name", year=year, where="month >= 7")
+        _dated(star, "year", "month", "month_name", year=year, first_month=7)
         .join(star.dim_customer.select("customer_id", "city_category", "marital_status"), "customer_id")
         .groupBy(*keys)
         .agg(_amount().alias("total_purchase_amount"), _orders().alias("total_orders"))

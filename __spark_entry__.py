@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -20,6 +22,7 @@ from starmill.operators.dedupe import keep_first
 from starmill.operators.enrich import enrich
 from starmill.plans import affinity, olap
 from starmill.plans.star import Star
+from starmill.plans.warehouse import build_warehouse, stored_tables
 from starmill.scratch import scratch_path, stage
 from starmill.sources import files, sample
 from starmill.streaming import enrichment
@@ -79,11 +82,57 @@ def _dimensions(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 # Scans and loads
 
 
+def _delivered_csv(spark: SparkSession, raw: DataFrame, columns: list[str], name: str) -> str:
+    """The rows as CSV files in delivery order, so that first copies are where they should be."""
+    path = scratch_path(spark, name)
+    blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    ordered = raw.repartitionByRange("file_order").sortWithinPartitions("file_order")
+    ordered.select(*columns).write.options(header=True, **blanks).csv(path)
+    return path
+
+
 def scan_transactions_csv(spark: SparkSession, folder: str) -> DataFrame:
-    path = scratch_path(spark, "transactions-csv")
-    raw = sample.raw_transactions(spark, folder).select(*schemas.TRANSACTION_FILE.names)
-    raw.write.option("header", True).csv(path)
-    return files.read_transactions(spark, path).select(*schemas.TRANSACTION_FILE.names)
+    names = schemas.TRANSACTION_FILE.names
+    path = _delivered_csv(spark, sample.raw_transactions(spark, folder), names, "transactions-csv")
+    return files.read_transactions(spark, path).select(*names)
+
+
+def scan_customers(spark: SparkSession, folder: str) -> DataFrame:
+    """A master delivered as parquet."""
+    names = schemas.CUSTOMER_FILE.names
+    path = scratch_path(spark, "customers") + ".parquet"
+    sample.raw_customers(spark, folder).select(*names).write.parquet(path)
+    return files.read_customers(spark, path).select(*names)
+
+
+def _scan_products(spark: SparkSession, folder: str, columns: list[str]) -> DataFrame:
+    path = _delivered_csv(spark, sample.raw_products(spark, folder), columns, "products-csv")
+    return files.read_products(spark, path).select(*schemas.PRODUCT_FILE.names)
+
+
+def scan_products(spark: SparkSession, folder: str) -> DataFrame:
+    return _scan_products(spark, folder, schemas.PRODUCT_FILE.names)
+
+
+def scan_products_reordered(spark: SparkSession, folder: str) -> DataFrame:
+    """Files whose columns stand in another order than expected."""
+    return _scan_products(spark, folder, schemas.PRODUCT_FILE.names[::-1])
+
+
+def warehouse_build_twice(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows per table after a second build in place of the first."""
+    inputs = [
+        _delivered_csv(spark, raw, schema.names, name)
+        for name, raw, schema in (
+            ("customers", sample.raw_customers(spark, folder), schemas.CUSTOMER_FILE),
+            ("products", sample.raw_products(spark, folder), schemas.PRODUCT_FILE),
+            ("transactions", sample.raw_transactions(spark, folder), schemas.TRANSACTION_FILE),
+        )
+    ]
+    base = scratch_path(spark, "warehouse")
+    for _ in range(2):
+        build_warehouse(spark, *inputs, base, replace=True)
+    return quality.row_counts(stored_tables(spark, base))
 
 
 def load_dimensions(spark: SparkSession, folder: str) -> DataFrame:
@@ -98,9 +147,7 @@ def fact_sales_load(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def describe_table(spark: SparkSession, folder: str) -> DataFrame:
-    path = scratch_path(spark, "dim-customer")
-    tables.append(_customers(spark, folder), path, schemas.DIM_CUSTOMER)
-    tables.create_view(tables.read(spark, path, schemas.DIM_CUSTOMER), "dim_customer")
+    tables.create_view(_customers(spark, folder), "dim_customer")
     return tables.describe(spark, "dim_customer")
 
 
@@ -116,11 +163,14 @@ def coerce_numeric(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def coerce_date(spark: SparkSession, folder: str) -> DataFrame:
-    return sample.raw_transactions(spark, folder).select(
-        F.col("orderID").cast("bigint").alias("order_id"),
-        F.col("date").alias("date_text"),
-        to_date(F.col("date")).alias("date_id"),
+    """Dates in three forms: ISO, month/day/year and eight digits."""
+    raw = sample.raw_transactions(spark, folder)
+    day, key = F.col("date").try_cast("date"), F.col("orderID").cast("bigint")
+    text = F.coalesce(
+        F.when(key % 3 == 1, F.date_format(day, "M/d/yyyy")).when(key % 3 == 2, F.date_format(day, "yyyyMMdd")),
+        F.col("date"),
     )
+    return raw.select(key.alias("order_id"), text.alias("date_text")).withColumn("date_id", to_date(F.col("date_text")))
 
 
 def impute_median_price(spark: SparkSession, folder: str) -> DataFrame:
@@ -160,23 +210,37 @@ def _target(spark: SparkSession, name: str) -> dict[str, str]:
 
 
 def stream_enrich(spark: SparkSession, folder: str) -> DataFrame:
-    paths = _target(spark, "stream-enrich")
-    tables.recreate_enriched(spark, paths["target"])
-    return enrichment.stream_enrich(_stream(spark, folder), sample.master(spark, folder), **paths)
+    return enrichment.stream_enrich(
+        _stream(spark, folder), sample.master(spark, folder), **_target(spark, "stream-enrich")
+    )
 
 
 def stream_batch_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return enrichment.stream_batch_counts(
-        _stream(spark, folder), sample.master_partial(spark, folder), **_target(spark, "stream-counts")
+    """Totals over the micro-batches, of which there are several: the lines come as four files."""
+    path = scratch_path(spark, "lines")
+    sample.table(spark, folder, "lineitem").repartition(4).write.parquet(f"{path}/lineitem.parquet")
+    lines = sample.line_stream(spark, path, files_per_batch=1, pattern="lineitem.parquet")
+    counts = enrichment.stream_batch_counts(
+        sample.transactions(spark, folder, lines), sample.master_partial(spark, folder), **_target(spark, "stream-counts")
+    )
+    return counts.agg(
+        (F.count("*") > 1).cast("int").alias("several_batches"),
+        F.sum("processed").alias("processed"),
+        F.sum("joined").alias("joined"),
     )
 
 
 def stream_enrich_clean(spark: SparkSession, folder: str) -> DataFrame:
+    """Each order once, and whether its row is what one of the order's good copies gives."""
+    products = stage(_products(spark, folder), "products")
     raw = sample.raw_transactions(spark, folder, sample.line_stream(spark, folder))
-    # which copy of an order comes first is not defined on a stream
-    return enrichment.stream_enrich_clean(
-        raw, _products(spark, folder), **_target(spark, "stream-clean")
-    ).select("order_id")
+    found = enrichment.stream_enrich_clean(raw, products, **_target(spark, "stream-clean"))
+    usable = cleaning.fill_and_require_keys(cleaning.coerced_transactions(sample.raw_transactions(spark, folder)))
+    copies = enrich(usable.filter(cleaning.good_quantity()), products).distinct()
+    same = reduce(and_, (F.col(f"f.{c}").eqNullSafe(F.col(f"c.{c}")) for c in schemas.FACT_ENRICHED.names))
+    return found.alias("f").join(
+        copies.withColumn("is_copy", F.lit(1)).alias("c"), (F.col("f.order_id") == F.col("c.order_id")) & same, "left"
+    ).select("f.order_id", F.coalesce("is_copy", F.lit(0)).alias("is_copy"))
 
 
 def stream_unmatched(spark: SparkSession, folder: str) -> DataFrame:
@@ -244,6 +308,10 @@ def _registered() -> dict[str, Query]:
     in_year = {"year": YEAR}
     return {
         "scan_transactions_csv": scan_transactions_csv,
+        "scan_customers": scan_customers,
+        "scan_products": scan_products,
+        "scan_products_reordered": scan_products_reordered,
+        "warehouse_build_twice": warehouse_build_twice,
         "load_dimensions": load_dimensions,
         "fact_sales_load": fact_sales_load,
         "table_preview": lambda s, d: tables.preview(sample.sales(s, d)),
@@ -317,8 +385,7 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB SQL giving the same rows; stream_batch_counts has none, since how
-    the input falls into micro-batches is not a matter of SQL."""
+    """DuckDB SQL giving the same rows."""
     made = oracles.oracle_sql()
     return made | corpus.oracle_sql() if corpus else made
 

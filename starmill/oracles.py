@@ -158,6 +158,7 @@ raw_tx AS (
          CASE WHEN l_orderkey % 67 <> 0 THEN 'P' || lpad(CAST(l_partkey AS VARCHAR), 8, '0') END AS product_id,
          CASE WHEN l_orderkey % 97 = 0 THEN 'n/a' WHEN l_orderkey % 89 = 0 THEN '-1'
               WHEN l_orderkey % 83 = 0 THEN NULL WHEN l_orderkey % 79 = 0 THEN '0'
+              WHEN l_orderkey % 73 = 0 THEN '99999999999'
               ELSE CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) END AS quantity,
          CASE WHEN l_orderkey % 61 = 0 THEN 'not-a-date'
               ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS date_text,
@@ -177,7 +178,7 @@ first_tx AS (
 
 CLEAN_TX = RAW_TX + """,
 usable_tx AS (
-  SELECT order_id, customer_id, product_id, date_id, CAST(coalesce(quantity, 1) AS INTEGER) AS quantity
+  SELECT order_id, customer_id, product_id, date_id, try_cast(coalesce(quantity, 1) AS INTEGER) AS quantity
   FROM first_tx WHERE customer_id IS NOT NULL AND product_id IS NOT NULL),
 clean_tx AS (SELECT * FROM usable_tx WHERE quantity > 0)"""
 
@@ -285,6 +286,22 @@ def oracle_sql() -> dict[str, str]:
 SELECT order_id AS "orderID", customer_id AS "Customer_ID", product_id AS "Product_ID",
        nullif(quantity, 'n/a') AS quantity, date_text AS date
 FROM raw_tx""",
+    )
+    sql["scan_customers"] = _with(
+        RAW_CUSTOMER,
+        """
+SELECT CAST(customer_id AS VARCHAR) AS "Customer_ID", gender AS "Gender", age AS "Age", occupation AS "Occupation",
+       city_category AS "City_Category", stay_in_current_city_years AS "Stay_In_Current_City_Years",
+       CAST(marital_status AS VARCHAR) AS "Marital_Status"
+FROM raw_customer""",
+    )
+    sql["scan_products"] = sql["scan_products_reordered"] = _with(
+        RAW_PRODUCT,
+        """
+SELECT product_id AS "Product_ID", product_category AS "Product_Category", nullif(price, 'n/a') AS "price$",
+       CAST(store_id AS VARCHAR) AS "storeID", CAST(supplier_id AS VARCHAR) AS "supplierID",
+       store_name AS "storeName", supplier_name AS "supplierName"
+FROM raw_product""",
     )
     loaded = ",".join([CLEAN_CUSTOMER, CLEAN_PRODUCT, CLEAN_TX, DIRTY_CAL])
     sql["load_dimensions"] = _with(
@@ -299,6 +316,13 @@ FROM raw_tx""",
             ]
         ),
     )
+    sql["warehouse_build_twice"] = (
+        sql["load_dimensions"]
+        + "\nUNION ALL\n"
+        + _count("clean_tx", "fact_sales")
+        + "\nUNION ALL\n"
+        + _count("(SELECT 1 FROM typed_tx JOIN clean_product USING (product_id))", "fact_sales_enriched")
+    )
     sql["fact_sales_load"] = _with(CLEAN_TX, "SELECT * FROM clean_tx")
     enriched = """
 SELECT order_id, customer_id, product_id, date_id, quantity, CAST(unit_price AS DOUBLE) AS unit_price,
@@ -351,7 +375,10 @@ FROM raw_tx""",
     sql["coerce_date"] = _with(
         RAW_TX,
         """
-SELECT CAST(order_id AS BIGINT) AS order_id, date_text, try_cast(date_text AS DATE) AS date_id
+SELECT CAST(order_id AS BIGINT) AS order_id,
+       coalesce(CASE CAST(order_id AS BIGINT) % 3 WHEN 1 THEN strftime(try_cast(date_text AS DATE), '%-m/%-d/%Y')
+                WHEN 2 THEN strftime(try_cast(date_text AS DATE), '%Y%m%d') END, date_text) AS date_text,
+       try_cast(date_text AS DATE) AS date_id
 FROM raw_tx""",
     )
     sql["impute_median_price"] = _with(
@@ -362,7 +389,7 @@ SELECT c.product_id, CAST(k.known_price AS DOUBLE) AS delivered_price,
 FROM clean_product c JOIN known_product k USING (product_id)""",
     )
     sql["clean_transactions"] = sql["fact_sales_load"]
-    sql["rejected_transactions"] = _with(CLEAN_TX, "SELECT * FROM usable_tx WHERE quantity <= 0")
+    sql["rejected_transactions"] = _with(CLEAN_TX, "SELECT * FROM usable_tx WHERE quantity <= 0 OR quantity IS NULL")
     sql["cleaning_report"] = _with(
         loaded,
         "\nUNION ALL\n".join(
@@ -385,14 +412,21 @@ SELECT doc_id, {_title("text")} AS title FROM documents"""
     sql["stream_enrich_clean"] = _with(
         ",".join([RAW_TX, CLEAN_PRODUCT]),
         """
-SELECT DISTINCT order_id
+SELECT DISTINCT order_id, CAST(1 AS INTEGER) AS is_copy
 FROM typed_tx JOIN clean_product USING (product_id)
-WHERE customer_id IS NOT NULL AND coalesce(quantity, 1) > 0""",
+WHERE customer_id IS NOT NULL AND try_cast(coalesce(quantity, 1) AS INTEGER) > 0""",
     )
     sql["stream_unmatched"] = _star(
         """
 SELECT * FROM movement
 WHERE product_id NOT IN (SELECT product_id FROM item WHERE CAST(substr(product_id, 2) AS BIGINT) % 10 <> 9)"""
+    )
+    sql["stream_batch_counts"] = _star(
+        """
+SELECT CAST(1 AS INTEGER) AS several_batches, count(*) AS processed,
+       count(*) FILTER (product_id IN (SELECT product_id FROM item WHERE CAST(substr(product_id, 2) AS BIGINT) % 10 <> 9))
+         AS joined
+FROM movement"""
     )
     sql["stream_store_quarterly"] = _star(STORE_QUARTERS)
 
@@ -600,8 +634,8 @@ LIMIT 50"""
     )
     dirty_fact = """,
 dirty_fact AS (
-  SELECT order_id, customer_id, product_id, date_id, quantity, unit_price,
-         CAST(quantity * unit_price AS DECIMAL(10,2)) AS total_amount
+  SELECT order_id, customer_id, product_id, date_id, try_cast(quantity AS INTEGER) AS quantity, unit_price,
+         try_cast(quantity * unit_price AS DECIMAL(10,2)) AS total_amount
   FROM typed_tx JOIN clean_product USING (product_id))"""
     sql["not_null_violations"] = _with(
         loaded + dirty_fact,

@@ -1,8 +1,10 @@
 """Quality rules: base counts, and a hashed n-gram likelihood ratio.
 
 Words and runs of signs, alone and in pairs, are hashed into ``buckets``. Two
-multinomials are counted over all rows: the trusted target (documents labelled
-good) and the raw corpus (all documents). A document's score is the mean over
+multinomials are counted: the raw corpus over all documents, and the trusted
+target over those labelled good, ``TARGET_DOCS`` of them at most (if there are
+more, those whose doc_id has a low hash; the sample is small enough to meet the
+texts where they are read). A document's score is the mean over
 its n-grams of log p(target) - log p(raw). The threshold is where the labelled
 documents part best, taken from a histogram over all of them, in which a good
 document is scored without its own n-grams; every document at or above it is
@@ -26,6 +28,7 @@ from pyspark.sql import functions as F
 from starmill.llm import blocks
 
 BUCKETS = 1 << 14
+TARGET_DOCS = 200_000
 WINDOW = 8
 SCALE = 4000  # histogram cells for a score of 1
 _CELLS = 20_000  # scores beyond +-5 fall into the outer cells
@@ -78,12 +81,22 @@ def ngram_buckets(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     return (keys[order] % np.uint64(size)).astype(np.int64), np.searchsorted(place[order], found.first)
 
 
+def trusted_sample(labels: DataFrame, most: int = TARGET_DOCS) -> DataFrame:
+    """doc_id of documents labelled good: all, or about nine tenths of ``most`` where there are more."""
+    good = labels.filter("quality > 0 and doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct()
+    count = good.count()
+    if count <= most:
+        return good
+    return good.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(900_000 * most / count))
+
+
 def corpus_counts(docs: DataFrame, target: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
     """n-grams per bucket in all rows of ``docs`` (doc_id, text), and in those whose doc_id is in ``target``.
 
-    Each task sends one row per bucket; the driver receives ``buckets`` rows.
+    ``target`` is of bounded size (``trusted_sample``), so no text is moved. Each
+    task sends one row per bucket; the driver receives ``buckets`` rows.
     """
-    trusted = target.select("doc_id").distinct().withColumn("trusted", F.lit(True))
+    trusted = F.broadcast(target.select("doc_id").withColumn("trusted", F.lit(True)))
     marked = docs.join(trusted, "doc_id", "left").select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,9 +158,10 @@ def left_out_scores(docs: DataFrame, counts: np.ndarray) -> DataFrame:
     return blocks.map_texts(docs, work, "doc_id bigint, llr double, left_out double")
 
 
-def threshold(scored: DataFrame, labels: DataFrame) -> float:
-    """The score from which balanced accuracy on the labelled documents is largest."""
-    score = F.when(F.col("quality") > 0, F.col("left_out")).otherwise(F.col("llr"))
+def threshold(scored: DataFrame, labels: DataFrame, target: DataFrame) -> float:
+    """The score from which balanced accuracy on the labelled documents is largest; those of ``target`` count as left out."""
+    scored = scored.join(F.broadcast(target.select("doc_id").withColumn("trusted", F.lit(True))), "doc_id", "left")
+    score = F.when(F.col("trusted"), F.col("left_out")).otherwise(F.col("llr"))
     cell = F.greatest(F.lit(-_CELLS), F.least(F.lit(_CELLS), F.round(score * SCALE))).cast("int").alias("cell")
     known = labels.select("doc_id", "quality").filter("doc_id is not null and quality is not null").distinct()
     rows = scored.filter("llr is not null").join(known, "doc_id").groupBy(cell, "quality").count().collect()
@@ -167,9 +181,9 @@ def assess(
 ) -> tuple[DataFrame, float]:
     """doc_id, base counts, llr, base_failed and kept of every document, and the threshold taken."""
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    trusted = labels.filter("quality = 1")
-    counts = corpus_counts(rows, trusted, buckets)
-    least = threshold(left_out_scores(rows, counts), labels)
+    target = trusted_sample(labels)
+    counts = corpus_counts(rows, target, buckets)
+    least = threshold(left_out_scores(rows, counts), labels, target)
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     kept = ~F.col("base_failed") & F.coalesce(F.col("llr") >= F.lit(least), F.lit(False))
     return scores(rows, counts).withColumn("base_failed", failed).withColumn("kept", kept), least

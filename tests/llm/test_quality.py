@@ -44,7 +44,7 @@ def test_junk_goes_and_good_documents_stay(spark, small):
 
 def test_ratios_and_scores_against_plain_counting(spark):
     rows = [(1, "good words here"), (2, "bad ### words"), (3, "good good ###")]
-    counts = quality.corpus_counts(docs(spark, rows), spark.createDataFrame([(1,), (3,), (3,)], "doc_id bigint"), 64)
+    counts = quality.corpus_counts(docs(spark, rows), spark.createDataFrame([(1,), (3,)], "doc_id bigint"), 64)
     found = [quality.ngram_buckets(pa.array([t]), 64)[0] for _, t in rows]
     assert [len(k) for k in found] == [5, 5, 5]
     raw = np.bincount(np.concatenate(found), minlength=64)
@@ -59,8 +59,17 @@ def test_ratios_and_scores_against_plain_counting(spark):
 def test_threshold_parts_the_labels(spark):
     scored = spark.createDataFrame([(k, k / 100, k / 100) for k in range(20)], "doc_id bigint, llr double, left_out double")
     labels = spark.createDataFrame([(k, int(k >= 8)) for k in range(20)] + [(99, None), (None, 1)], "doc_id bigint, quality int")
-    assert 0.07 < quality.threshold(scored, labels) < 0.08
-    assert quality.threshold(scored, labels.filter("quality = 1")) == float("-inf")
+    target = quality.trusted_sample(labels)
+    assert {r.doc_id for r in target.collect()} == set(range(8, 20))
+    assert 0.07 < quality.threshold(scored, labels, target) < 0.08
+    assert quality.threshold(scored, labels.filter("quality = 1"), target) == float("-inf")
+
+
+def test_target_sample_is_bounded(spark):
+    labels = spark.range(20_000).selectExpr("id as doc_id", "1 as quality")
+    for most in (100, 5000):
+        assert 0.7 * most < quality.trusted_sample(labels, most).count() <= most
+    assert quality.trusted_sample(labels, 20_000).count() == 20_000
 
 
 def test_edge_cases(spark):

@@ -90,6 +90,27 @@ def word_counts(docs: DataFrame, text: str = "text", lang: str = "lang") -> Data
     return labelled.mapInArrow(run, "word string, lang string, n bigint").groupBy("word", "lang").agg(F.sum("n").alias("n"))
 
 
+_STEPS = 64  # of a frequency scale, per doubling
+
+
+def most_frequent(counts: DataFrame, most: int) -> DataFrame:
+    """The rows with the largest ``n``, at most ``most`` of them.
+
+    A histogram of log2(n) in steps, of some thousand rows at any size of the
+    table, shows from which step on the rows are few enough; no task sorts or
+    sends more than the rows taken.
+    """
+    step = F.floor(F.log2("n") * _STEPS)
+    rows = counts.groupBy(step.alias("step")).agg(F.count("*").alias("rows")).orderBy(F.desc("step")).collect()
+    taken, least = 0, None
+    for row in rows:
+        taken += row.rows
+        if taken > most:
+            break
+        least = row.step
+    return counts.filter(F.lit(False) if least is None else step >= least)
+
+
 def _gram_column(size: int):
     padded = F.concat(F.lit("^"), F.col("word"), F.lit("$"))
     return F.transform(F.sequence(F.lit(1), F.length(padded) - size + 1), lambda i: F.substring(padded, i, size))
@@ -102,7 +123,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", vocabulary: i
         .agg(F.sum("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
     )
     per_word = stage(per_word, "word-counts")  # read for words and for n-grams
-    top = per_word.orderBy(F.desc("n"), "word").limit(vocabulary).collect()
+    top = sorted(most_frequent(per_word, vocabulary).collect(), key=lambda r: (-r.n, r.word))
     # an n-gram longer than its padded word does not exist
     sizes = [
         F.when(F.length("word") + 2 >= size, _gram_column(size)).otherwise(F.array().cast("array<string>"))
@@ -116,7 +137,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", vocabulary: i
         pieces.groupBy("gram", "lang").agg(F.sum("n").alias("n")).groupBy("gram")
         .agg(F.sum("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
     )
-    top_grams = per_gram.orderBy(F.desc("n"), "gram").limit(grams).collect()
+    top_grams = sorted(most_frequent(stage(per_gram, "gram-counts"), grams).collect(), key=lambda r: (-r.n, r.gram))
     languages = sorted({name for row in top for name in row.by})
     names = {name: i for i, name in enumerate(languages)}
 

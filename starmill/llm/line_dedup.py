@@ -20,8 +20,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starmill.scratch import stage
+
 RATIO = 0.1
 MIN_PAGES = 10
+BROADCAST_LINES = 500_000  # boilerplate lines up to which the lists travel to the pages, some MB
 
 _BLANK = r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$"
 
@@ -60,7 +63,12 @@ def boilerplate(docs: DataFrame, text: str = "text", host: str = "source", ratio
 
 def drop_lines(docs: DataFrame, text: str = "text", host: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
     """``docs`` with the boilerplate lines of their host taken out of ``text``; other columns stay."""
-    lists = boilerplate(docs, text, host, ratio, min_pages).select(F.col("host").alias("__host"), F.col("dropped").alias("__dropped"))
+    lists = stage(boilerplate(docs, text, host, ratio, min_pages), "boilerplate").select(
+        F.col("host").alias("__host"), F.col("dropped").alias("__dropped")
+    )
+    # with more lists than that the pages move to them, and AQE splits a hot host; the result is the same
+    if (lists.agg(F.sum(F.size("__dropped"))).first()[0] or 0) <= BROADCAST_LINES:
+        lists = F.broadcast(lists)
     lines = _lines(F.col(text))
     kept = F.filter(lines, lambda line: ~(_has_word(line) & F.array_contains(F.col("__dropped"), line_key(line))))
     clean = F.when(F.col("__dropped").isNull() | F.col(text).isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))

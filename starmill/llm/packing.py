@@ -19,7 +19,10 @@ runs again makes the same rows.
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
+from array import array
 from collections import Counter, deque
 from collections.abc import Iterator
 
@@ -34,12 +37,22 @@ from starmill.llm import blocks
 WINDOW = 4096
 END_ID = 2
 POOL_TOKENS = 1 << 20
-CACHED_WORDS = 300_000
+CACHED_WORDS = 400_000  # of each of two generations
 
 SCHEMA = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, ids binary"
 _TASK_BITS = 36  # sequences of a task
 
 
+_PART = re.compile(r"[a-z]+|[0-9]|[^a-z0-9]+")
+
+
+def _parts(word: str) -> list[str]:
+    """What the vocabulary takes apart anyway: letters, digits and signs of a plain word, in lower case."""
+    if word.isascii() and word.isprintable() and "'" not in word and "<" not in word:
+        return _PART.findall(word.lower())
+    return [word]
+
+
 class WordEncoder:
     """Token ids as little-endian unsigned 32-bit bytes, word by word.
 
@@ -48,22 +61,34 @@ class WordEncoder:
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
         self._known: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}  # words not met since the last turn are let go at the next
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         split = [(t or "").replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-        known = self._known
-        new = list(set().union(*split).difference(known))
-        if len(known) + len(new) > CACHED_WORDS:
-            known.clear()
-            new = list(set().union(*split))
-        for k in range(0, len(new), 10_000):
-            part = new[k : k + 10_000]
-            for word, made in zip(part, self._tokenizer.encode_batch(part, add_special_tokens=False)):
-                known[word] = np.array(made.ids, "<u4").tobytes()
+        if len(self._known) > CACHED_WORDS:
+            self._known, self._older = {}, self._known
+        known, older = self._known, self._older
+        new = []
+        for word in set().union(*split).difference(known):
+            ids = older.get(word)
+            if ids is None:
+                new.append(word)
+            else:
+                known[word] = ids
+        parted = {word: _parts(word) for word in new}
+        todo = list({part for parts in parted.values() for part in parts}.difference(known))
+        for k in range(0, len(todo), 10_000):
+            some = todo[k : k + 10_000]
+            for part, made in zip(some, self._tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                known[part] = array("I", made.ids).tobytes()
+        for word, parts in parted.items():
+            if word not in known:
+                known[word] = b"".join([known[part] for part in parts])
         get = known.__getitem__
         return [b"".join(map(get, words)) for words in split]
 

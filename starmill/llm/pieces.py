@@ -6,9 +6,10 @@ score of reaching it; going backward from the end, that score is the exact
 remaining cost, so A* takes the segmentations off its queue in order of score.
 
 No piece of the vocabulary runs across the beginning of a word, so the lattice
-falls apart into words. Every distinct word is searched once and remembered; a
-text's N best come from a second search of the same kind over its words, where
-the alternatives of a word are ranked by what they lose against its best.
+falls apart into words. Every distinct word has its forward pass once, which
+also tells what its second best loses, and is remembered. A text's N best differ
+from its best in the N - 1 words that lose least; only these are searched by A*,
+and their alternatives put together in order of what they lose.
 
 A character without a piece becomes the pieces of its UTF-8 bytes, at
 ``UNKNOWN_STEP`` below the worst score. Scores are sums of floats that are
@@ -23,7 +24,9 @@ all there are. Repeated rows: encoded once each. Null doc_id: returned as null.
 from __future__ import annotations
 
 import heapq
+import math
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,10 +38,12 @@ from starmill.llm import blocks
 
 SPACE = "▁"
 UNKNOWN_STEP = 10.0
-CACHED_WORDS = 100_000
+CACHED_WORDS = 150_000  # of each of two generations
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 Segmentation = tuple[float, tuple[int, ...]]
+Choice = tuple[float, bytes, float]
+DECODED_IDS = 1 << 18  # at once
 
 
 class Vocabulary:
@@ -56,22 +61,36 @@ class Vocabulary:
                 self.bytes[int(name[3:5], 16)] = i
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
                 self.ids[name] = (i, model.get_score(i))
-        self.byte_values = {i: b for b, i in self.bytes.items()}
         self.unknown = min(s for _, s in self.ids.values()) - UNKNOWN_STEP
-        self.longest = max(map(len, self.ids))
         if any(SPACE in name.lstrip(SPACE) for name in self.ids):
             raise ValueError("a piece runs across the beginning of a word")
-        self._known: dict[tuple[str, int], list[Segmentation]] = {}
+        # every beginning of a piece, with the piece if it is one
+        self._begins: dict[str, tuple[float, tuple[int, ...]] | None] = {}
+        for name, (i, score) in self.ids.items():
+            for end in range(1, len(name)):
+                self._begins.setdefault(name[:end], None)
+            self._begins[name] = (score, (i,))
+        spelled = [n.replace(SPACE, " ").encode() for n in self.names]
+        for b, i in self.bytes.items():
+            spelled[i] = bytes([b])
+        self._lengths = np.array([len(x) for x in spelled], np.int64)
+        self._places = np.cumsum(self._lengths) - self._lengths
+        self._letters = np.frombuffer(b"".join(spelled), np.uint8)
         self._cached = cached
+        self._known: dict[str, Choice] = {}
+        self._older: dict[str, Choice] = {}  # words not met since the last turn go at the next
 
     def arcs(self, word: str) -> list[list[tuple[int, float, tuple[int, ...]]]]:
         """For every position the arcs that end there: (start, score, ids)."""
         ending: list[list] = [[] for _ in range(len(word) + 1)]
+        begins = self._begins
         for start in range(len(word)):
-            for end in range(start + 1, min(len(word), start + self.longest) + 1):
-                piece = self.ids.get(word[start:end])
+            for end in range(start + 1, len(word) + 1):
+                piece = begins.get(word[start:end], ())
                 if piece:
-                    ending[end].append((start, piece[1], (piece[0],)))
+                    ending[end].append((start, *piece))
+                elif piece is not None:
+                    break
             if word[start] not in self.ids:
                 ids = tuple(self.bytes[b] for b in word[start].encode())
                 ending[start + 1].append((start, self.unknown, ids))
@@ -79,19 +98,10 @@ class Vocabulary:
 
     def word_nbest(self, word: str, n: int) -> list[Segmentation]:
         """The n best segmentations of one word, best first."""
-        made = self._known.get((word, n))
-        if made is None:
-            made = self._search(word, n)
-            if len(self._known) >= self._cached:
-                self._known.clear()
-            self._known[word, n] = made
-        return made
-
-    def _search(self, word: str, n: int) -> list[Segmentation]:
         ending = self.arcs(word)
         best = [0.0] * (len(word) + 1)
         for end in range(1, len(word) + 1):
-            best[end] = max(best[start] + score for start, score, _ in ending[end])
+            best[end] = max([best[start] + score for start, score, _ in ending[end]])
         queue = [(-best[-1], (), len(word), 0.0)]
         found: list[Segmentation] = []
         while queue:
@@ -109,47 +119,104 @@ class Vocabulary:
         found.sort(key=lambda s: (-s[0], s[1]))
         return found[:n]
 
-    def nbest(self, text: str, n: int) -> list[Segmentation]:
-        """The n best segmentations of a text, best first."""
+    def _forward(self, word: str) -> Choice:
+        """The best segmentation, and what the second best loses against it.
+
+        Every segmentation but the best leaves it, seen from the end, at some
+        position for another arc; from there the forward scores are exact. So
+        the least loss is the least gap between the first and the second arc
+        at the positions of the best.
+        """
+        size = len(word)
+        best = [-math.inf] * (size + 1)
+        best[0] = 0.0
+        gap = [math.inf] * (size + 1)
+        back: list[tuple[int, tuple[int, ...]]] = [(0, ())] * (size + 1)
+        begins = self._begins
+        for start in range(size):
+            base = best[start]
+            for end in range(start + 1, size + 1):
+                piece = begins.get(word[start:end], ())
+                if piece:
+                    loss = best[end] - base - piece[0]
+                    if loss < 0:
+                        best[end], gap[end], back[end] = base + piece[0], -loss, (start, piece[1])
+                    elif loss < gap[end]:
+                        gap[end] = loss
+                elif piece is not None:
+                    break
+            if word[start] not in self.ids:
+                loss = best[start + 1] - base - self.unknown
+                if loss < 0:
+                    ids = tuple([self.bytes[b] for b in word[start].encode()])
+                    best[start + 1], gap[start + 1], back[start + 1] = base + self.unknown, -loss, (start, ids)
+                elif loss < gap[start + 1]:
+                    gap[start + 1] = loss
+        at, least, parts = size, math.inf, []
+        while at:
+            least = min(least, gap[at])
+            at, ids = back[at]
+            parts.append(ids)
+        ids = [i for part in reversed(parts) for i in part]
+        if least == 0:  # of equal scores the least ids
+            ids = self.word_nbest(word, 1)[0][1]
+        return best[size], array("i", ids).tobytes(), least
+
+    def _choices(self, words: list[str]) -> list[Choice]:
+        """Every word's best, and what its second choice loses; ids as 32-bit bytes."""
+        if len(self._known) > self._cached:
+            self._known, self._older = {}, self._known
+        known, older = self._known, self._older
+        for word in set(words).difference(known):
+            known[word] = older.get(word) or self._forward(word)
+        return list(map(known.__getitem__, words))
+
+    def nbest_bytes(self, text: str, n: int) -> list[tuple[float, bytes]]:
+        """The n best segmentations of a text, best first, ids as 32-bit bytes."""
         words = _WORD.findall(normal(text))
-        choices = [self.word_nbest(w, n) for w in words]
-        total = sum(c[0][0] for c in choices)
-        first = [c[0][1] for c in choices]
+        choices = self._choices(words)
+        total = sum([c[0] for c in choices])
+        first = [c[1] for c in choices]
         # places that have a second choice, by what it loses; n - 1 of them can matter
-        losses = heapq.nsmallest(
-            n - 1, ((c[0][0] - c[1][0], i) for i, c in enumerate(choices) if len(c) > 1)
-        )
+        loss = [c[2] for c in choices]
+        places = [i for i in heapq.nsmallest(n - 1, range(len(loss)), key=loss.__getitem__) if loss[i] < math.inf]
+        every = {i: self.word_nbest(words[i], n) for i in places}
         queue: list[tuple[float, tuple[tuple[int, int], ...]]] = [(0.0, ())]
         seen = set()
-        made: list[Segmentation] = []
+        made: list[tuple[float, bytes]] = []
         while queue and len(made) < n:
             lost, changed = heapq.heappop(queue)
             if changed in seen:
                 continue
             seen.add(changed)
-            ids = list(first)
+            ids = list(first) if changed else first
             for place, rank in changed:
-                ids[place] = choices[place][rank][1]
-            made.append((total - lost, tuple(i for part in ids for i in part)))
-            for _, place in losses:
+                ids[place] = array("i", every[place][rank][1]).tobytes()
+            made.append((total - lost, b"".join(ids)))
+            for place in places:
                 now = dict(changed)
                 rank = now.get(place, 0) + 1
-                if rank < len(choices[place]):
-                    before = choices[place][rank - 1][0]
+                if rank < len(every[place]):
                     now[place] = rank
-                    heapq.heappush(queue, (lost + before - choices[place][rank][0], tuple(sorted(now.items()))))
+                    heapq.heappush(queue, (lost + every[place][rank - 1][0] - every[place][rank][0], tuple(sorted(now.items()))))
         return made
 
+    def nbest(self, text: str, n: int) -> list[Segmentation]:
+        """The n best segmentations of a text, best first."""
+        return [(score, tuple(np.frombuffer(ids, np.int32).tolist())) for score, ids in self.nbest_bytes(text, n)]
+
+    def decode_all(self, ids: np.ndarray, bounds: np.ndarray) -> list[str]:
+        """The texts of many segmentations: those between each two of ``bounds``."""
+        lengths = self._lengths[ids]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        letters = self._letters[np.repeat(self._places[ids] - ends[:-1], lengths) + np.arange(ends[-1])].tobytes()
+        cuts = ends[bounds].tolist()
+        texts = [letters[a:b].decode("utf-8", "replace") for a, b in zip(cuts, cuts[1:])]
+        return [t[1:] if t.startswith(" ") else t for t in texts]
+
     def decode(self, ids) -> str:
         """The text of a segmentation."""
-        out = bytearray()
-        for i in ids:
-            if i in self.byte_values:
-                out.append(self.byte_values[i])
-            else:
-                out += self.names[i].encode()
-        text = out.decode("utf-8", "replace").replace(SPACE, " ")
-        return text[1:] if text.startswith(" ") else text
+        return self.decode_all(np.array(ids, np.int64), np.array([0, len(ids)]))[0]
 
 
 def normal(text: str) -> str:
@@ -164,16 +231,18 @@ def encode(docs: DataFrame, model: str, n: int = 1, doc_id: str = "doc_id", text
     def work(block: pa.RecordBatch) -> list:
         if not held:
             held.append(Vocabulary(model))
-        rows = []
+        keys, ranks, scores, ids = [], [], [], []
         for key, body in zip(block.column("doc_id").to_pylist(), block.column("text").to_pylist()):
-            if body is None:
-                rows.append((key, 1, None, None))
-                continue
-            for rank, (score, ids) in enumerate(held[0].nbest(body, n), 1):
-                rows.append((key, rank, score, np.array(ids, np.int32)))
-        columns = list(zip(*rows)) or [()] * 4
-        types = [pa.int64(), pa.int32(), pa.float64(), pa.list_(pa.int32())]
-        return [pa.array(c, t) for c, t in zip(columns, types)]
+            made = [(None, None)] if body is None else held[0].nbest_bytes(body, n)
+            keys += [key] * len(made)
+            ranks += range(1, len(made) + 1)
+            scores += [score for score, _ in made]
+            ids += [own for _, own in made]
+        ends = np.cumsum([0] + [len(own or b"") // 4 for own in ids]).astype(np.int32)
+        lists = pa.ListArray.from_arrays(
+            ends, np.frombuffer(b"".join(own or b"" for own in ids), np.int32), mask=pa.array([own is None for own in ids])
+        )
+        return [pa.array(keys, pa.int64()), pa.array(ranks, pa.int32()), pa.array(scores, pa.float64()), lists]
 
     return blocks.map_texts(docs, work, "doc_id bigint, rank int, score double, ids array<int>", doc_id=doc_id, text=text)
 
@@ -186,7 +255,15 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
         for batch in batches:
             if not held:
                 held.append(Vocabulary(model))
-            texts = [None if ids is None else held[0].decode(ids) for ids in batch.column("__ids").to_pylist()]
+            cells = batch.column("__ids")
+            counts = cells.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            flat, ends = cells.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(counts)])
+            texts: list[str | None] = []
+            while len(texts) < batch.num_rows:
+                start = len(texts)
+                stop = max(start + 1, int(np.searchsorted(ends, ends[start] + DECODED_IDS, "right")) - 1)
+                texts += held[0].decode_all(flat[ends[start] : ends[stop]], ends[start : stop + 1] - ends[start])
+            texts = [None if null else t for null, t in zip(cells.is_null().to_pylist(), texts)]
             kept = [c for c in batch.schema.names if c != "__ids"]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(texts, pa.string())], [*kept, "text"])
 

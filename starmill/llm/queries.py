@@ -23,7 +23,7 @@ def op1_langid(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
     model = langid.train(docs.filter(~F.coalesce(held_out, F.lit(False))))
-    return langid.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+    return langid.predict(docs, model).select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
 def op2_suffixes(spark: SparkSession, folder: str) -> DataFrame:

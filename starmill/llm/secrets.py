@@ -8,7 +8,7 @@ dictionary words cover, its path, and the words beside it. It is trained from
 labelled findings, a sample of at most ``TRAIN_ROWS`` of each label, chosen by
 hash.
 
-``weak_labels`` makes labelled findings where nobody has labelled any: a value
+``weak_label`` makes labelled findings where nobody has labelled any: a value
 of a key format, or one assigned to a credential's name that mixes digits and
 letters, is a secret; a placeholder, or a run that nothing names, is not.
 
@@ -33,7 +33,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmill.llm import blocks
-from starmill.llm.langid import word_counts
+from starmill.llm.langid import most_frequent, word_counts
+from starmill.scratch import stage
 
 TRAIN_ROWS = 5_000  # of each label
 DICTIONARY = 20_000  # words, the most frequent of three letters or more
@@ -74,10 +75,8 @@ def _letters(text: str) -> np.ndarray:
 
 def context(docs: DataFrame, text: str = "text", size: int = DICTIONARY) -> Context:
     """Counted over all texts; ``size`` words come to the driver."""
-    rows = (
-        word_counts(docs.select(F.col(text).alias("text"), F.lit("").alias("lang")))
-        .filter(F.length("word") >= 3).orderBy(F.desc("n"), "word").limit(size).collect()
-    )
+    counts = word_counts(docs.select(F.col(text).alias("text"), F.lit("").alias("lang"))).filter(F.length("word") >= 3)
+    rows = most_frequent(stage(counts.select("word", "n"), "word-counts"), size).collect()
     pairs = np.ones((27, 27))
     for row in rows:
         codes = _letters(row.word)

@@ -171,7 +171,8 @@ def repeated_spans(docs: DataFrame, least: int = LEAST, anchor: int = ANCHOR, do
     places = neighbours(retained(read, least, anchor)).groupBy("doc_id").agg(F.collect_list("place").alias("places"))
     firsts = classes.select(F.col("first_id").alias("doc_id"))
     found = stage(passages(read.join(places.join(firsts, "doc_id", "left_semi"), "doc_id"), least, anchor), "passages")
-    twice = found.groupBy("passage").agg(F.count("*").alias("n")).filter("n > 1")
+    # stored, so that the join has shuffles of its own and AQE can split a passage that many texts share
+    twice = stage(found.groupBy("passage").agg(F.count("*").alias("n")).filter("n > 1").select("passage"), "twice")
     alone = found.join(twice, "passage", "left_semi").select("doc_id", "start", "end").join(whole, "doc_id", "left_anti")
 
     by_start = Window.partitionBy("doc_id").orderBy("start")

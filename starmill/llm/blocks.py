@@ -123,6 +123,36 @@ def per_text(found: Tokens, at: np.ndarray) -> np.ndarray:
     return np.searchsorted(at, found.first)
 
 
+class Places:
+    """Where 64-bit hashes stand in a list of distinct ones: a table with open addressing."""
+
+    def __init__(self, hashes: np.ndarray):
+        bits = max(4, (2 * len(hashes)).bit_length())
+        self._shift, self._mask = np.uint64(64 - bits), (1 << bits) - 1
+        self._keys = np.append(hashes.astype(np.uint64), np.uint64(0))
+        self._slots = np.full(1 << bits, -1, np.int32)
+        left = np.arange(len(hashes), dtype=np.int32)
+        at = (hashes >> self._shift).astype(np.int64)
+        while len(left):
+            free = self._slots[at] < 0
+            self._slots[at[free]] = left[free]
+            out = self._slots[at] != left
+            left, at = left[out], (at[out] + 1) & self._mask
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The place of each hash, -1 for one that is not in the list."""
+        at = (hashes >> self._shift).astype(np.int64)
+        found = self._slots[at]
+        left = np.flatnonzero((found >= 0) & (self._keys[found] != hashes))
+        at = at[left]
+        while len(left):
+            at = (at + 1) & self._mask
+            found[left] = self._slots[at]
+            wrong = (found[left] >= 0) & (self._keys[found[left]] != hashes[left])
+            left, at = left[wrong], at[wrong]
+        return found
+
+
 def blocks(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches in pieces of about ``limit`` bytes of text (column ``text``), at least one row each."""
     for batch in batches:
@@ -136,6 +166,18 @@ def blocks(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_BYTES) -> Itera
             start = stop
 
 
+def cut(data: bytes, limit: int, classes: np.ndarray) -> Iterator[bytes]:
+    """A long text in parts of about ``limit`` bytes that end where no token runs on."""
+    start = 0
+    while len(data) - start > limit:
+        stop = start + limit
+        while stop < len(data) and classes[data[stop]]:
+            stop += 1
+        yield data[start:stop]
+        start = stop
+    yield data[start:]
+
+
 def map_texts(docs: DataFrame, work: Callable, schema: str, *more: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``work`` takes a block with columns doc_id, text and ``more``, and returns arrays in the order of ``schema``."""
 

@@ -60,4 +60,38 @@ select doc_id, source, case when d.text is null then null else coalesce(kept.tex
 from (select row_number() over () as row, * from documents) d left join kept using (row)
 """
 
-ORACLES = {"op4_minhash": OP4, "op10_line_dedup": OP10}
+OP11 = f"""
+with recursive
+words as (
+  select row_number() over () as r, doc_id,
+         regexp_extract_all(coalesce({_LOWER}, ''), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w
+  from documents
+),
+asked as (
+  select item_id, regexp_extract_all(coalesce({_LOWER}, ''), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w
+  from benchmark
+),
+windows as (
+  select distinct item_id, least(len(w), 10) as size, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') as phrase
+  from (select item_id, w, unnest(range(1, greatest(len(w) - 10, 0) + 2)) as i from asked where len(w) > 0)
+),
+sizes as (select distinct size from windows),
+placed as (
+  select r, size, i, array_to_string(w[i:i + size - 1], ' ') as phrase
+  from (select r, w, size, unnest(range(1, len(w) - size + 2)) as i from words join sizes on len(w) >= size)
+),
+found as (select r, item_id, size, i from placed join windows using (size, phrase)),
+hits as (
+  select r, count(distinct k) as n_hit
+  from (select r, unnest(range(i, i + size)) as k from (select distinct r, size, i from found)) group by r
+),
+named as (
+  select r, count(*) as n_items, array_to_string(list(name order by name), ',') as names
+  from (select distinct r, item_id::varchar as name from found where item_id is not null) group by r
+)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+       sha256(coalesce(names, '')) as items_sha256, n_hit is not null as contaminated
+from words left join hits using (r) left join named using (r)
+"""
+
+ORACLES = {"op4_minhash": OP4, "op10_line_dedup": OP10, "op11_decontaminate": OP11}

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmill.llm import fingerprints, langid, line_dedup, minhash, packing, pieces, quality, secrets, suffixes, warc
+from starmill.llm import decontaminate, fingerprints, langid, line_dedup, minhash, packing, pieces, quality, secrets, suffixes, warc
 from starmill.llm.oracles import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +79,15 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.drop_lines(table(spark, folder, "documents")).select("doc_id", "source", "text")
 
 
+def op11_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.find(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["last_word"] - s["first_word"])
+    return found.select(
+        "doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_langid": op1_langid,
@@ -91,6 +100,7 @@ def queries() -> dict[str, Query]:
         "op8_quality": op8_quality,
         "op9_fingerprints": op9_fingerprints,
         "op10_line_dedup": op10_line_dedup,
+        "op11_decontaminate": op11_decontaminate,
         "pipeline": corpus_pipeline.run,
     }
 

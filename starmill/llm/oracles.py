@@ -94,4 +94,48 @@ select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, c
 from words left join hits using (r) left join named using (r)
 """
 
-ORACLES = {"op4_minhash": OP4, "op10_line_dedup": OP10, "op11_decontaminate": OP11}
+OP12 = f"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\\x0A-\\x0D]')) as piece
+  from documents where text is not null
+),
+words as (select lang, regexp_extract_all(piece, '[^\\x20\\x09]+') as w from pieces),
+placed as (select lang, w, unnest(range(1, len(w) + 1)) as i from words where len(w) > 0),
+runs as (
+  select lang, w[i] as w1, case when k > 1 then w[i + 1] end as w2, case when k > 2 then w[i + 2] end as w3, k
+  from placed, (values (1), (2), (3)) as sizes(k) where i + k - 1 <= len(w)
+),
+f as (select lang, k, w1, w2, w3, count(*)::hugeint as a from runs group by all),
+one as (select lang, w1 as w, a from f where k = 1),
+two as (select * from f where k = 2),
+totals as (select lang, sum(a)::bigint as n from one group by lang),
+cuts as (
+  select t.lang, t.w1 || ' ' || t.w2 as phrase, t.w1, t.w2, null as w3, t.a, 1 as cut, x.a as l, y.a as r
+  from two t join one x on x.lang = t.lang and x.w = t.w1 join one y on y.lang = t.lang and y.w = t.w2
+  where t.a >= 10
+  union all
+  select t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, t.w1, t.w2, t.w3, t.a, 1, x.a, y.a
+  from f t join one x on x.lang = t.lang and x.w = t.w1 join two y on y.lang = t.lang and y.w1 = t.w2 and y.w2 = t.w3
+  where t.k = 3 and t.a >= 10
+  union all
+  select t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, t.w1, t.w2, t.w3, t.a, 2, x.a, y.a
+  from f t join two x on x.lang = t.lang and x.w1 = t.w1 and x.w2 = t.w2 join one y on y.lang = t.lang and y.w = t.w3
+  where t.k = 3 and t.a >= 10
+),
+scored as (select *, 1000000::hugeint * a * a // (l * r) as score from cuts),
+best as (select * from scored qualify row_number() over (partition by lang, phrase order by score, cut) = 1),
+around as (
+  select lang, p1, p2, max(a) as a from (
+    select lang, w1 as p1, w2 as p2, a from f where k = 3 and a >= 10
+    union all select lang, w2, w3, a from f where k = 3 and a >= 10) group by all
+),
+left_over as (
+  select b.* from best b left join around x on x.lang = b.lang and x.p1 = b.w1 and x.p2 = b.w2 and b.w3 is null
+  where x.a is null or 100 * x.a < 50 * b.a
+)
+select lang, rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r, n, score::bigint as score
+from (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from left_over)
+join totals using (lang) where rank <= 2000
+"""
+
+ORACLES = {"op4_minhash": OP4, "op10_line_dedup": OP10, "op11_decontaminate": OP11, "op12_collocations": OP12}

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmill.llm import decontaminate, fingerprints, langid, line_dedup, minhash, packing, pieces, quality, secrets, suffixes, warc
+from starmill.llm import collocations, decontaminate, fingerprints, langid, line_dedup, minhash, packing, pieces, quality, secrets, suffixes, warc
 from starmill.llm.oracles import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,6 +88,10 @@ def op11_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.mine(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_langid": op1_langid,
@@ -101,6 +105,7 @@ def queries() -> dict[str, Query]:
         "op9_fingerprints": op9_fingerprints,
         "op10_line_dedup": op10_line_dedup,
         "op11_decontaminate": op11_decontaminate,
+        "op12_collocations": op12_collocations,
         "pipeline": corpus_pipeline.run,
     }
 

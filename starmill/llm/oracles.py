@@ -138,4 +138,33 @@ from (select *, row_number() over (partition by lang order by score desc, a desc
 join totals using (lang) where rank <= 2000
 """
 
-ORACLES = {"op4_minhash": OP4, "op10_line_dedup": OP10, "op11_decontaminate": OP11, "op12_collocations": OP12}
+OP13 = f"""
+with terms as (
+  select row_number() over () as r, doc_id,
+         regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') as t
+  from documents where text is not null
+),
+asked as (
+  select distinct i, item_id, unnest(t) as term from (
+    select row_number() over () as i, item_id,
+           regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') as t
+    from benchmark where text is not null)
+),
+totals as (select count(*) as docs, sum(len(t))::bigint as total from terms where len(t) > 0),
+postings as (select r, term, count(*) as tf from (select r, unnest(t) as term from terms) group by all),
+weights as (
+  select term, floor(1000 * ln((2 * any_value(docs) + 2)::double / (2 * count(*) + 1)))::bigint as w
+  from postings, totals group by term
+),
+scored as (
+  select i, item_id, doc_id, r,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * len(t) * docs) // total)))))::bigint as score
+  from asked join postings using (term) join weights using (term) join terms using (r), totals
+  group by all
+)
+select item_id, rank::int as rank, doc_id, score
+from (select *, row_number() over (partition by i order by score desc, doc_id nulls first) as rank from scored where score > 0)
+where rank <= 50
+"""
+
+ORACLES = {"op4_minhash": OP4, "op10_line_dedup": OP10, "op11_decontaminate": OP11, "op12_collocations": OP12, "op13_search": OP13}

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmill.llm import collocations, decontaminate, fingerprints, langid, line_dedup, minhash, packing, pieces, quality, secrets, suffixes, warc
+from starmill.llm import collocations, decontaminate, fingerprints, langid, line_dedup, minhash, packing, pieces, quality, search, secrets, suffixes, warc
 from starmill.llm.oracles import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,6 +92,10 @@ def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.mine(table(spark, folder, "documents"))
 
 
+def op13_search(spark: SparkSession, folder: str) -> DataFrame:
+    return search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_langid": op1_langid,
@@ -106,6 +110,7 @@ def queries() -> dict[str, Query]:
         "op10_line_dedup": op10_line_dedup,
         "op11_decontaminate": op11_decontaminate,
         "op12_collocations": op12_collocations,
+        "op13_search": op13_search,
         "pipeline": corpus_pipeline.run,
     }
 

@@ -23,8 +23,9 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from starmill.functions import distinct
 from starmill.functions.calendar import day_type
-from starmill.operators.joins import broadcast_if_fits
+from starmill.operators.joins import broadcast_if_fits, fits
 from starmill.plans.star import Star
 from starmill.schemas import SALE_YEAR
 
@@ -37,10 +38,6 @@ def _quantity() -> Column:
     return F.sum("quantity")
 
 
-def _orders() -> Column:
-    return F.count_distinct("order_id")
-
-
 def _sales(star: Star, year: int | None = None, first_month: int = 1) -> DataFrame:
     if year is None:
         return star.sales
@@ -126,20 +123,64 @@ def q02_demographics_city(star: Star) -> DataFrame:
     )
 
 
-def _with_customer_and_category(star: Star, *traits: str) -> DataFrame:
-    return star.sales.join(star.dim_product.select("product_id", "product_category"), "product_id").join(
-        star.dim_customer.select("customer_id", *traits), "customer_id"
+def _order_number(sales: DataFrame) -> str:
+    """What tells orders apart: dense numbers where the sales have been numbered, else their ids."""
+    return "order_no" if "order_no" in sales.columns else "order_id"
+
+
+def _folded(sales: DataFrame, *keys: str, orders: bool = True) -> DataFrame:
+    """``amount``, ``items`` and ``rows`` of the sales by keys, and with ``orders`` also by words of orders."""
+    measures = [_amount().alias("amount"), _quantity().alias("items"), F.count("total_amount").alias("rows")]
+    if not orders:
+        return sales.groupBy(*keys).agg(*measures)
+    number = _order_number(sales)
+    return sales.groupBy(*keys, distinct.word(number)).agg(*measures, distinct.bits(number))
+
+
+def _by_category(star: Star, *keys: str, orders: bool = False) -> DataFrame:
+    """Sales folded by ``keys`` and product_category.
+
+    Where the products' categories are few enough to travel, they are joined first, and the
+    sales are folded once. Otherwise they are folded by product, meet the
+    products as folded rows, and are folded again.
+    """
+    categories = star.dim_product.select("product_id", "product_category")
+    if fits(categories):
+        return _folded(star.sales.join(F.broadcast(categories), "product_id"), *keys, "product_category", orders=orders)
+    again = [F.sum(c).alias(c) for c in ("amount", "items", "rows")]
+    by_product = _folded(star.sales, *keys, "product_id", orders=orders).join(categories, "product_id")
+    word = [distinct.WORD] if orders else []
+    return by_product.groupBy(*keys, "product_category", *word).agg(*again, *([distinct.united()] if orders else []))
+
+
+def _with_orders(folded: DataFrame, customers: DataFrame, *keys: str) -> DataFrame:
+    """``amount``, ``items``, ``rows`` and ``total_orders`` by traits of customers and other keys.
+
+    The folded sales meet the customers, are folded to words of orders by ``keys``, and
+    these are counted.
+    """
+    sums = [F.sum(c).alias(c) for c in ("amount", "items", "rows")]
+    return (
+        folded.join(customers, "customer_id")
+        .groupBy(*keys, distinct.WORD).agg(*sums, distinct.united())
+        .groupBy(*keys).agg(*sums, distinct.counted().alias("total_orders"))
     )
 
 
 def q03_category_by_occupation(star: Star) -> DataFrame:
     return (
-        _with_customer_and_category(star, "occupation")
-        .groupBy("occupation", "product_category")
-        .agg(
-            _amount().alias("total_sales"),
-            _quantity().alias("total_quantity"),
-            _orders().alias("total_orders"),
+        _with_orders(
+            _by_category(star, "customer_id", orders=True),
+            star.dim_customer.select("customer_id", "occupation"),
+            "occupation",
+            "product_category",
+        )
+        .select(
+            "occupation",
+            "product_category",
+            F.col("amount").alias("total_sales"),
+            F.col("items").alias("total_quantity"),
+            "total_orders",
         )
         .orderBy("occupation", F.desc("total_sales"), "product_category")
     )
@@ -148,23 +189,21 @@ def q03_category_by_occupation(star: Star) -> DataFrame:
 def q04_gender_age_quarterly(star: Star, year: int) -> DataFrame:
     keys = ["year", "quarter", "gender", "age_group"]
     return (
-        _dated(star, "year", "quarter", year=year)
-        .join(star.dim_customer.select("customer_id", "gender", "age_group"), "customer_id")
-        .groupBy(*keys)
-        .agg(_amount().alias("total_purchase_amount"), _orders().alias("total_orders"))
+        _with_orders(
+            _folded(_dated(star, "year", "quarter", year=year), "customer_id", "year", "quarter"),
+            star.dim_customer.select("customer_id", "gender", "age_group"),
+            *keys,
+        )
+        .select(*keys, F.col("amount").alias("total_purchase_amount"), "total_orders")
         .orderBy(*keys)
     )
 
 
 def _top_traits_by_category(star: Star, trait: str, total: str, rank: str, top: int) -> DataFrame:
     best = Window.partitionBy("product_category").orderBy(F.desc(total))
-    per_customer = (
-        star.sales.groupBy("customer_id", "product_id").agg(_amount().alias("amount"))
-        .join(star.dim_product.select("product_id", "product_category"), "product_id")
-        .groupBy("customer_id", "product_category").agg(F.sum("amount").alias("amount"))
-    )
     return (
-        per_customer.join(star.dim_customer.select("customer_id", trait), "customer_id")
+        _by_category(star, "customer_id")
+        .join(star.dim_customer.select("customer_id", trait), "customer_id")
         .groupBy("product_category", trait)
         .agg(F.sum("amount").alias(total))
         .withColumn(rank, F.rank().over(best))
@@ -179,11 +218,14 @@ def q05_top_occupations_by_category(star: Star, top: int = 5) -> DataFrame:
 
 def q06_city_marital_h2(star: Star, year: int) -> DataFrame:
     keys = ["year", "month", "month_name", "city_category", "marital_status"]
+    months = ["year", "month", "month_name"]
     return (
-        _dated(star, "year", "month", "month_name", year=year, first_month=7)
-        .join(star.dim_customer.select("customer_id", "city_category", "marital_status"), "customer_id")
-        .groupBy(*keys)
-        .agg(_amount().alias("total_purchase_amount"), _orders().alias("total_orders"))
+        _with_orders(
+            _folded(_dated(star, *months, year=year, first_month=7), "customer_id", *months),
+            star.dim_customer.select("customer_id", "city_category", "marital_status"),
+            *keys,
+        )
+        .select(*keys, F.col("amount").alias("total_purchase_amount"), "total_orders")
         .orderBy("year", "month", "city_category", "marital_status")
     )
 
@@ -220,22 +262,20 @@ def q09_monthly_growth_category(star: Star, year: int) -> DataFrame:
 
 def q10_weekend_by_age(star: Star, year: int) -> DataFrame:
     return (
-        _dated(star, "is_weekend", year=year)
-        .join(star.dim_customer.select("customer_id", "age_group"), "customer_id")
-        .groupBy("age_group", "is_weekend")
-        .agg(
-            _amount().alias("total_sales"),
-            _orders().alias("total_orders"),
-            # per sales row, although the name says order
-            _mean(_amount(), F.count("total_amount")).alias("avg_order_value"),
+        _with_orders(
+            _folded(_dated(star, "is_weekend", year=year), "customer_id", "is_weekend"),
+            star.dim_customer.select("customer_id", "age_group"),
+            "age_group",
+            "is_weekend",
         )
         .orderBy("age_group", "is_weekend")
         .select(
             "age_group",
             day_type(F.col("is_weekend")).alias("day_type"),
-            "total_sales",
+            F.col("amount").alias("total_sales"),
             "total_orders",
-            "avg_order_value",
+            # per sales row, although the name says order
+            _mean(F.col("amount"), F.col("rows")).alias("avg_order_value"),
         )
     )
 
@@ -306,12 +346,12 @@ def q13_supplier_store_product(star: Star) -> DataFrame:
 
 def q14_seasonal_products(star: Star) -> DataFrame:
     return (
-        _dated(star, "season")
+        _folded(_dated(star, "season"), "season", "product_id")
         .groupBy("season", "product_id")
         .agg(
-            _amount().alias("total_sales"),
-            _quantity().alias("total_quantity"),
-            _orders().alias("total_orders"),
+            F.sum("amount").alias("total_sales"),
+            F.sum("items").alias("total_quantity"),
+            distinct.counted().alias("total_orders"),
         )
         .join(star.dim_product.select("product_id", "product_category"), "product_id")
         .select(

@@ -113,6 +113,6 @@ def test_sample_counts(spark, small):
     assert (raw.count(), deduplicated.count(), kept, rejected) == (60000, 45832, 42865, 1621)
     # cleaned and dropped rows add up to the input
     assert deduplicated.count() - kept - rejected == 1346
-    assert result.kept.filter("date_id is null").count() == 727
+    assert result.kept.filter("date_id is null").count() == 718
     assert result.kept.agg(F.sum("quantity")).first()[0] == 1080055
     assert dimensions.dim_date(result.kept).count() == 2397

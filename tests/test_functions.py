@@ -10,6 +10,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from starmill.functions import distinct
 from starmill.functions.calendar import calendar_attributes
 from starmill.functions.coerce import to_date, to_key, to_number
 from starmill.functions.median import exact_median
@@ -140,3 +141,14 @@ def test_median_of_nothing(spark):
 @pytest.mark.parametrize("text", ["a" * 50_000 + " b", " " * 1000 + "x"])
 def test_long_texts_are_taken_whole(spark, text):
     assert _apply(spark, title_case, [text]) == [text.title()]
+
+
+def test_distinct_counts_by_bitmaps(spark):
+    rows = [("a", k) for k in (0, 0, 1, 63, 64, -1, -64, -65, 2**62, -(2**63), 2**63 - 1, None)] + [("b", None), ("c", 7), (None, 7), (None, 7)]
+    df = spark.createDataFrame(rows, "g string, n long").repartition(4)
+    # folded, and folded again
+    words = df.groupBy("g", distinct.word("n")).agg(distinct.bits("n"))
+    again = words.union(words).groupBy("g", distinct.WORD).agg(distinct.united())
+    for folded in (words, again):
+        made = {r.g: r.n for r in folded.groupBy("g").agg(distinct.counted().alias("n")).collect()}
+        assert made == {"a": 10, "b": 0, "c": 1, None: 1}

@@ -63,6 +63,11 @@ def test_duplicates_are_cut_before_the_shuffle(spark):
     "query",
     [
         lambda s: olap.q02_demographics_city(s),
+        lambda s: olap.q03_category_by_occupation(s),
+        lambda s: olap.q04_gender_age_quarterly(s, 1998),
+        lambda s: olap.q06_city_marital_h2(s, 1998),
+        lambda s: olap.q10_weekend_by_age(s, 1998),
+        lambda s: olap.q14_seasonal_products(s),
         lambda s: olap.q05_top_occupations_by_category(s),
         lambda s: olap.q08_top_cities_by_category(s),
         lambda s: olap.q13_supplier_store_product(s),
@@ -71,7 +76,7 @@ def test_duplicates_are_cut_before_the_shuffle(spark):
         lambda s: olap.q19_daily_labelled(s),
         lambda s: olap.q20_store_quarterly_sales(s),
     ],
-    ids=["q02", "q05", "q08", "q13", "q17", "q18", "q19", "q20"],
+    ids=["q02", "q03", "q04", "q06", "q10", "q14", "q05", "q08", "q13", "q17", "q18", "q19", "q20"],
 )
 def test_sales_are_folded_before_they_are_shuffled(no_broadcast, stored, query):
     """Going up from the scan of the fact, an aggregate comes before an exchange."""
@@ -88,6 +93,19 @@ def test_sales_are_folded_before_they_are_shuffled(no_broadcast, stored, query):
     assert first.startswith("HashAggregate") and "partial_sum" in first
 
 
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_order_counts_meet_customers_folded(no_broadcast, stored, monkeypatch, broadcast):
+    """No unfolded fact behind a shuffled join, whether the categories travel or not."""
+    monkeypatch.setattr(olap, "fits", lambda df: broadcast)
+    for df in (olap.q03_category_by_occupation(stored), olap.q05_top_occupations_by_category(stored)):
+        lines = plan(df).splitlines()
+        joins = [i for i, line in enumerate(lines) if "SortMergeJoin" in line]
+        scan = next(i for i, line in enumerate(lines) if "total_amount" in line and "FileScan" in line)
+        folds = [i for i, line in enumerate(lines) if "partial_sum(total_amount" in line]
+        assert joins and all(i < folds[0] < scan for i in joins) and len(folds) == 1
+        assert "distinct" not in plan(df)
+
+
 def test_rollup_repeats_folded_rows(no_broadcast, stored):
     text = plan(olap.q17_rollup(stored))
     assert text.count("Expand") == 1

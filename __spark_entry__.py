@@ -17,7 +17,7 @@ from pyspark.sql.types import DecimalType
 from starmill import oracles, schemas
 from starmill.functions.coerce import to_date, to_number
 from starmill.functions.text import strip, title_case
-from starmill.operators import cleaning, dimensions, quality, tables
+from starmill.operators import cleaning, dimensions, loads, quality, tables
 from starmill.operators.dedupe import keep_first
 from starmill.operators.enrich import enrich
 from starmill.plans import affinity, olap
@@ -25,7 +25,7 @@ from starmill.plans.star import Star
 from starmill.plans.warehouse import build_warehouse, stored_tables
 from starmill.scratch import scratch_path, stage
 from starmill.sources import files, sample
-from starmill.streaming import enrichment
+from starmill.streaming import enrichment, parking
 
 try:
     from starmill.llm import queries as corpus
@@ -136,14 +136,38 @@ def warehouse_build_twice(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def load_dimensions(spark: SparkSession, folder: str) -> DataFrame:
-    stored = tables.load_dimensions(_dimensions(spark, folder), scratch_path(spark, "warehouse"))
+    stored = loads.load_dimensions(_dimensions(spark, folder), scratch_path(spark, "warehouse"))
     return quality.row_counts(stored)
 
 
+def load_dimensions_twice(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows stored and turned away per table, after half of the rows were loaded first and all of them, changed, later."""
+    base = scratch_path(spark, "warehouse")
+    dims = {name: stage(df, name) for name, df in _dimensions(spark, folder).items()}
+    half = {
+        "dim_customer": "customer_id % 2 = 0", "dim_store": "store_id % 2 = 0", "dim_supplier": "supplier_id % 2 = 0",
+        "dim_product": "cast(substr(product_id, 2) as bigint) % 2 = 0", "dim_date": "day(date_id) % 2 = 0",
+    }
+    changed = {
+        "dim_customer": "gender", "dim_store": "store_name", "dim_supplier": "supplier_name", "dim_product": "product_category", "dim_date": "season",
+    }
+    loads.load_dimensions({name: df.filter(half[name]) for name, df in dims.items()}, base)
+    late = {name: df.withColumn(changed[name], F.concat(changed[name], F.lit(" late"))) for name, df in dims.items()}
+    stored = loads.load_dimensions(late, base)
+    counts = []
+    for name, df in stored.items():
+        rejects = loads.read_rejects(spark, f"{base}/rejects/{name}", tables.DIMENSIONS[name])
+        counts.append(
+            df.agg(F.lit(name).alias("table_name"), F.count("*").alias("row_count"), F.count_if(F.col(changed[name]).endswith(" late")).alias("late_count"))
+            .join(rejects.agg(F.coalesce(F.sum("copies"), F.lit(0)).cast("bigint").alias("rejected_count")))
+        )
+    return reduce(DataFrame.unionByName, counts)
+
+
 def fact_sales_load(spark: SparkSession, folder: str) -> DataFrame:
-    path = scratch_path(spark, "fact-sales")
-    tables.append(_transactions(spark, folder), path, schemas.FACT_SALES)
-    return tables.read(spark, path, schemas.FACT_SALES)
+    base = scratch_path(spark, "fact-sales")
+    loads.load_keyed(_transactions(spark, folder), f"{base}/table", schemas.FACT_SALES, "order_id", f"{base}/rejects")
+    return tables.read(spark, f"{base}/table", schemas.FACT_SALES)
 
 
 def describe_table(spark: SparkSession, folder: str) -> DataFrame:
@@ -249,6 +273,18 @@ def stream_unmatched(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def stream_parked(spark: SparkSession, folder: str) -> DataFrame:
+    """Sales after the master has grown in two steps, the rows of late products taken up at each."""
+    base = scratch_path(spark, "stream-parked")
+    target, parked = f"{base}/table", f"{base}/parked"
+    parking.stream_enrich_parked(
+        _stream(spark, folder), sample.master_partial(spark, folder).filter("store_id % 2 = 0"), target, parked, f"{base}/checkpoint"
+    )
+    for master in (sample.master_partial(spark, folder), sample.master(spark, folder)):
+        parking.release(spark, master, target, parked)
+    return tables.read_enriched(spark, target).select(*schemas.FACT_ENRICHED.names)
+
+
 def stream_store_quarterly(spark: SparkSession, folder: str) -> DataFrame:
     return enrichment.stream_store_quarterly(
         _stream(spark, folder),
@@ -313,6 +349,7 @@ def _registered() -> dict[str, Query]:
         "scan_products_reordered": scan_products_reordered,
         "warehouse_build_twice": warehouse_build_twice,
         "load_dimensions": load_dimensions,
+        "load_dimensions_twice": load_dimensions_twice,
         "fact_sales_load": fact_sales_load,
         "table_preview": lambda s, d: tables.preview(sample.sales(s, d)),
         "table_count": lambda s, d: tables.count_rows(sample.sales(s, d)),
@@ -338,6 +375,7 @@ def _registered() -> dict[str, Query]:
         "stream_batch_counts": stream_batch_counts,
         "stream_enrich_clean": stream_enrich_clean,
         "stream_unmatched": stream_unmatched,
+        "stream_parked": stream_parked,
         "stream_store_quarterly": stream_store_quarterly,
         "q01_top_products_daytype_monthly": _on_star(olap.q01_top_products_daytype_monthly, **in_year),
         "q02_demographics_city": _on_star(olap.q02_demographics_city),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from starmill import schemas
+from starmill.operators import versions
 from starmill.plans.star import Star
 from starmill.schemas import SALE_YEAR
 from starmill.scratch import exists, remove
@@ -46,15 +47,6 @@ def recreate(spark: SparkSession, path: str, schema: StructType, *split_by: str)
     spark.createDataFrame([], schema).write.mode("overwrite").partitionBy(*split_by).parquet(path)
 
 
-def load_dimensions(dims: dict[str, DataFrame], base: str) -> dict[str, DataFrame]:
-    """Append the dimensions below ``base`` and return them as stored."""
-    stored = {}
-    for name, schema in DIMENSIONS.items():
-        append(dims[name], f"{base}/{name}", schema)
-        stored[name] = read(dims[name].sparkSession, f"{base}/{name}", schema)
-    return stored
-
-
 STORED_ENRICHED = StructType(
     [*schemas.FACT_ENRICHED, StructField("load", StringType()), StructField(SALE_YEAR, IntegerType())]
 )
@@ -105,7 +97,8 @@ def ensure_enriched(spark: SparkSession, path: str) -> None:
 
 
 def stored_star(spark: SparkSession, base: str) -> Star:
-    """The star of a loaded warehouse, its file sizes known to the planner."""
+    """The star of a loaded warehouse, its published version if it has any; file sizes are known to the planner."""
+    base = versions.current(spark, base)
     dims = {name: read(spark, f"{base}/{name}", schema) for name, schema in DIMENSIONS.items()}
     return Star(sales=read_enriched(spark, f"{base}/fact_sales_enriched"), **dims)
 

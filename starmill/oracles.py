@@ -316,6 +316,21 @@ FROM raw_product""",
             ]
         ),
     )
+    by_half = {
+        "dim_customer": ("clean_customer", "customer_id % 2 = 0", "gender"),
+        "dim_store": ("(SELECT DISTINCT store_id, store_name FROM clean_product)", "store_id % 2 = 0", "store_name"),
+        "dim_supplier": ("(SELECT DISTINCT supplier_id, supplier_name FROM clean_product)", "supplier_id % 2 = 0", "supplier_name"),
+        "dim_product": ("clean_product", "CAST(substr(product_id, 2) AS BIGINT) % 2 = 0", "product_category"),
+        "dim_date": ("dirty_cal", "day(date_id) % 2 = 0", "season"),
+    }
+    sql["load_dimensions_twice"] = _with(
+        loaded,
+        "\nUNION ALL\n".join(
+            f"SELECT '{name}' AS table_name, count(*) AS row_count, count(*) FILTER (NOT ({half}) AND {label} IS NOT NULL) AS late_count, "
+            f"count(*) FILTER ({half}) AS rejected_count FROM {rows}"
+            for name, (rows, half, label) in by_half.items()
+        ),
+    )
     sql["warehouse_build_twice"] = (
         sql["load_dimensions"]
         + "\nUNION ALL\n"
@@ -408,7 +423,7 @@ SELECT doc_id, {_title("text")} AS title FROM documents"""
 
     # Enrichment, batch and streaming
     sql["fact_enriched"] = _star(enriched)
-    sql["stream_enrich"] = sql["fact_enriched"]
+    sql["stream_enrich"] = sql["stream_parked"] = sql["fact_enriched"]
     sql["stream_enrich_clean"] = _with(
         ",".join([RAW_TX, CLEAN_PRODUCT]),
         """

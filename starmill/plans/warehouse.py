@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from starmill import schemas
-from starmill.operators import cleaning, dimensions, quality, tables
+from starmill.operators import cleaning, dimensions, loads, quality, tables, versions
 from starmill.plans.star import Star
 from starmill.scratch import exists, remove, stage
 from starmill.sources import files
@@ -23,25 +23,35 @@ def build_warehouse(
     base: str,
     replace: bool = False,
 ) -> Star:
-    """Clean, load dimensions and facts below ``base``, then enrich the stream.
+    """Clean, load dimensions and facts into a new version of the warehouse at ``base``, then publish it.
 
     The stream reads the transaction files again as delivered; only the product
     master it meets is cleaned. What is used more than once is written first.
 
     A warehouse that is there already is left alone and an error raised, unless
-    ``replace`` is given: then all tables, and the stream's checkpoint with
-    them, are dropped first. Declared keys are checked before the stream starts.
+    ``replace`` is given. The old version answers until the new one is complete and its
+    declared keys are checked; if a build fails, it stays, and what the build has written goes.
     """
     present = [name for name in [*TABLES, "checkpoints"] if exists(spark, f"{base}/{name}")]
-    if present and not replace:
-        raise FileExistsError(f"{base} already holds {', '.join(present)}; give replace=True to build it anew")
-    for name in present:
+    if not replace and (present or versions.is_published(spark, base)):
+        raise FileExistsError(f"{base} already holds a warehouse; give replace=True to build it anew")
+    version = versions.new_version(base)
+    try:
+        _build(spark, customers, products, transactions, version)
+        versions.publish(spark, base, version)
+    except BaseException:
+        remove(spark, version)
+        raise
+    for name in present:  # tables from before there were versions
         remove(spark, f"{base}/{name}")
+    return tables.stored_star(spark, base)
+
 
+def _build(spark: SparkSession, customers: str, products: str, transactions: str, base: str) -> None:
     cleaned = stage(cleaning.clean_products(files.read_products(spark, products)), "products")
     load_facts(spark, transactions, base)
     facts = tables.read(spark, f"{base}/fact_sales", schemas.FACT_SALES)
-    stored = tables.load_dimensions(
+    stored = loads.load_dimensions(
         {
             "dim_customer": dimensions.dim_customer(
                 cleaning.clean_customers(files.read_customers(spark, customers))
@@ -62,16 +72,18 @@ def build_warehouse(
         target,
         checkpoint,
     )
-    return tables.stored_star(spark, base)
 
 
 def stored_tables(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     """Every table of a warehouse by name."""
     star = tables.stored_star(spark, base)
-    facts = tables.read(spark, f"{base}/fact_sales", schemas.FACT_SALES)
+    facts = tables.read(spark, f"{versions.current(spark, base)}/fact_sales", schemas.FACT_SALES)
     return {name: getattr(star, name) for name in tables.DIMENSIONS} | {"fact_sales": facts, ENRICHED: star.sales}
 
 
 def load_facts(spark: SparkSession, transactions: str, base: str) -> None:
+    """Clean the transaction files and load the orders that are not stored yet."""
     raw = files.read_transactions(spark, transactions)
-    tables.append(cleaning.clean_transactions(raw).kept, f"{base}/fact_sales", schemas.FACT_SALES)
+    loads.load_keyed(
+        cleaning.clean_transactions(raw).kept, f"{base}/fact_sales", schemas.FACT_SALES, "order_id", f"{base}/rejects/fact_sales"
+    )

@@ -93,3 +93,29 @@ def children(spark: SparkSession, path: str) -> list[str]:
     """Names below a folder; none if it does not exist."""
     files, target = _hadoop(spark, path)
     return [s.getPath().getName() for s in files.listStatus(target)] if files.exists(target) else []
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there whole or not at all; an error if the name is taken."""
+    files, target = _hadoop(spark, path)
+    if files.exists(target):
+        raise FileExistsError(path)
+    _, aside = _hadoop(spark, f"{path.rsplit('/', 1)[0]}/_{uuid.uuid4().hex}")
+    out = files.create(aside, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if not files.rename(aside, target):
+        files.delete(aside, False)
+        raise FileExistsError(path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The content of a small file."""
+    files, target = _hadoop(spark, path)
+    source = files.open(target)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(source)).decode()
+    finally:
+        source.close()

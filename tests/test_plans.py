@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from starmill.operators import quality, tables
+from starmill.operators import loads, quality, tables
 from starmill.operators.dedupe import keep_first
 from starmill.plans import olap
 from starmill.plans.star import Star
@@ -32,7 +32,7 @@ def no_broadcast(spark):
 def stored(spark, tiny):
     base = scratch_path(spark, "warehouse")
     star = sample.SampleStar(spark, tiny)
-    tables.load_dimensions({name: getattr(star, name) for name in tables.DIMENSIONS}, base)
+    loads.load_dimensions({name: getattr(star, name) for name in tables.DIMENSIONS}, base)
     tables.append_enriched(star.sales, f"{base}/fact_sales_enriched")
     return tables.stored_star(spark, base)
 

@@ -8,7 +8,7 @@ import pytest
 from test_olap import make_star
 
 from starmill import schemas, scratch
-from starmill.operators import cleaning, quality, tables
+from starmill.operators import cleaning, loads, quality, tables
 from starmill.plans import olap
 from starmill.scratch import scratch_path, stage
 from starmill.sources import files, sample
@@ -87,7 +87,7 @@ def test_loads_append_and_recreate_empties(spark, tiny):
 def warehouse(spark, tiny):
     base = scratch_path(spark, "warehouse")
     star = sample.SampleStar(spark, tiny)
-    tables.load_dimensions({name: getattr(star, name) for name in tables.DIMENSIONS}, base)
+    loads.load_dimensions({name: getattr(star, name) for name in tables.DIMENSIONS}, base)
     tables.append_enriched(star.sales, f"{base}/fact_sales_enriched")
     return base
 

@@ -36,7 +36,7 @@ def test_files_to_answers(spark, tiny):
     assert {name: df.count() for name, df in stored_tables(spark, f"{base}/warehouse").items()} == before
 
     products = cleaning.clean_products(raw["products"][0])
-    facts = tables.read(spark, f"{base}/warehouse/fact_sales", schemas.FACT_SALES)
+    facts = stored_tables(spark, f"{base}/warehouse")["fact_sales"]
     expected = cleaning.clean_transactions(raw["transactions"][0]).kept
     assert facts.exceptAll(expected).isEmpty() and expected.exceptAll(facts).isEmpty()
     sales = enrich.enrich(cleaning.coerced_transactions(raw["transactions"][0]), products)

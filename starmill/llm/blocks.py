@@ -178,6 +178,17 @@ def cut(data: bytes, limit: int, classes: np.ndarray) -> Iterator[bytes]:
     yield data[start:]
 
 
+_kept: list = []
+
+
+def kept(key: tuple, make: Callable):
+    """What ``make`` gives, held by the worker for its next tasks, until another key is asked for."""
+    if not _kept or _kept[0] != key:
+        _kept.clear()  # what was held goes before the new one is made
+        _kept.extend([key, make()])
+    return _kept[1]
+
+
 def map_texts(docs: DataFrame, work: Callable, schema: str, *more: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``work`` takes a block with columns doc_id, text and ``more``, and returns arrays in the order of ``schema``."""
 

@@ -19,6 +19,7 @@ runs again makes the same rows.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -43,49 +44,62 @@ SCHEMA = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, sequenc
 _TASK_BITS = 36  # sequences of a task
 
 
-_PART = re.compile(r"[a-z]+|[0-9]|[^a-z0-9]+")
+# What the vocabulary takes apart anyway: letters, single digits and signs. Words of other characters go to it whole.
+_PLAIN = re.compile(r"[!-&(-;=-~ªµºÀ-ÖØ-öø-ÿ]+")
+_PART = re.compile(r"[a-zªµºà-öø-ÿ]+|[0-9]|[!-/:-`{-~]+")
 
 
-def _parts(word: str) -> list[str]:
-    """What the vocabulary takes apart anyway: letters, digits and signs of a plain word, in lower case."""
-    if word.isascii() and word.isprintable() and "'" not in word and "<" not in word:
-        return _PART.findall(word.lower())
-    return [word]
+def _parts(word: str) -> list[str] | None:
+    """The parts of a plain word in lower case, each a word of its own to the vocabulary."""
+    if word.isalpha() and max(word) <= "ÿ":
+        return [word.lower()]
+    return _PART.findall(word.lower()) if _PLAIN.fullmatch(word) else None
 
 
 class WordEncoder:
     """Token ids as little-endian unsigned 32-bit bytes, word by word.
 
     The vocabulary drops white space between words, so a text's ids are those
-    of its words one after another; a word's ids are looked up once.
+    of its words one after another; a word's ids are looked up once. Parts of plain
+    words need neither its normalizer nor its splitting.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
-        self._tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            settings = json.load(file)
+        self._tokenizer = Tokenizer.from_str(json.dumps(settings))
+        settings |= {"normalizer": None, "pre_tokenizer": settings["pre_tokenizer"]["pretokenizers"][-1]}
+        self._bare = Tokenizer.from_str(json.dumps(settings))
         self._known: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}  # words not met since the last turn are let go at the next
 
+    def _encode(self, tokenizer, some: list[str]) -> Iterator[tuple[str, bytes]]:
+        for k in range(0, len(some), 10_000):
+            part = some[k : k + 10_000]
+            for word, made in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                yield word, array("I", made.ids).tobytes()
+
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         split = [(t or "").replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
         if len(self._known) > CACHED_WORDS:
             self._known, self._older = {}, self._known
         known, older = self._known, self._older
-        new = []
+        parted: dict[str, list[str]] = {}
+        whole = []
         for word in set().union(*split).difference(known):
             ids = older.get(word)
-            if ids is None:
-                new.append(word)
-            else:
+            if ids is not None:
                 known[word] = ids
-        parted = {word: _parts(word) for word in new}
-        todo = list({part for parts in parted.values() for part in parts}.difference(known))
-        for k in range(0, len(todo), 10_000):
-            some = todo[k : k + 10_000]
-            for part, made in zip(some, self._tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                known[part] = array("I", made.ids).tobytes()
+            elif (parts := _parts(word)) is not None:
+                parted[word] = parts
+            else:
+                whole.append(word)
+        todo = {part for parts in parted.values() for part in parts}.difference(known)
+        known.update(self._encode(self._bare, list(todo)))
+        known.update(self._encode(self._tokenizer, whole))
         for word, parts in parted.items():
             if word not in known:
                 known[word] = b"".join([known[part] for part in parts])
@@ -201,7 +215,7 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = EN
     """One row per piece; ``ids`` holds its token ids, ``sequence_id`` and ``offset`` its place."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = WordEncoder(tokenizer)
+        encode = blocks.kept(("packing", tokenizer), lambda: WordEncoder(tokenizer))
         end = np.array([end_id], "<u4").tobytes()
 
         def encoded():

@@ -75,7 +75,7 @@ def test_serialized_records_follow_one_another():
 def test_edge_cases(spark):
     broken = b"\xff\xfe<p>x"
     meta, text = warc.derive("<urn:uuid:1>", None, warc.DATE, broken)
-    assert text[10].decode() == "��x" and meta[6].startswith("sha1:")
+    assert text[10].decode() == "��\nx" and meta[6].startswith("sha1:")
     assert [len(r[10]) for r in warc.derive("a", "http://[bad", warc.DATE, None)][1] == 0
     assert warc.page_metadata('<a href="http://[x">', "http://a")["links"][0]["url"] == "http://[x"
     rows = [(1, None, None), (1, None, None), (None, "u", ""), (3, "http://h", "<p>" + "long " * 200_000)]

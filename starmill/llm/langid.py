@@ -8,8 +8,9 @@ language has the largest sum over all its words; ``score`` is its share of
 the languages' likelihoods, sharpened by at most ``EVIDENCE`` words.
 
 Counts cover all training texts. The model keeps the ``VOCABULARY`` most
-frequent words and ``GRAMS`` n-grams, a fixed size that is sent to the tasks;
-all further words take the n-gram path.
+frequent words and ``GRAMS`` n-grams (of equally frequent ones those that sort
+first), a fixed size that is sent to the tasks; all further words take the n-gram
+path. A language all of whose words are rarer is still one of the model's.
 
 Cases: null text, or a text without letters: ``und``, score 0. Null language:
 not a training row. No training rows: everything is ``und``. Ties go to the
@@ -93,22 +94,22 @@ def word_counts(docs: DataFrame, text: str = "text", lang: str = "lang") -> Data
 _STEPS = 64  # of a frequency scale, per doubling
 
 
-def most_frequent(counts: DataFrame, most: int) -> DataFrame:
-    """The rows with the largest ``n``, at most ``most`` of them.
+def most_frequent(counts: DataFrame, most: int, name: str) -> DataFrame:
+    """The ``most`` rows with the largest ``n``, of equal ones those whose ``name`` sorts first.
 
     A histogram of log2(n) in steps, of some thousand rows at any size of the
-    table, shows from which step on the rows are few enough; no task sorts or
-    sends more than the rows taken.
+    table, shows from which step on the rows are few enough. Those go whole, and only the
+    step that does not fit is sorted; no task sorts or sends more than the rows taken.
     """
     step = F.floor(F.log2("n") * _STEPS)
     rows = counts.groupBy(step.alias("step")).agg(F.count("*").alias("rows")).orderBy(F.desc("step")).collect()
-    taken, least = 0, None
+    taken, whole = 0, None
     for row in rows:
-        taken += row.rows
-        if taken > most:
-            break
-        least = row.step
-    return counts.filter(F.lit(False) if least is None else step >= least)
+        if taken + row.rows > most:
+            part = counts.filter(step == row.step).orderBy(F.desc("n"), name).limit(most - taken)
+            return part if whole is None else counts.filter(step >= whole).unionByName(part)
+        taken, whole = taken + row.rows, row.step
+    return counts
 
 
 def _gram_column(size: int):
@@ -123,7 +124,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", vocabulary: i
         .agg(F.sum("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
     )
     per_word = stage(per_word, "word-counts")  # read for words and for n-grams
-    top = sorted(most_frequent(per_word, vocabulary).collect(), key=lambda r: (-r.n, r.word))
+    top = sorted(most_frequent(per_word, vocabulary, "word").collect(), key=lambda r: (-r.n, r.word))
     # an n-gram longer than its padded word does not exist
     sizes = [
         F.when(F.length("word") + 2 >= size, _gram_column(size)).otherwise(F.array().cast("array<string>"))
@@ -137,8 +138,9 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", vocabulary: i
         pieces.groupBy("gram", "lang").agg(F.sum("n").alias("n")).groupBy("gram")
         .agg(F.sum("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
     )
-    top_grams = sorted(most_frequent(stage(per_gram, "gram-counts"), grams).collect(), key=lambda r: (-r.n, r.gram))
-    languages = sorted({name for row in top for name in row.by})
+    top_grams = sorted(most_frequent(stage(per_gram, "gram-counts"), grams, "gram").collect(), key=lambda r: (-r.n, r.gram))
+    # all that have words, whether or not any of these is among the most frequent
+    languages = sorted(r.lang for r in per_word.select(F.explode(F.map_keys("by")).alias("lang")).distinct().collect())
     names = {name: i for i, name in enumerate(languages)}
 
     def scores(rows, groups) -> np.ndarray:
@@ -231,10 +233,10 @@ def annotate(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not scorer:
             scorer.append(Scorer(shared.value))
-        for batch in batches:
-            found = [scorer[0].predict(t) for t in batch.column(place).to_pylist()]
+        for block in blocks.blocks(batches, text=place):
+            found = [scorer[0].predict(t) for t in block.column(place).to_pylist()]
             made = [pa.array([n for n, _ in found], pa.string()), pa.array([s for _, s in found], pa.float64())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *made], [*batch.schema.names, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*block.columns, *made], [*block.schema.names, "lang_pred", "score"])
 
     schema = StructType([*rest.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
     return rest.mapInArrow(run, schema)

@@ -76,7 +76,7 @@ def _letters(text: str) -> np.ndarray:
 def context(docs: DataFrame, text: str = "text", size: int = DICTIONARY) -> Context:
     """Counted over all texts; ``size`` words come to the driver."""
     counts = word_counts(docs.select(F.col(text).alias("text"), F.lit("").alias("lang"))).filter(F.length("word") >= 3)
-    rows = most_frequent(stage(counts.select("word", "n"), "word-counts"), size).collect()
+    rows = most_frequent(stage(counts.select("word", "n"), "word-counts"), size, "word").collect()
     pairs = np.ones((27, 27))
     for row in rows:
         codes = _letters(row.word)
@@ -263,9 +263,9 @@ def redact(docs: DataFrame, known: Context, forest: Forest, text: str = "text",
         return body
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = [clean(b, p) for b, p in zip(batch.column(place).to_pylist(), batch.column(path).to_pylist())]
-            columns = [pa.array(made, pa.string()) if i == place else c for i, c in enumerate(batch.columns)]
-            yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
+        for block in blocks.blocks(batches, text=place):
+            made = [clean(b, p) for b, p in zip(block.column(place).to_pylist(), block.column(path).to_pylist())]
+            columns = [pa.array(made, pa.string()) if i == place else c for i, c in enumerate(block.columns)]
+            yield pa.RecordBatch.from_arrays(columns, block.schema.names)
 
     return docs.mapInArrow(run, docs.schema)

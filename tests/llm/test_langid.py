@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import math
+import random
 import re
 from collections import Counter
 
@@ -60,3 +62,53 @@ def test_edge_cases(spark):
 def test_ties_go_to_the_first_language(spark):
     model = langid.train(docs(spark, [(1, "same", "b"), (2, "same", "a")]))
     assert langid.Scorer(model).predict("same") == ("a", 0.5)
+
+
+def test_a_language_of_one_rare_word(spark):
+    rows = [(k, f"wort{chr(97 + k)} satz", "de") for k in range(20)] + [(50, "word", "en")]
+    for vocabulary in (0, 1, 3, 100):
+        model = langid.train(docs(spark, rows), vocabulary=vocabulary, grams=40)
+        assert model.languages == ["de", "en"] and len(model.words) == min(vocabulary, 22)
+        assert langid.Scorer(model).predict("satz")[0] == "de"
+
+
+def test_equally_frequent_words_fill_the_vocabulary(spark):
+    rows = [(1, "f e d c b a a a", "en"), (2, "g h", "de")]
+    model = langid.train(docs(spark, rows), vocabulary=5)
+    assert model.words == ["a", "b", "c", "d", "e"] and model.languages == ["de", "en"]
+
+
+def plain_scores(rows, word):
+    """Log scores of a word by plain counting, all words and n-grams kept."""
+    counts, grams = {}, {}
+    for _, text, lang, *_ in rows:
+        for w in re.findall(r"[^\W\d_]+", (text or "").lower()):
+            counts.setdefault(lang, Counter())[w] += 1
+            padded = f"^{w}$"
+            for size in range(1, 5):
+                for i in range(len(padded) - size + 1):
+                    grams.setdefault(lang, {}).setdefault(size, Counter())[padded[i : i + size]] += 1
+    names = sorted(counts)
+    every = set().union(*counts.values())
+    if word in every:
+        return [math.log((counts[n][word] + 0.1) / sum(counts[n][w] + 0.1 for w in every)) for n in names]
+    padded, penalty = f"^{word}$", 0.0
+    for size in (4, 3, 2, 1):
+        penalty += math.log(0.4)
+        known = set().union(*(grams[n].get(size, ()) for n in names))
+        mine = [g for i in range(len(padded) - size + 1) if (g := padded[i : i + size]) in known]
+        if mine:
+            totals = {n: sum(grams[n].get(size, Counter())[g] + 0.1 for g in known) for n in names}
+            return [sum(math.log((grams[n].get(size, Counter())[g] + 0.1) / totals[n]) for g in mine) / len(mine) + penalty for n in names]
+    return [0.0] * len(names)
+
+
+def test_scores_equal_plain_counting(spark):
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abcdeé") for _ in range(rng.randint(1, 5))) for _ in range(60)]
+    rows = [(k, " ".join(rng.choices(words[20 * j : 20 * j + 30], k=12)), "xyz"[j]) for k in range(30) for j in [k % 3]]
+    model = langid.train(docs(spark, rows))
+    scorer = langid.Scorer(model)
+    for word in [*words, "abba", "zzz", "aaaaaaa", "é"]:
+        mine = scorer._table[scorer.rows([word])[0]]
+        assert mine.tolist() == pytest.approx(plain_scores(rows, word), abs=1e-4)

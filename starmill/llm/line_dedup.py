@@ -63,14 +63,17 @@ def boilerplate(docs: DataFrame, text: str = "text", host: str = "source", ratio
 
 def drop_lines(docs: DataFrame, text: str = "text", host: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
     """``docs`` with the boilerplate lines of their host taken out of ``text``; other columns stay."""
-    lists = stage(boilerplate(docs, text, host, ratio, min_pages), "boilerplate").select(
-        F.col("host").alias("__host"), F.col("dropped").alias("__dropped")
-    )
+    lists = stage(boilerplate(docs, text, host, ratio, min_pages), "boilerplate")
+    fit = (lists.agg(F.sum(F.size("dropped"))).first()[0] or 0) <= BROADCAST_LINES
+    # what is joined goes by names that no column of the pages has
+    free = [name for k in range(len(docs.columns) + 2) if (name := f"joined{k}").lower() not in map(str.lower, docs.columns)]
+    of, gone = free[:2]
+    lists = lists.select(F.col("host").alias(of), F.col("dropped").alias(gone))
     # with more lists than that the pages move to them, and AQE splits a hot host; the result is the same
-    if (lists.agg(F.sum(F.size("__dropped"))).first()[0] or 0) <= BROADCAST_LINES:
+    if fit:
         lists = F.broadcast(lists)
     lines = _lines(F.col(text))
-    kept = F.filter(lines, lambda line: ~(_has_word(line) & F.array_contains(F.col("__dropped"), line_key(line))))
-    clean = F.when(F.col("__dropped").isNull() | F.col(text).isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
-    joined = docs.join(lists, F.col(host).eqNullSafe(F.col("__host")), "left")
+    kept = F.filter(lines, lambda line: ~(_has_word(line) & F.array_contains(F.col(gone), line_key(line))))
+    clean = F.when(F.col(gone).isNull() | F.col(text).isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
+    joined = docs.join(lists, F.col(host).eqNullSafe(F.col(of)), "left")
     return joined.select(*[(clean if c == text else F.col(f"`{c}`")).alias(c) for c in docs.columns])

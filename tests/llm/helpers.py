@@ -21,7 +21,7 @@ EDGES = [
 # names that operators use for columns of their own
 CLASHING = (
     "component_id kept digest bands key members host line dropped total lang_pred score start end length ids "
-    "sequence_id offset trusted llr places passage n fingerprint word by label features path"
+    "sequence_id offset trusted llr places passage n fingerprint word by label features path __host __dropped joined0 Joined1"
 ).split()
 
 

@@ -41,7 +41,7 @@ from starmill.scratch import stage
 
 BANDS = 32
 ROWS = 4  # values of a band: minimum and maximum of two permutations
-CHUNK = 2048  # members of a bucket that are compared at once
+CELL_BYTES = 1 << 20  # bands and outlines of a bucket's members that are compared at once, on each side
 
 _random = np.random.default_rng(4711)
 _FACTORS = _random.integers(1, 1 << 63, BANDS * ROWS // 2, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -159,12 +159,13 @@ def _numbered(outlines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 def _block_pairs(mixed: DataFrame, percent: int, shared: int) -> DataFrame:
     """Pairs (x, y) of one bucket and two components, x outside the bucket's largest, that may be links.
 
-    ``mixed``: (key, doc_id, n_shingles, bands, outline, component_id, largest, members, outside).
+    ``mixed``: (key, doc_id, n_shingles, bands, outline, component_id, largest, total, outside), the last
+    two in bytes. A side of a cell holds about ``CELL_BYTES``, however long the texts are.
     """
     cells = mixed.withColumns(
         {
-            "rows": F.ceil(F.col("outside") / CHUNK).cast("int"),
-            "columns": F.ceil(F.col("members") / CHUNK).cast("int"),
+            "rows": F.ceil(F.col("outside") / CELL_BYTES).cast("int"),
+            "columns": F.ceil(F.col("total") / CELL_BYTES).cast("int"),
         }
     )
     packed = F.struct("doc_id", "n_shingles", "component_id", "bands", "outline")
@@ -251,12 +252,13 @@ def near_duplicates(
     # buckets that are not yet of one component
     joined = components(links)
     placed = mates.join(joined, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
-    shares = placed.groupBy("key", "component_id").agg(F.count("*").alias("share"))
+    size_of = 2 * F.col("n_shingles") + 8 * (BANDS + 4)  # bytes of a member in a cell
+    shares = placed.groupBy("key", "component_id").agg(F.sum(size_of).alias("share"))
     split = (
         shares.groupBy("key")
         .agg(F.sum("share").alias("total"), F.max(F.struct("share", "component_id")).alias("top"), F.count("*").alias("parts"))
         .filter("parts > 1")
-        .select("key", F.col("top.component_id").alias("largest"), (F.col("total") - F.col("top.share")).alias("outside"))
+        .select("key", F.col("top.component_id").alias("largest"), "total", (F.col("total") - F.col("top.share")).alias("outside"))
     )
     mixed = stage(placed.join(split, "key"), "mixed")
     inside = mixed.select("doc_id").distinct()

@@ -153,10 +153,10 @@ class Places:
         return found
 
 
-def blocks(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batches in pieces of about ``limit`` bytes of text (column ``text``), at least one row each."""
+def blocks(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_BYTES, text: str | int = "text") -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of about ``limit`` bytes of text, at least one row each."""
     for batch in batches:
-        lengths = pa.compute.binary_length(batch.column("text")).fill_null(0).to_numpy(zero_copy_only=False)
+        lengths = pa.compute.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False)
         ends = np.cumsum(lengths)
         start = 0
         while start < batch.num_rows:
@@ -196,6 +196,7 @@ def map_texts(docs: DataFrame, work: Callable, schema: str, *more: str, doc_id:
         for block in blocks(batches):
             made = work(block)
             yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in made], names)
+        pa.default_memory_pool().release_unused()  # the worker goes on with other tasks
 
     names = [part.split()[0] for part in schema.split(", ")]
     read = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"), *more)

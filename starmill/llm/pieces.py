@@ -38,7 +38,8 @@ from starmill.llm import blocks
 
 SPACE = "▁"
 UNKNOWN_STEP = 10.0
-CACHED_WORDS = 150_000  # of each of two generations
+CACHED_WORDS = 64_000  # of each of two generations
+TOGETHER = 40  # characters of a word that is segmented beside others
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 Segmentation = tuple[float, tuple[int, ...]]
@@ -46,14 +47,39 @@ Choice = tuple[float, bytes, float]
 DECODED_IDS = 1 << 18  # at once
 
 
-class Vocabulary:
-    """Pieces, scores and byte pieces of a model file, and N-best search with them."""
+class Speller:
+    """The pieces' bytes, for decoding."""
 
-    def __init__(self, path: str, cached: int = CACHED_WORDS):
+    def __init__(self, path: str):
         import sentencepiece
 
-        model = sentencepiece.SentencePieceProcessor(model_file=path)
+        self.model = model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.names = [model.id_to_piece(i) for i in range(model.get_piece_size())]
+        spelled = [bytes([int(n[3:5], 16)]) if model.is_byte(i) else n.replace(SPACE, " ").encode() for i, n in enumerate(self.names)]
+        self._lengths = np.array([len(x) for x in spelled], np.int64)
+        self._places = np.cumsum(self._lengths) - self._lengths
+        self._letters = np.frombuffer(b"".join(spelled), np.uint8)
+
+    def decode_all(self, ids: np.ndarray, bounds: np.ndarray) -> list[str]:
+        """The texts of many segmentations: those between each two of ``bounds``."""
+        lengths = self._lengths[ids]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        letters = self._letters[np.repeat(self._places[ids] - ends[:-1], lengths) + np.arange(ends[-1])].tobytes()
+        cuts = ends[bounds].tolist()
+        texts = [letters[a:b].decode("utf-8", "replace") for a, b in zip(cuts, cuts[1:])]
+        return [t[1:] if t.startswith(" ") else t for t in texts]
+
+    def decode(self, ids) -> str:
+        """The text of a segmentation."""
+        return self.decode_all(np.array(ids, np.int64), np.array([0, len(ids)]))[0]
+
+
+class Vocabulary(Speller):
+    """Pieces, scores and byte pieces of a model file, and N-best search with them."""
+
+    def __init__(self, path: str, cached: int = CACHED_WORDS):
+        super().__init__(path)
+        model = self.model
         self.bytes: dict[int, int] = {}
         self.ids: dict[str, tuple[int, float]] = {}
         for i, name in enumerate(self.names):
@@ -70,63 +96,81 @@ class Vocabulary:
             for end in range(1, len(name)):
                 self._begins.setdefault(name[:end], None)
             self._begins[name] = (score, (i,))
-        spelled = [n.replace(SPACE, " ").encode() for n in self.names]
-        for b, i in self.bytes.items():
-            spelled[i] = bytes([b])
-        self._lengths = np.array([len(x) for x in spelled], np.int64)
-        self._places = np.cumsum(self._lengths) - self._lengths
-        self._letters = np.frombuffer(b"".join(spelled), np.uint8)
+        # the same for many words at once: hashes of the beginnings, and the place of the piece each is
+        self._longest = max(map(len, self.ids))
+        hashes = []
+        # of unknown characters those of one byte take part
+        single = {chr(b): i for b, i in self.bytes.items() if b < 128 and chr(b) not in self.ids}
+        for name in (table := {**dict.fromkeys(single), **self._begins}):
+            key = np.zeros(1, np.uint64)
+            for letter in name:
+                key = blocks.mix(key * np.uint64(31) + np.uint64(ord(letter) + 1))
+            hashes.append(key[0])
+        self._parts = blocks.Places(np.array(hashes, np.uint64))
+        self._piece_of = np.array([own[1][0] if own else single.get(name, -1) for name, own in table.items()], np.int64)
+        self._scores = np.array([self.unknown if model.is_byte(i) else model.get_score(i) for i in range(len(self.names))])
+        self._letters_known = {name for name in self.ids if len(name) == 1} | set(single)
         self._cached = cached
         self._known: dict[str, Choice] = {}
         self._older: dict[str, Choice] = {}  # words not met since the last turn go at the next
 
-    def arcs(self, word: str) -> list[list[tuple[int, float, tuple[int, ...]]]]:
-        """For every position the arcs that end there: (start, score, ids)."""
-        ending: list[list] = [[] for _ in range(len(word) + 1)]
-        begins = self._begins
-        for start in range(len(word)):
-            for end in range(start + 1, len(word) + 1):
-                piece = begins.get(word[start:end], ())
-                if piece:
-                    ending[end].append((start, *piece))
-                elif piece is not None:
-                    break
-            if word[start] not in self.ids:
-                ids = tuple(self.bytes[b] for b in word[start].encode())
-                ending[start + 1].append((start, self.unknown, ids))
-        return ending
+    def arcs_to(self, word: str, end: int) -> list[tuple[int, float, tuple[int, ...]]]:
+        """The arcs that end at a place of the word: (start, score, ids)."""
+        found = []
+        for start in range(end - 1, max(0, end - self._longest) - 1, -1):
+            piece = self.ids.get(word[start:end])
+            if piece is not None:
+                found.append((start, piece[1], (piece[0],)))
+        if word[end - 1] not in self.ids:
+            found.append((end - 1, self.unknown, tuple(self.bytes[b] for b in word[end - 1].encode())))
+        return found
 
     def word_nbest(self, word: str, n: int) -> list[Segmentation]:
-        """The n best segmentations of one word, best first."""
-        ending = self.arcs(word)
-        best = [0.0] * (len(word) + 1)
-        for end in range(1, len(word) + 1):
-            best[end] = max([best[start] + score for start, score, _ in ending[end]])
-        queue = [(-best[-1], (), len(word), 0.0)]
-        found: list[Segmentation] = []
-        while queue:
-            minus, ids, at, behind = heapq.heappop(queue)
-            # ties are settled by ids, so all of a score are taken before the list is cut
-            if len(found) >= n and -minus < found[n - 1][0]:
-                break
-            if at == 0:
-                found.append((-minus, ids))
-                if len(found) > 64 * n:  # more ties than anyone asks for, any of which is a best
-                    break
-                continue
-            for start, score, own in ending[at]:
-                heapq.heappush(queue, (-(best[start] + score + behind), own + ids, start, score + behind))
-        found.sort(key=lambda s: (-s[0], s[1]))
-        return found[:n]
-
-    def _forward(self, word: str) -> Choice:
-        """The best segmentation, and what the second best loses against it.
+        """The n best segmentations of one word, best first, equal scores by their ids.
 
-        Every segmentation but the best leaves it, seen from the end, at some
-        position for another arc; from there the forward scores are exact. So
-        the least loss is the least gap between the first and the second arc
-        at the positions of the best.
+        Of the tails that begin at a place only the n best can be part of the n best,
+        so a place is left alone after its n-th visit, and a tail is known by the
+        number of its visit. Of a place's arcs each brings the next one onto the queue.
+        Equal costs are taken from the end of the word: all tails of one cost
+        that begin at a place are then on the queue before the first is taken.
         """
+        best = self._forward_pass(word)[0]
+        sorted_arcs: dict[int, list] = {}
+        # a visit: what its tail scores, the ids of its first arc, the visit behind it
+        visits: list[list[tuple]] = [[] for _ in range(len(word) + 1)]
+        queue = [(-best[-1], -len(word), 0, 0, 0.0, (), 0, 0)]
+        while queue and len(visits[0]) < n:
+            minus, at, _, rank, behind, ids, after, which = heapq.heappop(queue)
+            at = -at
+            if after:  # the next arc that ends where this one does
+                arcs = sorted_arcs[after]
+                if which + 1 < len(arcs):
+                    heapq.heappush(queue, self._entry(arcs, which + 1, best, visits[after][rank][0], after, rank))
+            if len(visits[at]) == n:
+                continue
+            visits[at].append((behind, ids, after, rank))
+            if at:
+                if at not in sorted_arcs:
+                    sorted_arcs[at] = sorted(self.arcs_to(word, at), key=lambda arc: (-(best[arc[0]] + arc[1]), -arc[0]))
+                heapq.heappush(queue, self._entry(sorted_arcs[at], 0, best, behind, at, len(visits[at]) - 1))
+        found = []
+        for rank in range(len(visits[0])):
+            score, at, ids = visits[0][rank][0], 0, []
+            while at < len(word):
+                _, own, after, rank = visits[at][rank]
+                ids += own
+                at = after
+            found.append((score, tuple(ids)))
+        return found
+
+    @staticmethod
+    def _entry(arcs: list, which: int, best: list[float], behind: float, after: int, rank: int) -> tuple:
+        """An arc before a tail on the queue: cost, place, first id and the tail's number settle its turn."""
+        start, score, ids = arcs[which]
+        return (-(best[start] + score + behind), -start, ids[0], rank, score + behind, ids, after, which)
+
+    def _forward_pass(self, word: str) -> tuple[list, list, list]:
+        """For every place the best score of reaching it, what the second arc loses there, and the best arc."""
         size = len(word)
         best = [-math.inf] * (size + 1)
         best[0] = 0.0
@@ -152,29 +196,149 @@ class Vocabulary:
                     best[start + 1], gap[start + 1], back[start + 1] = base + self.unknown, -loss, (start, ids)
                 elif loss < gap[start + 1]:
                     gap[start + 1] = loss
-        at, least, parts = size, math.inf, []
+        return best, gap, back
+
+    def _forward(self, word: str) -> Choice:
+        """The best segmentation, and what the second best loses against it.
+
+        Every segmentation but the best leaves it, seen from the end, at some
+        position for another arc; from there the forward scores are exact. So
+        the least loss is the least gap between the first and the second arc
+        at the positions of the best.
+        """
+        best, gap, back = self._forward_pass(word)
+        at, least, parts = len(word), math.inf, []
         while at:
             least = min(least, gap[at])
             at, ids = back[at]
             parts.append(ids)
         ids = [i for part in reversed(parts) for i in part]
-        if least == 0:  # of equal scores the least ids
-            ids = self.word_nbest(word, 1)[0][1]
-        return best[size], array("i", ids).tobytes(), least
+        if least == 0:
+            ids = self._least_ids(word)
+        return best[len(word)], array("i", ids).tobytes(), least
 
-    def _choices(self, words: list[str]) -> list[Choice]:
-        """Every word's best, and what its second choice loses; ids as 32-bit bytes."""
+    def _least_ids(self, word: str) -> list[int]:
+        """Of the best segmentations the one with the least ids: the best tails from the end, of equal ones the least first id."""
+        size = len(word)
+        tail = [-math.inf] * size + [0.0]
+        first: list[tuple[int, tuple[int, ...]]] = [(0, ())] * size
+        begins = self._begins
+        for start in range(size - 1, -1, -1):
+            for end in range(start + 1, size + 1):
+                piece = begins.get(word[start:end], ())
+                if piece:
+                    score = piece[0] + tail[end]
+                    if score > tail[start] or score == tail[start] and piece[1] < first[start][1]:
+                        tail[start], first[start] = score, (end, piece[1])
+                elif piece is not None:
+                    break
+            if word[start] not in self.ids:
+                ids = tuple([self.bytes[b] for b in word[start].encode()])
+                score = self.unknown + tail[start + 1]
+                if score > tail[start] or score == tail[start] and ids < first[start][1]:
+                    tail[start], first[start] = score, (start + 1, ids)
+        at, found = 0, []
+        while at < size:
+            at, ids = first[at]
+            found += ids
+        return found
+
+    def _forward_all(self, words: list[str]) -> Iterator[Choice]:
+        """As ``_forward``, for many words of up to ``TOGETHER`` characters whose unknown ones have one byte, side by side.
+
+        The same passes, each step taken for all words at once: pieces are found by
+        the hashes of ever longer parts, positions settled in order, and the best
+        read back from the ends.
+        """
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        letters = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.uint64)
+        first = np.cumsum(sizes) - sizes
+        last = np.repeat(first + sizes, sizes)
+        at, key = np.arange(len(letters)), np.zeros(len(letters), np.uint64)
+        starts, ends, pieces = [], [], []
+        for length in range(1, self._longest + 1):
+            inside = at + length <= last[at]
+            at, key = at[inside], key[inside]
+            key = blocks.mix(key * np.uint64(31) + letters[at + (length - 1)] + np.uint64(1))
+            row = self._parts.find(key)
+            at, key, row = at[row >= 0], key[row >= 0], row[row >= 0]
+            piece = self._piece_of[row]
+            starts.append(at[piece >= 0])
+            ends.append(at[piece >= 0] + length)
+            pieces.append(piece[piece >= 0])
+        start, end, piece = (np.concatenate(x) for x in (starts, ends, pieces))
+        # places of a word: its start and the end of each of its letters
+        word = np.repeat(np.arange(len(words)), sizes)[start]
+        start, end = start + word, end + word
+        base = first + np.arange(len(words))
+        turn = np.lexsort((end, end - base[word]))
+        start, end, piece, word = start[turn], end[turn], piece[turn], word[turn]
+        total = len(letters) + len(words)
+        best, gap = np.zeros(total), np.full(total, np.inf)
+        back, back_piece = np.zeros(total, np.int64), np.zeros(total, np.int64)
+        step = end - base[word]
+        bounds = np.searchsorted(step, np.arange(1, int(sizes.max()) + 2))
+        for a, b in zip(bounds.tolist(), bounds[1:].tolist()):
+            score = best[start[a:b]] + self._scores[piece[a:b]]
+            to = end[a:b]
+            runs = np.flatnonzero(np.concatenate([[True], to[1:] != to[:-1]]))
+            counts = np.diff(np.append(runs, b - a))
+            most = np.maximum.reduceat(score, runs)
+            hit = np.flatnonzero(score == np.repeat(most, counts))
+            own = np.searchsorted(hit, runs)  # the first best arc of each place
+            chosen = hit[own]
+            place = to[runs]
+            best[place], back[place], back_piece[place] = most, start[a:b][chosen], piece[a:b][chosen]
+            score[chosen] = -np.inf
+            gap[place] = most - np.maximum.reduceat(score, runs)
+        at = base + sizes
+        least = np.full(len(words), np.inf)
+        made: list[np.ndarray] = []
+        owners: list[np.ndarray] = []
+        live = np.arange(len(words))
+        scores = best[at]
+        while len(live):
+            here = at[live]
+            least[live] = np.minimum(least[live], gap[here])
+            made.append(back_piece[here])
+            owners.append(live)
+            at[live] = back[here]
+            live = live[at[live] > base[live]]
+        owner, flat = np.concatenate(owners[::-1]), np.concatenate(made[::-1])
+        turn = np.argsort(owner, kind="stable")
+        data = flat[turn].astype(np.int32)
+        cuts = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(words)))]).tolist()
+        for k, (name, score, lost) in enumerate(zip(words, scores.tolist(), least.tolist())):
+            if lost == 0:  # of equal scores the least ids
+                yield score, array("i", self._least_ids(name)).tobytes(), lost
+            else:
+                yield score, data[cuts[k] : cuts[k + 1]].tobytes(), lost
+
+    def learn(self, words: list[str]) -> None:
+        """Remembers every word's best, and what its second choice loses; the more words at once, the less each costs."""
         if len(self._known) > self._cached:
             self._known, self._older = {}, self._known
         known, older = self._known, self._older
+        together = []
         for word in set(words).difference(known):
-            known[word] = older.get(word) or self._forward(word)
-        return list(map(known.__getitem__, words))
+            if choice := older.get(word):
+                known[word] = choice
+            elif len(word) <= TOGETHER and self._letters_known.issuperset(word):
+                together.append(word)
+            else:
+                known[word] = self._forward(word)
+        if together:
+            known.update(zip(together, self._forward_all(together)))
 
     def nbest_bytes(self, text: str, n: int) -> list[tuple[float, bytes]]:
         """The n best segmentations of a text, best first, ids as 32-bit bytes."""
         words = _WORD.findall(normal(text))
-        choices = self._choices(words)
+        self.learn(words)
+        return self.of_words(words, n)
+
+    def of_words(self, words: list[str], n: int) -> list[tuple[float, bytes]]:
+        """The n best segmentations of a text whose words the last call of ``learn`` has met."""
+        choices = list(map(self._known.__getitem__, words))
         total = sum([c[0] for c in choices])
         first = [c[1] for c in choices]
         # places that have a second choice, by what it loses; n - 1 of them can matter
@@ -205,19 +369,6 @@ class Vocabulary:
         """The n best segmentations of a text, best first."""
         return [(score, tuple(np.frombuffer(ids, np.int32).tolist())) for score, ids in self.nbest_bytes(text, n)]
 
-    def decode_all(self, ids: np.ndarray, bounds: np.ndarray) -> list[str]:
-        """The texts of many segmentations: those between each two of ``bounds``."""
-        lengths = self._lengths[ids]
-        ends = np.concatenate([[0], np.cumsum(lengths)])
-        letters = self._letters[np.repeat(self._places[ids] - ends[:-1], lengths) + np.arange(ends[-1])].tobytes()
-        cuts = ends[bounds].tolist()
-        texts = [letters[a:b].decode("utf-8", "replace") for a, b in zip(cuts, cuts[1:])]
-        return [t[1:] if t.startswith(" ") else t for t in texts]
-
-    def decode(self, ids) -> str:
-        """The text of a segmentation."""
-        return self.decode_all(np.array(ids, np.int64), np.array([0, len(ids)]))[0]
-
 
 def normal(text: str) -> str:
     """The text as the vocabulary spells it: a mark before the first word and for every space."""
@@ -226,14 +377,15 @@ def normal(text: str) -> str:
 
 def encode(docs: DataFrame, model: str, n: int = 1, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, rank, score, ids): the ``n`` best segmentations of every whole text."""
-    held: list[Vocabulary] = []
 
     def work(block: pa.RecordBatch) -> list:
-        if not held:
-            held.append(Vocabulary(model))
+        vocabulary = blocks.kept(("pieces", model), lambda: Vocabulary(model))
         keys, ranks, scores, ids = [], [], [], []
-        for key, body in zip(block.column("doc_id").to_pylist(), block.column("text").to_pylist()):
-            made = [(None, None)] if body is None else held[0].nbest_bytes(body, n)
+        texts = block.column("text").to_pylist()
+        split = [_WORD.findall(normal(body or "")) for body in texts]
+        vocabulary.learn([word for words in split for word in words])
+        for key, body, words in zip(block.column("doc_id").to_pylist(), texts, split):
+            made = [(None, None)] if body is None else vocabulary.of_words(words, n)
             keys += [key] * len(made)
             ranks += range(1, len(made) + 1)
             scores += [score for score, _ in made]
@@ -249,23 +401,22 @@ def encode(docs: DataFrame, model: str, n: int = 1, doc_id: str = "doc_id", text
 
 def decode(encoded: DataFrame, model: str) -> DataFrame:
     """``text`` for ``ids``; the other columns stay."""
-    held: list[Vocabulary] = []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        speller = blocks.kept(("speller", model), lambda: Speller(model))
         for batch in batches:
-            if not held:
-                held.append(Vocabulary(model))
-            cells = batch.column("__ids")
-            counts = cells.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            flat, ends = cells.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(counts)])
-            texts: list[str | None] = []
-            while len(texts) < batch.num_rows:
-                start = len(texts)
+            counts = batch.column("__ids").value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            ends = np.concatenate([[0], np.cumsum(counts)])
+            start = 0
+            while start < batch.num_rows:
                 stop = max(start + 1, int(np.searchsorted(ends, ends[start] + DECODED_IDS, "right")) - 1)
-                texts += held[0].decode_all(flat[ends[start] : ends[stop]], ends[start : stop + 1] - ends[start])
-            texts = [None if null else t for null, t in zip(cells.is_null().to_pylist(), texts)]
-            kept = [c for c in batch.schema.names if c != "__ids"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(texts, pa.string())], [*kept, "text"])
+                part = batch.slice(start, stop - start)
+                cells = part.column("__ids")
+                texts = speller.decode_all(cells.flatten().to_numpy(zero_copy_only=False), ends[start : stop + 1] - ends[start])
+                texts = [None if null else t for null, t in zip(cells.is_null().to_pylist(), texts)]
+                kept = [c for c in part.schema.names if c != "__ids"]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), pa.array(texts, pa.string())], [*kept, "text"])
+                start = stop
 
     rest = [c for c in encoded.columns if c not in ("ids", "text")]
     read = encoded.select(*rest, F.col("ids").alias("__ids"))

@@ -1,7 +1,10 @@
 from __future__ import annotations
 
 import itertools
+import random
+import time
 
+import numpy as np
 import public_tokenizers
 import pytest
 from helpers import EDGES, docs, edges, empty
@@ -16,14 +19,13 @@ def vocabulary():
     return pieces.Vocabulary(PATH)
 
 
-def brute(vocabulary, text):
+def brute(vocabulary, text, mark=True):
     """All segmentations of a short text, best first."""
-    text = pieces.normal(text)
-    ending = vocabulary.arcs(text)
+    text = pieces.normal(text) if mark else text
     paths = [[] for _ in range(len(text) + 1)]
     paths[0] = [(0.0, ())]
     for end in range(1, len(text) + 1):
-        paths[end] = [(s + score, ids + own) for start, score, own in ending[end] for s, ids in paths[start]]
+        paths[end] = [(s + score, ids + own) for start, score, own in vocabulary.arcs_to(text, end) for s, ids in paths[start]]
     return sorted(paths[-1], key=lambda p: (-p[0], p[1]))
 
 
@@ -37,6 +39,29 @@ def test_n_best_are_the_best_of_all(vocabulary, text):
         assert all(m in every for m in made)
 
 
+@pytest.mark.parametrize("word", ["--------", "=-=-=-=", "▁▁▁▁▁▁▁", "aaaaaaaa", "▁the", "0000000", "漢漢é"])
+def test_ties_within_a_word_are_settled_by_the_ids(vocabulary, word):
+    every = brute(vocabulary, word, mark=False)
+    for n in (1, 2, 7, 50):
+        assert vocabulary.word_nbest(word, n) == every[:n]
+    assert list(vocabulary._forward_all([word])) == [vocabulary._forward(word)] if vocabulary._letters_known.issuperset(word) else True
+
+
+def test_words_side_by_side_equal_words_alone(vocabulary):
+    rng = random.Random(4)
+    words = ["".join(rng.choice("▁▁aeinst-=0é.X") for _ in range(rng.randint(1, 40))) for _ in range(2000)]
+    assert list(vocabulary._forward_all(words)) == [vocabulary._forward(w) for w in words]
+
+
+def test_long_runs_of_one_sign_end_soon(vocabulary):
+    for sign in "-=_*.#a0 \n":
+        before = time.process_time()
+        (best, ids), *others = vocabulary.nbest_bytes(sign * 100_000, 2)
+        assert all(best >= second for second, _ in others) and len(others) == (sign not in "0\n")
+        assert time.process_time() - before < 30  # some 50 microseconds a sign, no more for longer runs
+        assert vocabulary.decode(np.frombuffer(ids, np.int32)) == sign * 100_000
+
+
 def test_every_segmentation_decodes_to_the_text(vocabulary):
     for text in ["hello  world ", "", " a", "tab\tnew\nline", "漢字🙂é", "\x00"]:
         for _, ids in vocabulary.nbest(text, 4):

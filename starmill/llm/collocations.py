@@ -50,8 +50,8 @@ LIMIT = 2000
 SLACK = 4
 PERCENT = 50
 UNKNOWN = "und"
-BLOCK_BYTES = 4 << 20
-HELD = 4 << 20  # pairs or threes a task holds before it sends their counts
+BLOCK_BYTES = 2 << 20
+HELD = 2 << 20  # pairs or threes a task holds before it sends their counts
 BITS = 26  # of a bitmap's places: 8 MB
 LANGUAGES = 25  # in one trie
 
@@ -156,6 +156,7 @@ def _run_counts(texts: DataFrame, size: int, members: Members) -> DataFrame:
 
     def summed(held: list[np.ndarray]) -> pa.RecordBatch:
         runs = np.concatenate(held)
+        held.clear()
         key = runs[:, 0].copy()
         for i in range(1, size):
             key = blocks.mix(key * np.uint64(31) + runs[:, i])
@@ -182,7 +183,6 @@ def _run_counts(texts: DataFrame, size: int, members: Members) -> DataFrame:
             held.append(np.stack([h[at + i] for i in range(size)], 1))
             if sum(map(len, held)) > HELD:
                 yield summed(held)
-                held = []
         if sum(map(len, held)):
             yield summed(held)
 

@@ -1,11 +1,12 @@
 from __future__ import annotations
 
 import os
+from collections import Counter
 
 import corpus_pipeline
 import pytest
 from compare import differences, duck
-from helpers import docs
+from helpers import docs, edges, empty
 
 import __spark_entry__ as entry
 from starmill.llm import queries, secrets
@@ -45,3 +46,31 @@ def test_stages_keep_the_columns_and_take_effect(spark, tiny):
 
 def test_pipeline_runs_whole(spark, tiny):
     assert corpus_pipeline.run(spark, tiny).count() > 0
+
+
+def test_stages_take_edge_cases(spark, tiny):
+    """Nulls, empty and very long texts, repeated rows, clashing columns; then no rows at all."""
+    table = queries.table(spark, tiny, "documents").limit(150)
+    odd = edges(spark).select(table.columns)
+    now = table.unionByName(odd)
+    for name, step in corpus_pipeline.STAGES[:-1]:
+        before = now
+        now = step(spark, before, tiny)
+        assert now.columns == table.columns
+        ids = Counter(r.doc_id for r in now.select("doc_id").collect())
+        if name == "language_id":
+            assert not {1, 2, 3} & {k for k in ids if k is not None and k < 4 and ids[k] > 1} and None in ids
+        if name == "line_dedup":
+            assert ids == Counter(r.doc_id for r in before.select("doc_id").collect())
+        if name == "near_duplicates":
+            assert max(n for k, n in ids.items() if k is not None) == 1 and ids[None] == 1
+    assert corpus_pipeline.STAGES[-1][1](spark, now, tiny).count() >= now.count()
+    for _, step in corpus_pipeline.STAGES:
+        assert step(spark, empty(spark), tiny).count() == 0
+
+
+def test_near_duplicates_keep_one_row_of_a_name(spark, tiny):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, text), (1, text), (2, text + " more"), (3, "something else"), (3, "something other"), (4, None), (4, None), (None, text), (None, text)]
+    kept = sorted((str(r.doc_id), str(r.text)[:12]) for r in corpus_pipeline.drop_near_duplicates(spark, docs(spark, rows), tiny).collect())
+    assert kept == sorted([("1", text[:12]), ("3", "something el"), ("4", "None"), ("None", text[:12]), ("None", text[:12])])

@@ -17,15 +17,16 @@ from pyspark.sql.types import DecimalType
 from starmill import oracles, schemas
 from starmill.functions.coerce import to_date, to_number
 from starmill.functions.text import strip, title_case
-from starmill.operators import cleaning, dimensions, loads, quality, tables
+from starmill.operators import catalog, cleaning, dimensions, loads, quality, tables
 from starmill.operators.dedupe import keep_first
-from starmill.operators.enrich import enrich
+from starmill.operators.enrich import enrich, one_per_key
 from starmill.plans import affinity, olap
 from starmill.plans.star import Star
 from starmill.plans.warehouse import build_warehouse, stored_tables
 from starmill.scratch import scratch_path, stage
 from starmill.sources import files, sample
 from starmill.streaming import enrichment, parking
+from starmill.streaming.sinks import each_batch
 
 try:
     from starmill.llm import queries as corpus
@@ -175,6 +176,51 @@ def describe_table(spark: SparkSession, folder: str) -> DataFrame:
     return tables.describe(spark, "dim_customer")
 
 
+def _database(spark: SparkSession) -> str:
+    """A database of its own, below the scratch folder."""
+    path = scratch_path(spark, "catalog")
+    name = "starmill_" + path.rsplit("-", 1)[1]
+    catalog.create_database(spark, name, path)
+    return name
+
+
+def catalog_store_view(spark: SparkSession, folder: str) -> DataFrame:
+    """The store view as a view of the catalog, read in another session."""
+    name = _database(spark)
+    catalog.publish_star(sample.SampleStar(spark, folder), name)
+    view = catalog.create_store_view(spark, name)
+    return catalog.read(spark.newSession(), view)
+
+
+def catalog_defaults(spark: SparkSession, folder: str) -> DataFrame:
+    """Calendar and sales inserted without the columns that have a default."""
+    name = _database(spark)
+    star = sample.SampleStar(spark, folder)
+    catalog.create_table(spark, f"{name}.dim_date", schemas.DIM_DATE)
+    catalog.insert(star.dim_date.drop("is_holiday"), f"{name}.dim_date")
+    catalog.create_table(spark, f"{name}.fact_sales", schemas.FACT_SALES, load_time=True)
+    catalog.insert(sample.transactions(spark, folder).select(*schemas.FACT_SALES.names), f"{name}.fact_sales")
+    return (
+        spark.table(f"{name}.fact_sales").join(spark.table(f"{name}.dim_date"), "date_id")
+        .groupBy("year", "is_holiday").agg(F.count("*").alias("rows"), F.count("load_time").alias("stamped"))
+    )
+
+
+def bucketed_demographics(spark: SparkSession, folder: str) -> DataFrame:
+    """q02 on sales and customers that are stored in buckets of customers."""
+    return olap.q02_demographics_city(catalog.bucketed_star(sample.SampleStar(spark, folder), _database(spark), 8))
+
+
+def enrich_case_insensitive(spark: SparkSession, folder: str) -> DataFrame:
+    """Product ids in other cases than the master's, which itself holds some twice."""
+    sold = sample.transactions(spark, folder).withColumn(
+        "product_id", F.when(F.col("order_id") % 3 == 0, F.lower("product_id")).otherwise(F.col("product_id"))
+    )
+    master = sample.master(spark, folder)
+    doubled = master.filter("store_id % 5 = 0").withColumns({"product_id": F.lower("product_id"), "unit_price": F.lit(1).cast(schemas.PRICE)})
+    return enrich(sold, one_per_key(master.unionByName(doubled), "UNICODE_CI"), collation="UNICODE_CI")
+
+
 # Cleaning steps on their own
 
 
@@ -254,6 +300,35 @@ def stream_batch_counts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def stream_bounded_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows taken in, and whether every micro-batch kept to its bytes, of a large file and many small ones."""
+    path, names = scratch_path(spark, "uneven"), schemas.TRANSACTION_FILE.names
+    raw = sample.raw_transactions(spark, folder)
+    large = (F.col("orderID").cast("bigint") % 2 == 0).eqNullSafe(True)
+    raw.filter(large).select(*names).coalesce(1).write.option("header", True).csv(path)
+    raw.filter(~large).select(*names).repartition(24).write.mode("append").option("header", True).csv(path)
+    sizes = spark.read.format("binaryFile").load(path).select("length").agg(F.sum("length").alias("all"), F.max("length").alias("most")).first()
+    limit = sizes["all"] // 8
+    source = files.stream_transactions(spark, path, bytes_per_batch=str(limit))
+    place = source.select("*", F.col("file_place.file_path").alias("file"))
+    counts = f"{path}-batches"
+
+    def note(batch: DataFrame, name: str) -> None:
+        batch.groupBy("file").agg(F.count("*").alias("rows")).write.mode("overwrite").parquet(f"{counts}/batch={name}")
+
+    each_batch(place, note, f"{path}-checkpoint")
+    lengths = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), "length")
+    taken = spark.read.schema("file string, rows bigint, batch string").parquet(counts)
+    by_batch = (
+        taken.withColumn("file", F.regexp_extract("file", "[^/]+$", 0)).join(lengths.withColumn("file", F.regexp_extract("file", "[^/]+$", 0)), "file")
+        .groupBy("batch").agg(F.sum("rows").alias("rows"), F.sum("length").alias("bytes"), F.count("*").alias("files"))
+    )
+    kept = (F.col("bytes") <= limit) | (F.col("files") == 1)
+    return by_batch.agg(
+        F.sum("rows").alias("processed"), F.min(kept.cast("int")).alias("within_bound"), (F.count("*") > 1).cast("int").alias("several_batches")
+    )
+
+
 def stream_enrich_clean(spark: SparkSession, folder: str) -> DataFrame:
     """Each order once, and whether its row is what one of the order's good copies gives."""
     products = stage(_products(spark, folder), "products")
@@ -351,6 +426,9 @@ def _registered() -> dict[str, Query]:
         "load_dimensions": load_dimensions,
         "load_dimensions_twice": load_dimensions_twice,
         "fact_sales_load": fact_sales_load,
+        "catalog_store_view": catalog_store_view,
+        "catalog_defaults": catalog_defaults,
+        "bucketed_demographics": bucketed_demographics,
         "table_preview": lambda s, d: tables.preview(sample.sales(s, d)),
         "table_count": lambda s, d: tables.count_rows(sample.sales(s, d)),
         "describe_table": describe_table,
@@ -371,7 +449,9 @@ def _registered() -> dict[str, Query]:
         "dedup_keep_first": dedup_keep_first,
         "title_case": title_case_texts,
         "fact_enriched": sample.sales,
+        "enrich_case_insensitive": enrich_case_insensitive,
         "stream_enrich": stream_enrich,
+        "stream_bounded_batches": stream_bounded_batches,
         "stream_batch_counts": stream_batch_counts,
         "stream_enrich_clean": stream_enrich_clean,
         "stream_unmatched": stream_unmatched,

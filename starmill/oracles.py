@@ -445,6 +445,21 @@ FROM movement"""
     )
     sql["stream_store_quarterly"] = _star(STORE_QUARTERS)
 
+    sql["stream_bounded_batches"] = _with(
+        RAW_TX, "SELECT count(*) AS processed, CAST(1 AS INTEGER) AS within_bound, CAST(1 AS INTEGER) AS several_batches FROM raw_tx"
+    )
+    sql["enrich_case_insensitive"] = _star(
+        """
+SELECT order_id, customer_id, CASE WHEN order_id % 3 = 0 THEN lower(product_id) ELSE product_id END AS product_id,
+       date_id, quantity, CAST(unit_price AS DOUBLE) AS unit_price, store_id, supplier_id, CAST(total_amount AS DOUBLE) AS total_amount
+FROM sale"""
+    )
+    sql["catalog_store_view"] = _star(STORE_QUARTERS)
+    sql["catalog_defaults"] = _star(
+        """
+SELECT year, CAST(0 AS INTEGER) AS is_holiday, count(*) AS rows, count(*) AS stamped FROM movement JOIN cal USING (date_id) GROUP BY year"""
+    )
+
     # Analytical queries
     sql["q01_top_products_daytype_monthly"] = _star(
         f"""
@@ -464,6 +479,7 @@ SELECT gender, age_group, city_category, {customer_totals}
 FROM sale JOIN customer_dim USING (customer_id)
 GROUP BY ALL"""
     )
+    sql["bucketed_demographics"] = sql["q02_demographics_city"]
     sql["q03_category_by_occupation"] = _star(
         f"""
 SELECT occupation, product_category, {_money()} AS total_sales, {QTY} AS total_quantity,

@@ -57,6 +57,8 @@ def _missing_to_null(df: DataFrame, schema: StructType) -> DataFrame:
 def _format(path: str) -> str:
     return "parquet" if path.rstrip("/").endswith(".parquet") else "csv"
 
+BATCH_BYTES = "64g"  # of files in a micro-batch
+
 
 def _delivered(spark: SparkSession, path: str, schema: StructType, file_format: str | None) -> StructType:
     """The schema of the files as they are: their own columns in their own order, all text in CSV.
@@ -103,15 +105,25 @@ def read_transactions(spark: SparkSession, path: str, file_format: str | None =
 
 
 def stream_transactions(
-    spark: SparkSession, path: str, files_per_batch: int = 1000, file_format: str | None = None
+    spark: SparkSession,
+    path: str,
+    files_per_batch: int | None = None,
+    file_format: str | None = None,
+    bytes_per_batch: str = BATCH_BYTES,
 ) -> DataFrame:
-    """The same files as a stream, in bounded micro-batches; the first file's columns hold for all."""
+    """The same files as a stream, in bounded micro-batches; the first file's columns hold for all.
+
+    A micro-batch takes files up to ``bytes_per_batch`` in all, or one file that is larger
+    by itself. ``files_per_batch`` bounds their number instead, which bounds the
+    volume only where files are of one size.
+    """
+    bound = ("maxFilesPerTrigger", files_per_batch) if files_per_batch else ("maxBytesPerTrigger", bytes_per_batch)
     found = _delivered(spark, path, schemas.TRANSACTION_FILE, file_format)
     rows = (
         spark.readStream.schema(found)
         .option("header", True)
         .option("enforceSchema", False)
-        .option("maxFilesPerTrigger", files_per_batch)
+        .option(*bound)
         .format(file_format or _format(path))
         .load(path)
     )

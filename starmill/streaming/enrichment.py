@@ -22,6 +22,8 @@ from starmill.scratch import children, exists, remove, stage
 from starmill.streaming.sinks import each_batch, run_to_end
 
 BATCH_COUNTS = "processed bigint, joined bigint, batch string"
+COMPACT = 32  # micro-batches between two whole store views
+
 
 def stream_enrich(
     stream: DataFrame, master: DataFrame, target: str, checkpoint: str, time_limit: float | None = None
@@ -142,9 +144,10 @@ def stream_store_quarterly(
 ) -> DataFrame:
     """The store view kept up to date while sales arrive.
 
-    Every micro-batch writes the whole view (stores times quarters) as a new
-    version, names it as the current one when it is complete, and deletes what
-    came before the previous one, which readers may still hold.
+    Every micro-batch writes the groups (store, year, quarter) it has changed, with their new
+    totals, so what it writes follows the change and not the view. A group's last
+    totals are the view's. Every ``COMPACT`` batches the view is written whole, and older changes go,
+    but for those that readers of the previous whole one may still hold.
     """
     spark = stream.sparkSession
     lookup = stage(master, "product-master")
@@ -159,25 +162,40 @@ def stream_store_quarterly(
         .agg(F.sum("total_amount").alias("total_sales"), F.sum("quantity").alias("total_qty"))
     )
 
-    def publish(view: DataFrame, batch_id: int) -> None:
-        named = view.join(dim_store.select("store_id", "store_name"), "store_id")
-        tables.conform(named, schemas.STORE_QUARTERS).write.mode("overwrite").parquet(f"{target}/version={batch_id}")
-        for old in store_versions(spark, target)[:-2]:
-            remove(spark, f"{target}/version={old}")
+    def publish(changed: DataFrame, batch_id: int) -> None:
+        named = changed.join(dim_store.select("store_id", "store_name"), "store_id")
+        tables.conform(named, schemas.STORE_QUARTERS).write.mode("overwrite").parquet(f"{target}/changes/batch={batch_id}")
+        if batch_id % COMPACT == COMPACT - 1:
+            current_store_view(spark, target).write.mode("overwrite").parquet(f"{target}/whole/batch={batch_id}")
+            for old in _complete(spark, f"{target}/whole")[:-2]:
+                remove(spark, f"{target}/whole/batch={old}")
+            for old in [n for n in _complete(spark, f"{target}/changes") if n <= batch_id - COMPACT]:
+                remove(spark, f"{target}/changes/batch={old}")
+
+    run_to_end(totals.writeStream.outputMode("update").foreachBatch(publish), checkpoint, time_limit)
+    return current_store_view(spark, target)
+
 
-    run_to_end(totals.writeStream.outputMode("complete").foreachBatch(publish), checkpoint, time_limit)
-    return current_store_view(stream.sparkSession, target)
+def _complete(spark, path: str) -> list[int]:
+    """Batches written to their end, oldest first; a complete one holds the committer's mark."""
+    names = (n.removeprefix("batch=") for n in children(spark, path) if n.startswith("batch="))
+    return sorted(int(n) for n in names if exists(spark, f"{path}/batch={n}/_SUCCESS"))
 
 
-def store_versions(spark, target: str) -> list[int]:
-    """Complete versions of the view, oldest first; a complete one holds the committer's mark."""
-    names = (n.removeprefix("version=") for n in children(spark, target) if n.startswith("version="))
-    return sorted(int(n) for n in names if exists(spark, f"{target}/version={n}/_SUCCESS"))
+def store_view_parts(spark, target: str) -> tuple[list[int], list[int]]:
+    """What makes up the view: the last whole one, if any, and the changes since."""
+    whole = _complete(spark, f"{target}/whole")[-1:]
+    return whole, [n for n in _complete(spark, f"{target}/changes") if not whole or n > whole[0]]
 
 
 def current_store_view(spark, target: str) -> DataFrame:
-    """The last complete version of the view; empty before the first."""
-    versions = store_versions(spark, target)
-    if not versions:
+    """The view after the last complete batch; empty before the first."""
+    whole, changes = store_view_parts(spark, target)
+    paths = [f"{target}/whole/batch={n}" for n in whole] + [f"{target}/changes/batch={n}" for n in changes]
+    if not paths:
         return spark.createDataFrame([], schemas.STORE_QUARTERS)
-    return spark.read.schema(schemas.STORE_QUARTERS).parquet(f"{target}/version={versions[-1]}")
+    names = schemas.STORE_QUARTERS.names
+    batch = F.regexp_extract(F.col("_metadata.file_path"), r"/batch=(\d+)/", 1).cast("bigint")
+    rows = spark.read.schema(schemas.STORE_QUARTERS).parquet(*paths).select(*names, batch.alias("_batch"))
+    last = F.max_by(F.struct(*names), "_batch").alias("_row")
+    return rows.groupBy("store_id", "year", "quarter").agg(last).select("_row.*")

@@ -187,22 +187,51 @@ def test_horizon_is_a_choice_of_the_caller(spark, master):
     assert "EventTimeWatermark" not in exact and "EventTimeWatermark" in bounded
 
 
-def test_store_view_follows_the_stream(spark, tiny, lines):
+@pytest.mark.parametrize("compact", [2, 32])
+def test_store_view_follows_the_stream(spark, tiny, lines, monkeypatch, compact):
+    monkeypatch.setattr(enrichment, "COMPACT", compact)
     target, checkpoint = paths(spark)
     view = enrichment.stream_store_quarterly(
-        stream(spark, tiny, lines),
+        stream(spark, tiny, lines, files_per_batch=1),
         sample.master(spark, tiny),
         sample.dates(spark, tiny),
         sample.stores(spark, tiny),
         target,
         checkpoint,
     )
-    # three micro-batches; the last version and the one before stay
-    assert enrichment.store_versions(spark, target) == [1, 2]
+    # seven micro-batches
+    assert enrichment.store_view_parts(spark, target) == (([5], [6]) if compact == 2 else ([], [*range(7)]))
     from starmill.plans.olap import q20_store_quarterly_sales
 
     batch = q20_store_quarterly_sales(sample.SampleStar(spark, tiny))
-    assert same_rows(view.select(*[F.col(c).cast("string") for c in view.columns]), batch.select(*[F.col(c).cast("string") for c in view.columns]))
+    text = lambda df: df.select(*[F.col(c).cast("string") for c in batch.columns])
+    assert same_rows(text(view), text(batch))
+    # the same view again, whole and from its changes
+    assert same_rows(text(enrichment.current_store_view(spark, target)), text(batch))
+
+
+def test_a_batch_writes_the_groups_it_changes(spark, tiny):
+    """Sales of one store and quarter add one row to the view's changes."""
+    path = scratch_path(spark, "lines")
+    target, checkpoint = paths(spark)
+    every = sample.table(spark, tiny, "lineitem")
+    orders = sample.table(spark, tiny, "orders")
+    few = every.join(orders, every.l_orderkey == orders.o_orderkey).filter("l_partkey % 25 = 3 and year(o_orderdate) = 1997 and quarter(o_orderdate) = 2")
+
+    def run():
+        rows = spark.readStream.schema(sample.TABLES["lineitem"]).parquet(f"{path}/*").withColumn("file_place", F.lit(0))
+        return enrichment.stream_store_quarterly(
+            sample.transactions(spark, tiny, rows), sample.master(spark, tiny), sample.dates(spark, tiny), sample.stores(spark, tiny), target, checkpoint
+        )
+
+    every.coalesce(1).write.parquet(f"{path}/first")
+    whole = run().count()
+    few.select(every.columns).coalesce(1).write.parquet(f"{path}/second")
+    view = run()
+    changed = spark.read.parquet(f"{target}/changes/batch=1")
+    assert whole > 100 and (changed.count(), changed.first().store_id, changed.first().quarter) == (1, 3, 2)
+    now = view.filter("store_id = 3 and year = 1997 and quarter = 2").first()
+    assert view.count() == whole and now.total_sales == changed.first().total_sales
 
 
 def test_overlong_stream_is_stopped(spark, tiny, lines):

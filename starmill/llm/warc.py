@@ -10,7 +10,9 @@ repeated makes the same bytes.
 Cases: null or empty body: both records, with an empty text. Null url: the
 target is left out of the headers. A body that is no HTTP message: read as HTML
 as it is. Repeated rows: their records have equal ids. Broken bytes are read as
-replacement characters, and the digest is that of the bytes.
+replacement characters, and the digest is that of the bytes. Broken records of a
+file are passed over and told (``parse``). Markup that is never closed stays text; pages
+are read in one pass, however many tags or comments they leave open.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ import html
 import json
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 from urllib.parse import urljoin
 
@@ -32,21 +35,52 @@ from pyspark.sql import functions as F
 
 VERSION = b"WARC/1.1"
 DATE = "1970-01-01T00:00:00Z"  # of responses whose date nobody knows
+HEADER_BYTES = 1 << 20  # in which a record's header must end
 _SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the name space of URLs
 
 RECORD = "record_id string, warc_type string, target_uri string, date string, refers_to string, content_type string, payload_digest string, block_digest string, content_length bigint, headers map<string,string>, block binary"
 _NAMES = [part.split()[0] for part in RECORD.split(", ")]
 _ARROW = [pa.string()] * 8 + [pa.int64(), pa.map_(pa.string(), pa.string()), pa.binary()]
 
-_HIDDEN = re.compile(r"(?is)<!--.*?-->|<(script|style|noscript|template|head)\b.*?</\1\s*>")
+# Openers of what a page does not show; each goes up to its own end mark.
+_HIDDEN = re.compile(r"(?i)<!--|<(script|style|noscript|template|head)\b")
+_ENDS = {name: re.compile(rf"(?i)</{name}\s*>") for name in ("script", "style", "noscript", "template", "head", "title")} | {"!--": re.compile("-->")}
 _BREAKS = re.compile(r"(?i)</?(?:p|div|br|li|ul|ol|tr|table|h[1-6]|article|section|header|footer|nav|pre|blockquote|title|td|th)\b[^>]*>")
 _TAG = re.compile(r"(?s)<[^>]*>")
 _BLANKS = re.compile(r"[ \t\r\f\v\xa0]+")
 _LINES = re.compile(r" ?\n[ \n]*")
-_TITLE = re.compile(r"(?is)<title\b[^>]*>(.*?)</title\s*>")
-_LANG = re.compile(r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([\w-]+)")
-_META = re.compile(r"(?is)<meta\b[^>]*?\bname\s*=\s*[\"']description[\"'][^>]*?\bcontent\s*=\s*(?:\"([^\"]*)\"|'([^']*)')")
-_LINK = re.compile(r"(?is)<(a|link|img|script|iframe)\b[^>]*?\b(href|src)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
+_OPEN = re.compile(r"(?is)<(a|link|img|script|iframe|html|meta|title)\b([^>]*)>")
+_LANG = re.compile(r"(?i)\blang\s*=\s*[\"']?([\w-]+)")
+_ABOUT = re.compile(r"(?i)\bname\s*=\s*[\"']description[\"']")
+_CONTENT = re.compile(r"(?i)\bcontent\s*=\s*(?=[\"'])")
+_TARGET = re.compile(r"(?i)\b(href|src)\s*=\s*(?=[^\s>])")
+_QUOTED = re.compile(r"(?s)\"([^\"]*)\"|'([^']*)'")
+_BARE = re.compile(r"[^\s>]+")
+
+
+def _without(page: str, openers: re.Pattern) -> str:
+    """The page with a blank for everything from an opener to its end mark, read once from left to right.
+
+    An opener whose mark does not follow stays; that none follows is remembered.
+    """
+    kept, at, endless = [], 0, set()
+    while found := openers.search(page, at):
+        name = (found[1] or "!--").lower() if found.re.groups else "!--"
+        end = None if name in endless else _ENDS[name].search(page, found.end())
+        if end is None:
+            endless.add(name)
+            kept.append(page[at : found.end()])
+            at = found.end()
+        else:
+            kept += [page[at : found.start()], " "]
+            at = end.end()
+    return "".join([*kept, page[at:]])
+
+
+def _in_tags(pattern: re.Pattern, by: str, page: str) -> str:
+    """``pattern``, which runs up to a ">", replaced; it is not tried behind the last one, where each try would read to the end."""
+    last = page.rfind(">") + 1
+    return pattern.sub(by, page[:last]) + page[last:]
 
 
 def digest(data: bytes) -> str:
@@ -74,30 +108,46 @@ def split_http(block: bytes) -> tuple[str, dict[str, str], bytes]:
 
 def page_text(page: str) -> str:
     """The visible text, one line per block element."""
-    text = _BREAKS.sub("\n", _HIDDEN.sub(" ", page))
-    text = html.unescape(_TAG.sub("", text))
+    text = _in_tags(_BREAKS, "\n", _without(page, _HIDDEN))
+    text = html.unescape(_in_tags(_TAG, "", text))
     return _LINES.sub("\n", _BLANKS.sub(" ", text)).strip()
 
 
+def _value(page: str, at: int) -> str:
+    """An attribute's value: within quotes, or up to a blank."""
+    quoted = _QUOTED.match(page, at)
+    if quoted:
+        return quoted[1] if quoted[1] is not None else quoted[2]
+    return _BARE.match(page, at)[0]
+
+
 def page_metadata(page: str, url: str | None) -> dict:
-    """Title, description, language and links (in order, absolute if the url is known)."""
+    """Title, description, language and links (in order, absolute if the url is known); one pass over the tags."""
     clean = lambda m: html.unescape(_BLANKS.sub(" ", m).strip())
-    seen = re.sub(r"(?s)<!--.*?-->", " ", page)
-    title, lang, about = _TITLE.search(seen), _LANG.search(seen), _META.search(seen)
-    links = []
-    for m in _LINK.finditer(seen):
-        target = html.unescape(next(g for g in m.groups()[2:] if g is not None)).strip()
-        try:
-            target = urljoin(url or "", target)
-        except ValueError:
-            pass
-        links.append({"path": f"{m[1].upper()}@/{m[2].lower()}", "url": target})
-    return {
-        "title": clean(title[1]) if title else None,
-        "description": clean(about[1] if about[1] is not None else about[2]) if about else None,
-        "language": lang[1].lower() if lang else None,
-        "links": links,
-    }
+    seen = _without(page, re.compile("<!--"))
+    made: dict = {"title": None, "description": None, "language": None, "links": []}
+    titled, at, last = False, 0, seen.rfind(">") + 1
+    while tag := _OPEN.search(seen, at, last):
+        at, kind, inside = tag.end(), tag[1].lower(), tag.span(2)
+        if kind == "title":
+            if not titled and (end := _ENDS["title"].search(seen, at)):
+                made["title"], at = clean(seen[at : end.start()]), end.end()
+            titled = True  # if the first has no end, none has
+        elif kind == "html":
+            if made["language"] is None and (lang := _LANG.search(seen, *inside)):
+                made["language"] = lang[1].lower()
+        elif kind == "meta":
+            if made["description"] is None and (about := _ABOUT.search(seen, *inside)):
+                if content := _CONTENT.search(seen, about.end(), inside[1]):
+                    made["description"] = clean(_value(seen, content.end()))
+        elif target := _TARGET.search(seen, *inside):
+            link = html.unescape(_value(seen, target.end())).strip()
+            try:
+                link = urljoin(url or "", link)
+            except ValueError:
+                pass
+            made["links"].append({"path": f"{tag[1].upper()}@/{target[1].lower()}", "url": link})
+    return made
 
 
 def response(url: str | None, body: bytes, date: str = DATE, content_type: str = "text/html; charset=utf-8") -> tuple:
@@ -172,24 +222,104 @@ def serialize(row: dict) -> bytes:
     return VERSION + b"\r\n" + b"\r\n".join(lines) + b"\r\n\r\n" + (row["block"] or b"") + b"\r\n\r\n"
 
 
-def parse(data: bytes) -> Iterator[tuple]:
-    """The records of an uncompressed file."""
-    at = 0
-    while at < len(data):
-        end = data.index(b"\r\n\r\n", at)
+def inflate(content: bytes, step: int = 1 << 20) -> Iterator[bytes]:
+    """The bytes of a file in parts, gzip members one after another; what is cut off or no gzip ends them."""
+    if content[:2] != b"\x1f\x8b":
+        for at in range(0, len(content), step):
+            yield content[at : at + step]
+        return
+    member, left, at = zlib.decompressobj(31), b"", 0
+    while left or at < len(content):
+        if not left:
+            left, at = content[at : at + step], at + step
+        try:
+            yield member.decompress(left, step)
+        except zlib.error:
+            return
+        left = member.unconsumed_tail
+        if member.eof:
+            left, member = member.unused_data, zlib.decompressobj(31)
+
+
+BROKEN = "broken"
+
+
+def parse(data: bytes | Iterator[bytes]) -> Iterator[tuple]:
+    """The records of an uncompressed file, given whole or in parts; one record is held at a time.
+
+    A record without an end to its header, with a length that is no number, or
+    shorter than its length says gives a record of type ``broken`` with the reason in its headers
+    and no block; reading goes on at the next line that begins a record.
+    """
+    parts = iter([data] if isinstance(data, bytes) else data)
+    buffer, ended = bytearray(), False
+
+    def more() -> bool:
+        nonlocal ended
+        part = next(parts, None)
+        ended = part is None
+        if part:
+            buffer.extend(part)
+        return not ended
+
+    def broken(reason: str) -> tuple:
+        return (None, BROKEN, None, None, None, None, None, None, 0, {"reason": reason}, None)
+
+    def skip() -> None:
+        """To the next beginning of a record."""
+        del buffer[:1]
+        while True:
+            at = buffer.find(b"\nWARC/1.")
+            if at >= 0:
+                del buffer[: at + 1]
+                return
+            del buffer[: max(0, len(buffer) - 8)]
+            if not more():
+                buffer.clear()
+                return
+
+    while True:
+        while len(buffer) < 7 and more():
+            pass
+        while buffer[:2] == b"\r\n":
+            del buffer[:2]
+            while len(buffer) < 7 and more():
+                pass
+        if not buffer:
+            return
+        if not buffer.startswith(b"WARC/1."):
+            yield broken("no record begins here")
+            skip()
+            continue
+        end, tried = buffer.find(b"\r\n\r\n"), 0
+        while end < 0 and len(buffer) <= HEADER_BYTES and more():
+            end, tried = buffer.find(b"\r\n\r\n", max(0, tried - 3)), len(buffer)
+        if end < 0:
+            yield broken("the header has no end")
+            skip()
+            continue
         fields: dict[str, str] = {}
-        for line in data[at:end].split(b"\r\n")[1:]:
+        for line in bytes(buffer[:end]).split(b"\r\n")[1:]:
             name, _, value = line.decode("utf-8", "replace").partition(":")
             fields[name.strip()] = value.strip()
+        length = fields.pop("Content-Length", "0")
+        if not (length.isascii() and length.isdigit()):
+            yield broken("the length is no number")
+            skip()
+            continue
+        size = int(length)
+        while len(buffer) < end + 4 + size and more():
+            pass
+        if len(buffer) < end + 4 + size:
+            yield broken("the block is cut off")
+            skip()
+            continue
+        block = bytes(buffer[end + 4 : end + 4 + size])
         take = lambda name: fields.pop(name, None)
-        size = int(take("Content-Length") or 0)
-        block = data[end + 4 : end + 4 + size]
         own = [take(f"WARC-{n}") for n in ("Record-ID", "Type", "Target-URI", "Date", "Refers-To")]
         own += [take("Content-Type"), take("WARC-Payload-Digest"), take("WARC-Block-Digest"), size]
+        del buffer[: end + 4 + size]
         yield (*own, fields, block)
-        at = end + 4 + size
-        while data[at : at + 2] == b"\r\n":
-            at += 2
 
 
 def as_files(records: DataFrame) -> DataFrame:
@@ -205,14 +335,13 @@ def as_files(records: DataFrame) -> DataFrame:
 
 
 def read_files(spark, path: str) -> DataFrame:
-    """The records of all .warc and .warc.gz files below ``path``, by Spark's own reader."""
+    """The records of all .warc and .warc.gz files below ``path``, by Spark's own reader; broken ones as ``parse`` gives them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for content in batch.column("content").to_pylist():
-                data = gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content
                 rows = []
-                for record in parse(data):
+                for record in parse(inflate(content)):
                     rows.append(record)
                     if len(rows) == 500:
                         yield _rows(rows)

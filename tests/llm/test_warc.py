@@ -1,9 +1,16 @@
 from __future__ import annotations
 
 import gzip
+import html
 import json
+import random
+import re
+import time
 import uuid
 
+import pytest
+
+from starmill import scratch
 from starmill.llm import queries, warc
 from starmill.scratch import scratch_path
 
@@ -88,3 +95,67 @@ def test_whole_sample(spark, tiny):
     made = queries.op5_warc(spark, tiny)
     assert made.count() == 2 * queries.table(spark, tiny, "pages").count()
     assert made.filter("refers_to is null or source_digest is null").count() == 0
+
+
+# the same rules as plain patterns, which read on from every opener
+HIDDEN = re.compile(r"(?is)<!--.*?-->|<(script|style|noscript|template|head)\b.*?</\1\s*>")
+TITLE = re.compile(r"(?is)<title\b[^>]*>(.*?)</title\s*>")
+LINK = re.compile(r"(?is)<(a|link|img|script|iframe)\b[^>]*?\b(href|src)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
+
+
+def plain_text(page):
+    text = warc._TAG.sub("", warc._BREAKS.sub("\n", HIDDEN.sub(" ", page)))
+    return warc._LINES.sub("\n", warc._BLANKS.sub(" ", html.unescape(text))).strip()
+
+
+def test_one_pass_equals_plain_patterns():
+    rng = random.Random(12)
+    bits = [
+        "<script>", "</script>", "</SCRIPT >", "<style a='b'>", "</style>", "<!--", "-->", "<p>", "</p>", "<head>", "</head>", "text ", "a &amp; b", "<", ">", "\n",
+        "<title>", "</title>", "<title lang=x>", "<a href='u v'>", '<a class="c" href="x&amp;y">', "<img src=pic.png>", "<br/>", "<a>", "</a>", "<abbr href=no>",
+    ]
+    for _ in range(3000):
+        page = "".join(rng.choice(bits) for _ in range(rng.randrange(14)))
+        assert warc.page_text(page) == plain_text(page)
+        seen = re.sub(r"(?s)<!--.*?-->", " ", page)
+        made, title = warc.page_metadata(page, None), TITLE.search(seen)
+        assert (made["title"] is None) == (title is None)
+        if "<title" not in seen:  # a title's text is not looked into for links
+            assert [k["url"] for k in made["links"]] == [html.unescape(next(g for g in m.groups()[2:] if g is not None)).strip() for m in LINK.finditer(seen)]
+
+
+@pytest.mark.parametrize("bit", ["<script>", "<!--", "<", "<a ", "<title>", '<meta name="description" ', "<p", '<a href="', "<script></script  ", "<a href "])
+def test_markup_left_open_is_read_once(bit):
+    before = time.process_time()
+    page = bit * 40_000
+    warc.page_text(page), warc.page_metadata(page, "http://a"), warc.page_text(page + ">")
+    assert time.process_time() - before < 5
+
+
+def test_broken_records_are_passed_over_and_told(spark):
+    rows = [dict(zip(warc._NAMES, r)) for r in warc.derive("<urn:uuid:1>", "http://a", warc.DATE, b"HTTP/1.1 200 OK\r\nA: b\r\n\r\nhi there")]
+    good = b"".join(map(warc.serialize, rows))
+    first = warc.serialize(rows[0])
+    wrong = first.replace(b"Content-Length: ", b"Content-Length: x")
+    long = first.replace(b"Content-Length: ", b"Content-Length: 99")
+    cut = first[: first.index(b"Content-Length")]
+    kinds = lambda data: [r[1] for r in warc.parse(data)]
+    assert kinds(good + wrong + good) == ["metadata", "conversion", "broken", "metadata", "conversion"]
+    assert kinds(long + good) == ["broken", "metadata", "conversion"]
+    assert kinds(b"noise\r\n" + good + cut) == ["broken", "metadata", "conversion", "broken"]
+    assert kinds(b"") == kinds(b"\r\n\r\n") == [] and kinds(b"WARC/1.0") == ["broken"]
+    for step in (1, 7, 1000):
+        assert kinds(good[k : k + step] for k in range(0, len(good), step)) == ["metadata", "conversion"]
+    packed = gzip.compress(first, mtime=0) + gzip.compress(good, mtime=0)
+    assert b"".join(warc.inflate(packed, 5)) == first + good
+    assert kinds(warc.inflate(packed[:-40], 64))[0] == "metadata"
+    path = scratch.scratch_path(spark, "warc")
+    spark.createDataFrame([(1,)], "x int").write.parquet(path)
+    for name, data in (("a.warc.gz", packed[:-40]), ("b.warc", good + wrong), ("c.warc", b""), ("d.warc.gz", b"\x1f\x8bnothing")):
+        files, target = scratch._hadoop(spark, f"{path}/{name}")
+        out = files.create(target)
+        out.write(bytearray(data))
+        out.close()
+    found = warc.read_files(spark, path)
+    assert found.filter("warc_type = 'broken'").count() >= 2 and found.filter("warc_type = 'metadata'").count() >= 2
+    assert warc.derivatives(found).count() == 0

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from starmill.llm import collocations, decontaminate, fingerprints, langid, line_dedup, minhash, packing, pieces, quality, search, secrets, suffixes, warc
 from starmill.llm.oracles import ORACLES
-from starmill.scratch import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,9 +61,9 @@ def op6_pieces(spark: SparkSession, folder: str) -> DataFrame:
 
 def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    found = stage(secrets.findings(docs, secrets.context(docs)), "findings")
-    forest = secrets.train(found.filter("label is not null"))
-    return secrets.score(found, forest)
+    known = secrets.context(docs)
+    forest = secrets.train(secrets.planted(docs, known).filter("not held_out"))
+    return secrets.score(secrets.findings(docs, known), forest)
 
 
 def op8_quality(spark: SparkSession, folder: str) -> DataFrame:

@@ -22,7 +22,8 @@ or compared.
 
 Cases: null or empty text, or no words: no shingles, no link, kept. Fewer words
 than a shingle: the whole sequence is the only shingle. Repeated rows with one
-doc_id are one document. Null doc_id: the row comes back with a null
+doc_id are one document; rows of one doc_id with different texts as well, which links
+what any of them is like; a row without words stands for itself. Null doc_id: the row comes back with a null
 component_id and is kept. Ties go to the smaller doc_id.
 """
 
@@ -32,7 +33,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmill.llm import blocks
@@ -82,7 +83,7 @@ def bands(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, size: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, digest, bands); digest and bands are null for an empty set."""
+    """(doc_id, n_shingles, digest, bands, text_hash); digest and bands are null for an empty set."""
 
     def work(block: pa.RecordBatch) -> list:
         sets = shingle_sets(block.column("text"), size)
@@ -98,9 +99,15 @@ def signatures(docs: DataFrame, size: int, doc_id: str = "doc_id", text: str = "
             pa.array([len(s) for s in sets], pa.int64()),
             pa.array(digests, pa.binary()),
             pa.array(rows, pa.list_(pa.int64())),
+            block.column("text_hash"),
         ]
 
-    return blocks.map_texts(docs, work, "doc_id bigint, n_shingles bigint, digest binary, bands array<bigint>", doc_id=doc_id, text=text)
+    schema = "doc_id bigint, n_shingles bigint, digest binary, bands array<bigint>, text_hash bigint"
+    return blocks.map_texts(docs, work, schema, _text_hash(text), doc_id=doc_id, text=text)
+
+
+def _text_hash(text: str) -> Column:
+    return F.xxhash64(F.col(text).cast("string")).alias("text_hash")
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -223,8 +230,48 @@ def near_duplicates(
     docs: DataFrame, size: int = 5, percent: int = 80, shared: int = 2, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept (the least doc_id of its component)."""
-    spark = docs.sparkSession
     signed = stage(signatures(docs, size, doc_id, text), "signatures")
+    source = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"), _text_hash(text))
+    sets = signed.filter("digest is not null and doc_id is not null")
+    several = sets.groupBy("doc_id").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).filter("a <> b").select("doc_id")
+    several = stage(several, "several")
+    if several.isEmpty():
+        result = _grouped(signed, source, size, percent, shared)
+    else:
+        result = _named_apart(signed, source, several, size, percent, shared)
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
+    return result.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def _named_apart(signed: DataFrame, source: DataFrame, several: DataFrame, size: int, percent: int, shared: int) -> DataFrame:
+    """As ``_grouped``, where some doc_ids (``several``) have more than one set: each set goes by a number of its own.
+
+    The numbers lie above all doc_ids. Sets of one doc_id are linked, and each component is named
+    by its least doc_id at the end.
+    """
+    above = signed.agg(F.max("doc_id")).first()[0] + 1
+    sets = signed.filter("digest is not null").join(several, "doc_id", "left_semi")
+    apart = sets.groupBy("doc_id", "digest").agg(F.min("text_hash").alias("text_hash"))
+    apart = stage(apart.withColumn("number", F.monotonically_increasing_id() + F.lit(above)), "apart")
+    numbers = apart.select(F.col("doc_id").alias("name"), F.col("digest").alias("of"), "number")
+    own = (F.col("doc_id") == F.col("name")) & (F.col("digest") == F.col("of"))
+    numbered = signed.join(numbers, own, "left").withColumn("doc_id", F.coalesce("number", "doc_id")).select(signed.columns)
+    # of rows with one set the text of one, the others by a doc_id that takes no part
+    texts = apart.select(F.col("doc_id").alias("name"), F.col("text_hash").alias("of"), "number")
+    own = (F.col("doc_id") == F.col("name")) & (F.col("text_hash") == F.col("of"))
+    source = source.join(texts, own, "left").withColumn("doc_id", F.coalesce("number", "doc_id")).select(source.columns)
+    least = apart.groupBy("doc_id").agg(F.min("number").alias("y"))
+    links = apart.join(least, "doc_id").filter("number <> y").select(F.col("number").alias("x"), "y")
+
+    joined = stage(_grouped(stage(numbered, "numbered"), source, size, percent, shared, links), "joined")
+    names = apart.select(F.col("number").alias("doc_id"), F.col("doc_id").alias("name"))
+    named = joined.join(names, "doc_id", "left").withColumn("name", F.coalesce("name", "doc_id"))
+    least = named.filter("component_id is not null").groupBy("component_id").agg(F.min("name").alias("least"))
+    return named.join(least, "component_id", "left").select(F.col("name").alias("doc_id"), "n_shingles", F.col("least").alias("component_id"))
+
+
+def _grouped(signed: DataFrame, source: DataFrame, size: int, percent: int, shared: int, also: DataFrame | None = None) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row, null without a set; each doc_id has one set. ``also``: links known before."""
     sets = signed.filter("digest is not null and doc_id is not null")
     classes = sets.groupBy("digest").agg(F.min("doc_id").alias("class_id"))
     firsts = classes.select(F.col("class_id").alias("doc_id"))
@@ -245,9 +292,12 @@ def near_duplicates(
         .select(F.greatest("doc_id", "y").alias("x"), F.least("doc_id", "y").alias("y")).distinct()
     )
     wanted = mates.select("doc_id").distinct()
-    source = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    texts = stage(source.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "candidates")
+    texts = stage(source.select("doc_id", "text").join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "candidates")
     links = stage(_confirmed(stars, texts, size, percent), "links")
+    if also is not None:  # between classes, by the number of each
+        of = signed.join(classes, "digest").select("doc_id", "class_id").distinct()
+        ends = also.join(of.withColumnsRenamed({"doc_id": "x", "class_id": "cx"}), "x").join(of.withColumnsRenamed({"doc_id": "y", "class_id": "cy"}), "y")
+        links = stage(links.unionByName(ends.filter("cx <> cy").select(F.greatest("cx", "cy").alias("x"), F.least("cx", "cy").alias("y"))), "links")
 
     # buckets that are not yet of one component
     joined = components(links)
@@ -268,7 +318,4 @@ def near_duplicates(
 
     final = components(links.unionByName(more)).withColumnRenamed("doc_id", "class_id").withColumnRenamed("component_id", "root")
     named = classes.join(final, "class_id", "left").select("digest", F.coalesce("root", "class_id").alias("component_id"))
-    result = signed.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
-    component = F.coalesce("component_id", "doc_id")
-    component = F.when(F.col("doc_id").isNotNull(), component)
-    return result.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    return signed.select("doc_id", "n_shingles", "digest").join(named, "digest", "left").select("doc_id", "n_shingles", "component_id")

@@ -63,6 +63,19 @@ def test_links_that_miss_the_centre_of_their_bucket_are_found(spark):
     assert found(minhash.near_duplicates(docs(spark, rows), size=4)) == expected
 
 
+def test_a_doc_id_with_several_texts_links_what_they_are_like(spark):
+    words = lambda k: [f"t{k}x{i}" for i in range(40)]
+    a, b, c = words(1), words(2), words(3)
+    rows = [(5, a), (5, b), (5, b), (8, [*b, "more"]), (3, [*a, "else"]), (9, c), (9, c), (2, c[:-1]), (7, a), (7, c[1:]), (11, words(4))]
+    rows = [(k, " ".join(w)) for k, w in rows] + [(5, None), (12, None), (12, "x")]
+    made = minhash.near_duplicates(docs(spark, rows).repartition(3), size=4).collect()
+    assert len(made) == len(rows)
+    # 3 - 5 by a, 8 - 5 by b, 7 - 5 by a, 2 - 9 by c, 7 - 9 by c: one component
+    assert {(r.doc_id, r.component_id) for r in made if r.n_shingles} == {*((k, 2) for k in (2, 3, 5, 7, 8, 9)), (11, 11), (12, 12)}
+    assert {(r.doc_id, r.component_id) for r in made if not r.n_shingles} == {(5, 5), (12, 12)}
+    assert all(r.kept == (r.doc_id == r.component_id) for r in made)
+
+
 def test_edge_cases(spark):
     rows = minhash.near_duplicates(edges(spark), size=4).collect()
     assert len(rows) == 10

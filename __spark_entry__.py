@@ -20,6 +20,7 @@ from starmill.functions.text import strip, title_case
 from starmill.operators import catalog, cleaning, dimensions, loads, quality, tables
 from starmill.operators.dedupe import keep_first
 from starmill.operators.enrich import enrich, one_per_key
+from starmill.operators.numbering import numbered_star
 from starmill.plans import affinity, olap
 from starmill.plans.star import Star
 from starmill.plans.warehouse import build_warehouse, stored_tables
@@ -211,6 +212,12 @@ def bucketed_demographics(spark: SparkSession, folder: str) -> DataFrame:
     return olap.q02_demographics_city(catalog.bucketed_star(sample.SampleStar(spark, folder), _database(spark), 8))
 
 
+def numbered_category_by_occupation(spark: SparkSession, folder: str) -> DataFrame:
+    """q03 on stored sales whose orders have dense numbers."""
+    star = numbered_star(sample.SampleStar(spark, folder), scratch_path(spark, "numbered"))
+    return olap.q03_category_by_occupation(star)
+
+
 def enrich_case_insensitive(spark: SparkSession, folder: str) -> DataFrame:
     """Product ids in other cases than the master's, which itself holds some twice."""
     sold = sample.transactions(spark, folder).withColumn(
@@ -429,6 +436,7 @@ def _registered() -> dict[str, Query]:
         "catalog_store_view": catalog_store_view,
         "catalog_defaults": catalog_defaults,
         "bucketed_demographics": bucketed_demographics,
+        "numbered_category_by_occupation": numbered_category_by_occupation,
         "table_preview": lambda s, d: tables.preview(sample.sales(s, d)),
         "table_count": lambda s, d: tables.count_rows(sample.sales(s, d)),
         "describe_table": describe_table,

@@ -487,6 +487,7 @@ SELECT occupation, product_category, {_money()} AS total_sales, {QTY} AS total_q
 FROM sale JOIN customer_dim USING (customer_id) JOIN item USING (product_id)
 GROUP BY ALL"""
     )
+    sql["numbered_category_by_occupation"] = sql["q03_category_by_occupation"]
     sql["q04_gender_age_quarterly"] = _star(
         f"""
 SELECT year, quarter, gender, age_group, {_money()} AS total_purchase_amount, {ORDERS} AS total_orders

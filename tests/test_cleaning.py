@@ -114,5 +114,5 @@ def test_sample_counts(spark, small):
     # cleaned and dropped rows add up to the input
     assert deduplicated.count() - kept - rejected == 1346
     assert result.kept.filter("date_id is null").count() == 718
-    assert result.kept.agg(F.sum("quantity")).first()[0] == 1080055
+    assert result.kept.agg(F.sum("quantity")).first()[0] == 1064915
     assert dimensions.dim_date(result.kept).count() == 2397

@@ -38,7 +38,7 @@ from starmill.llm import blocks
 
 SPACE = "▁"
 UNKNOWN_STEP = 10.0
-CACHED_WORDS = 64_000  # of each of two generations
+CACHED_WORDS = 110_000  # of each of two generations
 TOGETHER = 40  # characters of a word that is segmented beside others
 _WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 

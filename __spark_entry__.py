@@ -316,7 +316,7 @@ def stream_bounded_batches(spark: SparkSession, folder: str) -> DataFrame:
     raw.filter(~large).select(*names).repartition(24).write.mode("append").option("header", True).csv(path)
     sizes = spark.read.format("binaryFile").load(path).select("length").agg(F.sum("length").alias("all"), F.max("length").alias("most")).first()
     limit = sizes["all"] // 8
-    source = files.stream_transactions(spark, path, bytes_per_batch=str(limit))
+    source = files.stream_transactions(spark, path, bytes_per_batch=limit)
     place = source.select("*", F.col("file_place.file_path").alias("file"))
     counts = f"{path}-batches"
 

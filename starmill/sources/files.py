@@ -57,7 +57,7 @@ def _missing_to_null(df: DataFrame, schema: StructType) -> DataFrame:
 def _format(path: str) -> str:
     return "parquet" if path.rstrip("/").endswith(".parquet") else "csv"
 
-BATCH_BYTES = "64g"  # of files in a micro-batch
+BATCH_BYTES = 64 << 30  # of files in a micro-batch
 
 
 def _delivered(spark: SparkSession, path: str, schema: StructType, file_format: str | None) -> StructType:
@@ -109,7 +109,7 @@ def stream_transactions(
     path: str,
     files_per_batch: int | None = None,
     file_format: str | None = None,
-    bytes_per_batch: str = BATCH_BYTES,
+    bytes_per_batch: int = BATCH_BYTES,
 ) -> DataFrame:
     """The same files as a stream, in bounded micro-batches; the first file's columns hold for all.
 

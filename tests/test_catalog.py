@@ -104,7 +104,7 @@ def test_batches_are_bounded_by_bytes(spark):
     def note(batch, name):
         batches.append([r["count"] for r in batch.groupBy("file_place.file_path").count().collect()])
 
-    source = files.stream_transactions(spark, base, bytes_per_batch="5000")
+    source = files.stream_transactions(spark, base, bytes_per_batch=5000)
     each_batch(source, note, scratch_path(spark, "checkpoint"))
     assert sum(map(sum, batches)) == 4000 + 20 * 40
     assert all(len(b) == 1 or sum(b) <= 250 for b in batches) and len(batches) >= 5

@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from helpers import docs, edges, empty
 
 from starmill.llm import suffixes
@@ -54,6 +55,43 @@ def test_same_spans_as_all_windows(spark):
     want = brute(rows, 12)
     assert len(want) > 30
     assert found(suffixes.repeated_spans(docs(spark, rows).repartition(5), least=12, anchor=6)) == want
+    # runs that do not fit a task: some of them, and all
+    assert found(suffixes.repeated_spans(docs(spark, rows).repartition(5), least=12, anchor=6, run=30)) == want
+    assert found(suffixes.repeated_spans(docs(spark, rows).repartition(5), least=12, anchor=6, run=0)) == want
+
+
+def test_extension_is_that_of_all_pairs():
+    rng = random.Random(5)
+    texts, lead, split = [], [], []
+    for k in range(200):  # all around the same four words, few words beside them
+        left, right = rng.choices(["é", "bb"], k=rng.randint(0, 6)), rng.choices(["a", "ab"], k=rng.randint(0, 6))
+        words = left + ["x", "y", "x", "z" if k % 9 else "v"] + right
+        split.append((left[::-1], words[len(left) :]))
+        texts.append(rng.choice([" ", " \t"]).join(words))
+        lead.append(len(left))
+
+    def common(a, b):
+        return next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+
+    want = {}
+    for i, (left, right) in enumerate(split):
+        reach = [(common(left, other[0]), common(right, other[1])) for j, other in enumerate(split) if j != i]
+        if met := [d for d in range(7) if any(b >= d and f >= 10 - d for b, f in reach)]:
+            at = [m.span() for m in re.finditer(r"\S+", texts[i])]
+            want[i] = (at[lead[i] - max(met)][0], at[lead[i] + 10 - min(met) - 1][1])
+    rows, starts, ends = suffixes.extend(pa.array(texts), np.array(lead), 10, 4)
+    assert dict(zip(rows.tolist(), zip(starts.tolist(), ends.tolist()))) == want
+    assert 20 < len(want) < 200
+
+
+def test_two_texts_under_one_name(spark):
+    passage = [f"p{i}" for i in range(60)]
+    a, b = " ".join(["one"] + passage), " ".join(["some", "more"] + passage[:50])
+    assert found(suffixes.repeated_spans(docs(spark, [(1, a), (1, b)]))) == {
+        (1, 4, len("one " + " ".join(passage[:50])), False), (1, 10, len(b), False)
+    }
+    copied = found(suffixes.repeated_spans(docs(spark, [(1, a), (1, b), (2, a)])))
+    assert copied == {(1, 0, len(a), True), (2, 0, len(a), True), (1, 10, len(b), False)}
 
 
 def test_least_of_every_window():

@@ -315,15 +315,17 @@ def repeated_spans(
     many = classes.filter("copies > 1").select("exact")
     whole = sizes.filter(F.col("n_words") >= least).join(many, "exact", "left_semi").select("doc_id", "digest", "n_chars").distinct()
 
-    # of copies that the sort has dealt to two tasks the first is kept here
-    firsts = classes.select(F.col("first_id").alias("doc_id"), "digest")
-    met = stage(neighbours(retained(read, least, anchor)).join(firsts, ["doc_id", "digest"], "left_semi"), "met")
+    met = stage(neighbours(retained(read, least, anchor)), "met")
     large = stage(met.groupBy("anchor").agg(F.count("*").alias("n")).filter(F.col("n") > run).select("anchor"), "large")
     few = large.isEmpty()
+    key = ["doc_id", "digest"]
+    # of copies that the sort has dealt to two tasks the first is kept here
+    firsts = classes.select(F.col("first_id").alias("doc_id"), "digest")
     marked = read.withColumn("digest", digest())
 
     def at(suffixes: DataFrame) -> DataFrame:
-        return marked.join(suffixes.groupBy("doc_id", "digest").agg(F.collect_set("place").alias("places")), ["doc_id", "digest"])
+        places = suffixes.groupBy(*key).agg(F.collect_set("place").alias("places")).join(firsts, key, "left_semi")
+        return marked.join(places.hint("merge"), key)  # the lists grow with the texts, so they are never broadcast
 
     found = runs(contexts(at(met if few else met.join(large, "anchor", "left_anti")), least, anchor), least, anchor)
     if not few:

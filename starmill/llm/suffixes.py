@@ -48,7 +48,7 @@ from starmill.scratch import stage
 
 LEAST = 50  # words of a passage
 ANCHOR = 25  # words by which suffixes are first compared
-RUN = 20_000  # suffixes with the same beginning that one task compares
+RUN = 2_000  # suffixes with the same beginning that one task compares: about 1 MB of text, so that no task stands out
 
 
 def minimisers(hashes: np.ndarray, bounds: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:

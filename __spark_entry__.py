@@ -307,15 +307,23 @@ def stream_batch_counts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+LARGE_ROWS = 1 << 24
+
+
 def stream_bounded_batches(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows taken in, and whether every micro-batch kept to its bytes, of a large file and many small ones."""
+    """Rows taken in, and whether every micro-batch kept to its bytes, of large files and many small ones.
+
+    Half of the rows come in one file, or in as many as hold ``LARGE_ROWS`` each, and 24 small
+    ones to each take the others; a large file has four times the bytes of a micro-batch.
+    """
     path, names = scratch_path(spark, "uneven"), schemas.TRANSACTION_FILE.names
-    raw = sample.raw_transactions(spark, folder)
+    raw = sample.raw_transactions(spark, folder).select(*names)
     large = (F.col("orderID").cast("bigint") % 2 == 0).eqNullSafe(True)
-    raw.filter(large).select(*names).coalesce(1).write.option("header", True).csv(path)
-    raw.filter(~large).select(*names).repartition(24).write.mode("append").option("header", True).csv(path)
-    sizes = spark.read.format("binaryFile").load(path).select("length").agg(F.sum("length").alias("all"), F.max("length").alias("most")).first()
-    limit = sizes["all"] // 8
+    parts = 1 + sample.table(spark, folder, "lineitem").count() // (2 * LARGE_ROWS)
+    # dealt by all columns, as dealing in turn sorts the rows first
+    raw.filter(large).repartition(parts, *names).write.option("header", True).csv(path)
+    raw.filter(~large).repartition(24 * parts, *names).write.mode("append").option("header", True).csv(path)
+    limit = spark.read.format("binaryFile").load(path).agg(F.sum("length").alias("all")).first()["all"] // (8 * parts)
     source = files.stream_transactions(spark, path, bytes_per_batch=limit)
     place = source.select("*", F.col("file_place.file_path").alias("file"))
     counts = f"{path}-batches"

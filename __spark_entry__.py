@@ -292,11 +292,16 @@ def stream_enrich(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+FILE_ROWS = 1 << 22  # rows of a file that one task writes
+
+
 def stream_batch_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """Totals over the micro-batches, of which there are several: the lines come as four files."""
+    """Totals over the micro-batches, of which there are several: the lines come as four times as many files as each may hold."""
     path = scratch_path(spark, "lines")
-    sample.table(spark, folder, "lineitem").repartition(4).write.parquet(f"{path}/lineitem.parquet")
-    lines = sample.line_stream(spark, path, files_per_batch=1, pattern="lineitem.parquet")
+    rows = sample.table(spark, folder, "lineitem")
+    files_per_batch = 1 + rows.count() // (4 * FILE_ROWS)
+    rows.repartition(4 * files_per_batch).write.parquet(f"{path}/lineitem.parquet")
+    lines = sample.line_stream(spark, path, files_per_batch=files_per_batch, pattern="lineitem.parquet")
     counts = enrichment.stream_batch_counts(
         sample.transactions(spark, folder, lines), sample.master_partial(spark, folder), **_target(spark, "stream-counts")
     )

@@ -34,3 +34,14 @@ def test_large_files_grow_in_number(spark, tiny, given, monkeypatch):
     assert (row.processed, row.within_bound, row.several_batches) == (lines, 1, 1)
     rows = rows_per_file(spark, given["uneven"], format="csv", header=True)
     assert lines > 5000 and max(rows) < 1.3 * 1000 < lines / 2
+
+
+def test_files_of_lines_grow_in_number(spark, tiny, given, monkeypatch):
+    monkeypatch.setattr(entry, "FILE_ROWS", 500, raising=False)
+    row = entry.stream_batch_counts(spark, tiny).first()
+    lines = sample.table(spark, tiny, "lineitem").count()
+    assert (row.several_batches, row.processed) == (1, lines)
+    rows = rows_per_file(spark, f"{given['lines']}/lineitem.parquet")
+    assert lines > 5000 and max(rows) <= 1.1 * 500
+    # as many micro-batches as ever
+    assert spark.read.parquet(f"{given['stream-counts']}/table/counts").count() == 4

@@ -25,6 +25,14 @@ def broadcast_if_fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFram
     return F.broadcast(df) if fits(df, max_rows) else df
 
 
+def as_lookup(keyed: DataFrame) -> DataFrame:
+    """A table to be met by many more rows: broadcast where it fits, else hashed by partition.
+
+    So the many rows are not sorted. The table should hold its key once and be stored, as it is counted.
+    """
+    return F.broadcast(keyed) if fits(keyed) else keyed.hint("shuffle_hash")
+
+
 def row_salt(rows: DataFrame, salts: int = SALTS) -> Column:
     """A salt per row; equal copies differ if ``rows`` carries ``file_place``.
 

@@ -112,8 +112,20 @@ def suppliers(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+ORDERS_PER_TASK = 1 << 18
+
+
 def _with_orders(lines: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
+    """Lines with their order's customer and date.
+
+    AQE does not plan a stream's joins, and all lines may come in one micro-batch, so there
+    the orders say how many tasks share the work; counting them opens footers only.
+    """
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    if lines.isStreaming:
+        tasks = orders.count() // ORDERS_PER_TASK
+        if tasks > int(spark.conf.get("spark.sql.shuffle.partitions")):
+            orders = orders.repartition(tasks, "o_orderkey")
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
@@ -185,7 +197,9 @@ def line_stream(
         .option("maxFilesPerTrigger", files_per_batch)
         .parquet(f"{folder}/{pattern}")
     )
-    return rows.withColumn("file_place", F.struct("_metadata.file_path", "_metadata.row_index"))
+    # the path's hash, as the place goes through shuffles with its row
+    place = F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    return rows.withColumn("file_place", place)
 
 
 # Dirty mapping, under the delivered column names

@@ -17,7 +17,7 @@ from starmill import schemas
 from starmill.operators import tables
 from starmill.operators.cleaning import coerced_transactions, fill_and_require_keys, good_quantity
 from starmill.operators.enrich import enrich, unmatched, with_amount
-from starmill.operators.joins import broadcast_if_fits, row_salt
+from starmill.operators.joins import as_lookup, broadcast_if_fits, row_salt
 from starmill.scratch import children, exists, remove, stage
 from starmill.streaming.sinks import each_batch, run_to_end
 
@@ -25,6 +25,20 @@ BATCH_COUNTS = "processed bigint, joined bigint, batch string"
 COMPACT = 32  # micro-batches between two whole store views
 
 
+def facts(stream: DataFrame) -> DataFrame:
+    """What a fact is made of, without ``file_place``.
+
+    A micro-batch is not pruned by what is done with it, so columns that it does not
+    need would go through every shuffle and sort before it.
+    """
+    return stream.select(*schemas.FACT_SALES.names)
+
+
+def product_lookup(master: DataFrame) -> DataFrame:
+    """The master, written once, to be met by micro-batches whose sales need not be sorted for it."""
+    return as_lookup(stage(master, "product-master"))
+
+
 def stream_enrich(
     stream: DataFrame, master: DataFrame, target: str, checkpoint: str, time_limit: float | None = None
 ) -> DataFrame:
@@ -34,10 +48,10 @@ def stream_enrich(
     may both append to one table: neither keeps a log of files.
     """
     spark = stream.sparkSession
-    lookup = stage(master, "product-master")
+    lookup = product_lookup(master)
     tables.ensure_enriched(spark, target)
     each_batch(
-        stream,
+        facts(stream),
         lambda batch, name: tables.append_enriched(enrich(batch, lookup), target, load=name),
         checkpoint,
         time_limit,
@@ -50,14 +64,14 @@ def stream_unmatched(
 ) -> DataFrame:
     """Append the transactions the master does not know to ``target``."""
     spark = stream.sparkSession
-    lookup = stage(master.select("product_id"), "product-master")
+    lookup = product_lookup(master.select("product_id"))
     tables.ensure(spark, target, schemas.FACT_SALES)
 
     def write(batch: DataFrame, name: str) -> None:
         rows = tables.conform(unmatched(batch, lookup), schemas.FACT_SALES)
         rows.write.mode("overwrite").parquet(f"{target}/load={name}")
 
-    each_batch(stream, write, checkpoint, time_limit)
+    each_batch(facts(stream), write, checkpoint, time_limit)
     return tables.read(spark, target, schemas.FACT_SALES).select(*schemas.FACT_SALES.names)
 
 
@@ -69,8 +83,8 @@ def stream_batch_counts(
     A batch replaces its own folder, so one that is repeated after a failure
     leaves a single copy. The counts are taken while it is written.
     """
-    lookup = stage(
-        master.select("product_id", "unit_price", "store_id", "supplier_id"), "product-master"
+    lookup = product_lookup(
+        master.select("product_id", "unit_price", "store_id", "supplier_id")
     ).withColumn("_known", F.lit(True))
     spark = stream.sparkSession
     tables.ensure(spark, f"{target}/counts", schemas.BATCH_TOTALS)
@@ -92,7 +106,7 @@ def stream_batch_counts(
             f"{target}/counts/batch={name}"
         )
 
-    each_batch(stream, write, checkpoint, time_limit)
+    each_batch(facts(stream), write, checkpoint, time_limit)
     return spark.read.schema(BATCH_COUNTS).parquet(f"{target}/counts")
 
 

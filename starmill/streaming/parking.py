@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from starmill import schemas
 from starmill.operators import tables
 from starmill.operators.enrich import enrich, unmatched
-from starmill.scratch import children, read_text, stage, write_text
+from starmill.scratch import children, read_text, write_text
+from starmill.streaming.enrichment import facts, product_lookup
 from starmill.streaming.sinks import each_batch
 
 
@@ -30,7 +31,7 @@ def stream_enrich_parked(
 ) -> DataFrame:
     """Append enriched transactions to ``target`` and park the others, until the input is used up."""
     spark = stream.sparkSession
-    lookup = stage(master, "product-master")
+    lookup = product_lookup(master)
     tables.ensure_enriched(spark, target)
 
     def write(batch: DataFrame, name: str) -> None:
@@ -39,7 +40,7 @@ def stream_enrich_parked(
         rows.write.mode("overwrite").parquet(f"{parked}/load={name}")
         tables.append_enriched(enrich(batch, lookup), target, load=name)
 
-    each_batch(stream, write, checkpoint, time_limit)
+    each_batch(facts(stream), write, checkpoint, time_limit)
     return tables.read_enriched(spark, target).select(*schemas.FACT_ENRICHED.names)
 
 
@@ -74,7 +75,7 @@ def release(spark: SparkSession, master: DataFrame, target: str, parked: str) ->
         number = f"{int(intents[-1]) + 1 if intents else 1:08d}"
         write_text(spark, f"{parked}/releases/{number}.intent", json.dumps(_loads(spark, parked)))
     rows = _rows(spark, parked, json.loads(read_text(spark, f"{parked}/releases/{number}.intent")))
-    lookup = stage(master, "product-master")
+    lookup = product_lookup(master)
     tables.append_enriched(enrich(rows, lookup), target, load=f"release-{number}")
     tables.conform(unmatched(rows, lookup), schemas.FACT_SALES).write.mode("overwrite").parquet(f"{parked}/load=rest-{number}")
     write_text(spark, f"{parked}/releases/{number}.done", "")

@@ -6,8 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from starmill.operators import joins
 from starmill.scratch import scratch_path
 from starmill.sources import sample
+from starmill.streaming import enrichment
 
 
 @pytest.fixture
@@ -45,3 +47,26 @@ def test_files_of_lines_grow_in_number(spark, tiny, given, monkeypatch):
     assert lines > 5000 and max(rows) <= 1.1 * 500
     # as many micro-batches as ever
     assert spark.read.parquet(f"{given['stream-counts']}/table/counts").count() == 4
+
+
+def batch_columns(monkeypatch, run):
+    seen = []
+    monkeypatch.setattr(enrichment, "each_batch", lambda stream, *_: seen.append(stream.columns))
+    run()
+    return seen[0]
+
+
+def test_micro_batches_carry_facts_alone(spark, tiny, monkeypatch):
+    base = scratch_path(spark, "facts-alone")
+    for name in ("stream_enrich", "stream_unmatched", "stream_batch_counts"):
+        lines = sample.transactions(spark, tiny, sample.line_stream(spark, tiny))
+        run = lambda: getattr(enrichment, name)(lines, sample.master(spark, tiny), f"{base}/{name}", f"{base}/{name}-checkpoint")  # noqa: B023, E731
+        assert "file_place" not in batch_columns(monkeypatch, run)
+
+
+def test_streamed_lines_share_the_join_by_the_orders(spark, tiny, monkeypatch):
+    monkeypatch.setattr(sample, "ORDERS_PER_TASK", 100, raising=False)
+    streamed = sample.transactions(spark, tiny, sample.line_stream(spark, tiny))
+    tasks = sample.table(spark, tiny, "orders").count() // 100
+    assert tasks > 4 and f", {tasks}" in streamed._jdf.queryExecution().analyzed().toString()
+    assert joins.as_lookup(sample.master(spark, tiny)).count() == sample.master(spark, tiny).count()

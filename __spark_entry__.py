@@ -6,7 +6,6 @@ import os
 import sys
 from collections.abc import Callable
 from functools import reduce
-from operator import and_
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -355,11 +354,20 @@ def stream_enrich_clean(spark: SparkSession, folder: str) -> DataFrame:
     raw = sample.raw_transactions(spark, folder, sample.line_stream(spark, folder))
     found = enrichment.stream_enrich_clean(raw, products, **_target(spark, "stream-clean"))
     usable = cleaning.fill_and_require_keys(cleaning.coerced_transactions(sample.raw_transactions(spark, folder)))
-    copies = enrich(usable.filter(cleaning.good_quantity()), products).distinct()
-    same = reduce(and_, (F.col(f"f.{c}").eqNullSafe(F.col(f"c.{c}")) for c in schemas.FACT_ENRICHED.names))
-    return found.alias("f").join(
-        copies.withColumn("is_copy", F.lit(1)).alias("c"), (F.col("f.order_id") == F.col("c.order_id")) & same, "left"
-    ).select("f.order_id", F.coalesce("is_copy", F.lit(0)).alias("is_copy"))
+    copies = enrich(usable.filter(cleaning.good_quantity()), products)
+    return _found_among(found, copies).select("order_id", "is_copy")
+
+
+def _found_among(found: DataFrame, copies: DataFrame) -> DataFrame:
+    """The rows of ``found``, as often as they stand there, and whether ``copies`` hold them; NULLs are equal.
+
+    Both are dealt by their columns once, where a join would need distinct copies first.
+    """
+    names = found.columns
+    seen, held = F.lit(1).alias("_seen"), F.lit(1).alias("is_copy")
+    both = found.select(*names, seen, F.lit(0).alias("is_copy")).unionByName(copies.select(*names, F.lit(0).alias("_seen"), held))
+    counted = both.groupBy(*names).agg(F.sum("_seen").cast("int").alias("_seen"), F.max("is_copy").alias("is_copy"))
+    return counted.filter("_seen > 0").withColumn("_seen", F.explode(F.array_repeat(F.lit(0), F.col("_seen")))).drop("_seen")
 
 
 def stream_unmatched(spark: SparkSession, folder: str) -> DataFrame:

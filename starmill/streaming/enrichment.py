@@ -118,15 +118,15 @@ def first_arrivals(stream: DataFrame, horizon: str | None = None) -> DataFrame:
     long after their first arrival, and a copy that comes later is let in.
 
     An order id that holds a third of the rows would end up in one task; a first
-    pass per salt leaves at most one row per salt for the second.
+    pass per salt leaves at most one row per salt for the second. ``file_place`` goes
+    once the salt is drawn, before the rows are shuffled.
     """
+    salted = stream.withColumn("_salt", row_salt(stream)).drop("file_place")
     if horizon is None:
-        per_salt = stream.withColumn("_salt", row_salt(stream)).dropDuplicates(["order_id", "_salt"])
+        per_salt = salted.dropDuplicates(["order_id", "_salt"])
         return per_salt.dropDuplicates(["order_id"]).drop("_salt")
-    arriving = stream.withColumn("_arrival", F.current_timestamp()).withWatermark("_arrival", horizon)
-    per_salt = arriving.withColumn("_salt", row_salt(stream)).dropDuplicatesWithinWatermark(
-        ["order_id", "_salt"]
-    )
+    arriving = salted.withColumn("_arrival", F.current_timestamp()).withWatermark("_arrival", horizon)
+    per_salt = arriving.dropDuplicatesWithinWatermark(["order_id", "_salt"])
     return per_salt.dropDuplicatesWithinWatermark(["order_id"]).drop("_salt", "_arrival")
 
 

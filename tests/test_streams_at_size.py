@@ -70,3 +70,18 @@ def test_streamed_lines_share_the_join_by_the_orders(spark, tiny, monkeypatch):
     tasks = sample.table(spark, tiny, "orders").count() // 100
     assert tasks > 4 and f", {tasks}" in streamed._jdf.queryExecution().analyzed().toString()
     assert joins.as_lookup(sample.master(spark, tiny)).count() == sample.master(spark, tiny).count()
+
+
+def test_copies_lose_their_place_before_they_are_shuffled(spark, tiny):
+    raw = sample.raw_transactions(spark, tiny, sample.line_stream(spark, tiny))
+    for horizon in (None, "1 day"):
+        kept = enrichment.first_arrivals(raw.withColumnRenamed("orderID", "order_id"), horizon)
+        assert "file_place" not in kept.columns and "Customer_ID" in kept.columns
+
+
+def test_found_rows_are_told_from_copies(spark):
+    kind = "order_id bigint, quantity int"
+    found = spark.createDataFrame([(1, 2), (1, 2), (2, None), (3, 4), (5, None)], kind)
+    copies = spark.createDataFrame([(1, 2), (1, 2), (1, 2), (2, None), (3, 5), (4, 1)], kind)
+    rows = entry._found_among(found, copies).select("order_id", "is_copy").collect()
+    assert sorted(tuple(r) for r in rows) == [(1, 1), (1, 1), (2, 1), (3, 0), (5, 0)]

@@ -158,10 +158,10 @@ def load_dimensions_twice(spark: SparkSession, folder: str) -> DataFrame:
     counts = []
     for name, df in stored.items():
         rejects = loads.read_rejects(spark, f"{base}/rejects/{name}", tables.DIMENSIONS[name])
-        counts.append(
-            df.agg(F.lit(name).alias("table_name"), F.count("*").alias("row_count"), F.count_if(F.col(changed[name]).endswith(" late")).alias("late_count"))
-            .join(rejects.agg(F.coalesce(F.sum("copies"), F.lit(0)).cast("bigint").alias("rejected_count")))
-        )
+        late = F.coalesce(F.col(changed[name]).endswith(" late"), F.lit(False)).cast("bigint")
+        kept = df.select(F.lit(1).cast("bigint").alias("row_count"), late.alias("late_count"), F.lit(0).cast("bigint").alias("rejected_count"))
+        both = kept.unionAll(rejects.select(F.lit(0), F.lit(0), "copies"))
+        counts.append(both.agg(F.lit(name).alias("table_name"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in kept.columns]))
     return reduce(DataFrame.unionByName, counts)
 
 

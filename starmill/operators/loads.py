@@ -18,7 +18,7 @@ be stored, another which stored keys may be among those, and only these meet.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -51,29 +51,51 @@ def load_keyed(df: DataFrame, path: str, schema: StructType, key: str, rejects:
     names = schema.names
     rows = tables.conform(df, schema)
     firsts = rows.groupBy(key).agg(F.min(F.struct(*names)).alias("_first"), F.count(F.lit(1)).alias("_total"))
-    if exists(spark, path):
-        known = known_keys(firsts.select(key), key, tables.read(spark, path, schema)).withColumn("_stored", F.lit(True))
-        firsts = firsts.join(known, key, "left")
-    else:
-        firsts = firsts.withColumn("_stored", F.lit(None).cast("boolean"))
-    firsts = stage(firsts.withColumn("_stored", F.coalesce("_stored", F.lit(False))), "firsts")
-    fresh = F.col(key).isNotNull() & ~F.col("_stored")
-    refused = firsts.filter(~fresh | (F.col("_total") > 1))
-    counts = firsts.agg(F.count_if(fresh).alias("fresh"), F.count_if(~fresh | (F.col("_total") > 1)).alias("refused")).first()
+    if not exists(spark, path):
+        _load_first(rows, firsts, path, schema, key, rejects)
+        return
+    _load_more(rows, firsts, path, schema, key, rejects)
+
+
+def _load_first(rows: DataFrame, firsts: DataFrame, path: str, schema: StructType, key: str, rejects: str) -> None:
+    """A load into no table yet: no key is stored, so the rows are written as they come, once.
+
+    What is refused, if anything, is counted on the way and then read again.
+    """
+    counts = Observation()
+    fresh, refused = F.col(key).isNotNull(), F.col(key).isNull() | (F.col("_total") > 1)
+    seen = firsts.observe(counts, F.count_if(refused).alias("refused"))
+    tables.append(seen.filter(fresh).select("_first.*"), path, schema)
+    if counts.get["refused"]:
+        _reject(rows, firsts.filter(refused).withColumn("_stored", F.lit(False)), schema, key, rejects)
+
 
-    if counts.fresh or not exists(spark, path):
+def _load_more(rows: DataFrame, firsts: DataFrame, path: str, schema: StructType, key: str, rejects: str) -> None:
+    spark = rows.sparkSession
+    known = known_keys(firsts.select(key), key, tables.read(spark, path, schema)).withColumn("_stored", F.lit(True))
+    firsts = stage(firsts.join(known, key, "left").withColumn("_stored", F.coalesce("_stored", F.lit(False))), "firsts")
+    fresh = F.col(key).isNotNull() & ~F.col("_stored")
+    refused = ~fresh | (F.col("_total") > 1)
+    counts = firsts.agg(F.count_if(fresh).alias("fresh"), F.count_if(refused).alias("refused")).first()
+    if counts.fresh:
         tables.append(firsts.filter(fresh).select("_first.*"), path, schema)
     if counts.refused:
-        taken = fresh & (F.struct(*names) == F.col("_first"))
-        reason = F.when(F.col(key).isNull(), "no key").when(F.col("_stored"), "stored").otherwise("repeated")
-        turned_away = (
-            rows.groupBy(*names).agg(F.count(F.lit(1)).alias("copies"))
-            .join(refused.select(F.col(key).alias("_key"), "_first", "_stored"), F.col(key).eqNullSafe(F.col("_key")))
-            .withColumn("copies", F.col("copies") - F.coalesce(taken, F.lit(False)).cast("bigint"))
-            .filter("copies > 0")
-            .select(*names, "copies", reason.alias("reason"))
-        )
-        tables.append(turned_away, rejects, rejects_schema(schema))
+        _reject(rows, firsts.filter(refused), schema, key, rejects)
+
+
+def _reject(rows: DataFrame, refused: DataFrame, schema: StructType, key: str, rejects: str) -> None:
+    """Store the copies of refused keys that were not taken, with the reason."""
+    names = schema.names
+    taken = F.col(key).isNotNull() & ~F.col("_stored") & (F.struct(*names) == F.col("_first"))
+    reason = F.when(F.col(key).isNull(), "no key").when(F.col("_stored"), "stored").otherwise("repeated")
+    turned_away = (
+        rows.groupBy(*names).agg(F.count(F.lit(1)).alias("copies"))
+        .join(refused.select(F.col(key).alias("_key"), "_first", "_stored"), F.col(key).eqNullSafe(F.col("_key")))
+        .withColumn("copies", F.col("copies") - F.coalesce(taken, F.lit(False)).cast("bigint"))
+        .filter("copies > 0")
+        .select(*names, "copies", reason.alias("reason"))
+    )
+    tables.append(turned_away, rejects, rejects_schema(schema))
 
 
 def load_dimensions(dims: dict[str, DataFrame], base: str) -> dict[str, DataFrame]:

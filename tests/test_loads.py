@@ -5,11 +5,12 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from starmill import schemas
 from starmill.functions import membership
 from starmill.operators import loads, tables, versions
 from starmill.plans import warehouse
-from starmill.scratch import children, exists, read_text, scratch_path, write_text
+from starmill.scratch import children, exists, read_text, scratch_path, stage, write_text
 from starmill.sources import sample
 from starmill.streaming import parking
 from test_enrichment import DAY, TX, lines, master, same_rows, stream  # noqa: F401  (fixtures)
@@ -162,3 +163,33 @@ def test_a_release_that_fails_is_taken_up_again(spark, master, monkeypatch, step
     assert parking.release(spark, master, target, parked) == 2
     assert sorted(r.order_id for r in tables.read_enriched(spark, target).collect()) == [1, 1, 4]
     assert sorted(r.order_id for r in parking.parked_rows(spark, parked).collect()) == [2, 3]
+
+
+def test_a_first_load_is_written_once(spark, monkeypatch):
+    """Into no table yet, the rows go to the table without a stop in the scratch folder; rejects are the same."""
+    staged = []
+    monkeypatch.setattr(loads, "stage", lambda df, label: staged.append(label) or stage(df, label))
+    base = scratch_path(spark, "first-load")
+    schema = "order_id bigint, customer_id bigint, product_id string, date_id date, quantity int"
+    rows = [(1, 1, "a", None, 1), (2, 1, "a", None, 1), (2, 1, "a", None, 1), (2, 0, "a", None, 1), (None, 1, "a", None, 1)]
+    args = (f"{base}/table", schemas.FACT_SALES, "order_id", f"{base}/rejects")
+    loads.load_keyed(spark.createDataFrame(rows, schema), *args)
+    assert staged == []
+    stored = tables.read(spark, f"{base}/table", schemas.FACT_SALES).collect()
+    assert sorted((r.order_id, r.customer_id) for r in stored) == [(1, 1), (2, 0)]
+    rejects = loads.read_rejects(spark, f"{base}/rejects", schemas.FACT_SALES).collect()
+    assert sorted((r.order_id or 0, r.customer_id, r.copies, r.reason) for r in rejects) == [(0, 1, 1, "no key"), (2, 1, 2, "repeated")]
+    # none of the keys is new: as any later load
+    loads.load_keyed(spark.createDataFrame(rows[:2], schema), *args)
+    assert tables.read(spark, f"{base}/table", schemas.FACT_SALES).count() == 2 and staged == ["firsts"]
+
+
+def test_copies_of_an_order_are_delivered_in_one_file(spark, tiny):
+    path = entry._delivered_transactions(spark, tiny)
+    rows = spark.read.option("header", True).csv(path).withColumn("file", F.input_file_name())
+    assert rows.count() == sample.table(spark, tiny, "lineitem").count()
+    assert rows.groupBy("orderID").agg(F.countDistinct("file").alias("n")).filter("n > 1").isEmpty()
+    # the lines are shuffled once, for the join with the orders and for the files
+    lines = sample.table(spark, tiny, "lineitem").repartition("l_orderkey")
+    rows = sample.raw_transactions(spark, tiny, lines).sortWithinPartitions("file_order")
+    assert rows._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") <= 2

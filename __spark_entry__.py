@@ -95,12 +95,19 @@ def _written_csv(spark: SparkSession, raw: DataFrame, columns: list[str], name:
     return path
 
 
+LINES_PER_TASK = 1 << 20
+
+
 def _delivered_transactions(spark: SparkSession, folder: str) -> str:
     """The transactions as CSV files, each in delivery order, with all copies of an order in one of them.
 
-    The lines are dealt by order once, which the join with the orders needs as well.
+    The lines are dealt by order once, which the join with the orders needs as well, to as many
+    tasks as keep their sorts small.
     """
-    lines = sample.table(spark, folder, "lineitem").repartition("l_orderkey")
+    lines = sample.table(spark, folder, "lineitem")
+    tasks = lines.count() // LINES_PER_TASK
+    many = tasks > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lines = lines.repartition(tasks, "l_orderkey") if many else lines.repartition("l_orderkey")
     return _written_csv(spark, sample.raw_transactions(spark, folder, lines), schemas.TRANSACTION_FILE.names, "transactions")
 
 

@@ -193,3 +193,10 @@ def test_copies_of_an_order_are_delivered_in_one_file(spark, tiny):
     lines = sample.table(spark, tiny, "lineitem").repartition("l_orderkey")
     rows = sample.raw_transactions(spark, tiny, lines).sortWithinPartitions("file_order")
     assert rows._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") <= 2
+
+
+def test_delivered_transactions_take_more_tasks_as_the_lines_grow(spark, tiny, monkeypatch):
+    monkeypatch.setattr(entry, "LINES_PER_TASK", 500, raising=False)
+    path = entry._delivered_transactions(spark, tiny)
+    rows = spark.read.option("header", True).csv(path).groupBy(F.input_file_name()).count().collect()
+    assert len(rows) > 8 and max(r["count"] for r in rows) < 2 * 500

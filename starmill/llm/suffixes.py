@@ -20,8 +20,8 @@ wherever it stands, a passage retains the same suffix.
    The furthest of both ends, one span for each suffix, are joined per document.
 
 Runs of more than ``RUN`` suffixes would not fit a task. Their passages are
-compared one by one, by 128 bits of two hashes of their words, and grouped over
-the cluster; the spans are the same.
+sorted over the cluster by 128 bits of two hashes of their words and compared with
+their neighbours; the spans are the same.
 
 Documents with an exact copy and at least ``least`` words are spans themselves.
 The sort of step 1 splits suffixes that a third of all texts share over many tasks;
@@ -285,12 +285,45 @@ def passages(texts: DataFrame, least: int, anchor: int) -> DataFrame:
 
 
 def twice(found: DataFrame) -> DataFrame:
-    """(doc_id, digest, start, end) of the passages that stand twice or more."""
-    found = stage(found, "passages")
-    # stored, so that the join has shuffles of its own and AQE can split a passage that many texts share
-    key = ["passage", "check"]
-    many = stage(found.groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1").select(*key), "twice")
-    return found.join(many, key, "left_semi").select("doc_id", "digest", "start", "end")
+    """(doc_id, digest, start, end) of the passages that stand twice or more.
+
+    As the suffixes, they are sorted over the whole cluster and compared with their neighbours, so a passage that many
+    texts share is split over many tasks. What stands at a border of a task has its other neighbour
+    behind it: these rows, two of a task at most, are compared with one another.
+    """
+    names = found.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(columns: list, met: np.ndarray, edge: np.ndarray) -> pa.RecordBatch:
+            keep = met | edge
+            return pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in (*columns, met, edge)], [*names, "met", "edge"])
+
+        held = None  # the last row so far, whether it is met and whether it is the first of all
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            columns = [c.to_numpy() for c in batch.columns]
+            met, edge = np.zeros(batch.num_rows, bool), np.zeros(batch.num_rows, bool)
+            if held is None:
+                edge[0] = True
+            else:
+                *columns, met, edge = (np.concatenate(pair) for pair in zip(held, (*columns, met, edge)))
+            same = (columns[0][1:] == columns[0][:-1]) & (columns[1][1:] == columns[1][:-1])
+            met[1:] |= same
+            met[:-1] |= same
+            yield rows([c[:-1] for c in columns], met[:-1], edge[:-1])
+            held = [c[-1:] for c in (*columns, met, edge)]
+        if held is not None:
+            yield rows(held[:-2], held[-2], np.ones(1, bool))
+
+    order = ["passage", "check", "doc_id", "digest", "start"]
+    dealt = stage(found, "passages").repartitionByRange(*order).sortWithinPartitions(*order)
+    schema = ", ".join(f"{name} bigint" for name in names)
+    compared = stage(dealt.mapInArrow(run, f"{schema}, met boolean, edge boolean"), "compared")
+    key = order[:2]
+    many = compared.filter("edge").groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1").select(*key)
+    settled = compared.filter("edge and not met").join(F.broadcast(many), key, "left_semi").select(*names)
+    return compared.filter("met").select(*names).unionByName(settled).select("doc_id", "digest", "start", "end")
 
 
 def _copies(docs: DataFrame) -> DataFrame:
@@ -323,13 +356,23 @@ def repeated_spans(
     firsts = classes.select(F.col("first_id").alias("doc_id"), "digest")
     marked = read.withColumn("digest", digest())
 
-    def at(suffixes: DataFrame) -> DataFrame:
-        places = suffixes.groupBy(*key).agg(F.collect_set("place").alias("places")).join(firsts, key, "left_semi")
-        return marked.join(places.hint("merge"), key)  # the lists grow with the texts, so they are never broadcast
+    places = F.collect_set("place").alias("places")
+    if few:
+        listed = met.groupBy(*key).agg(places).join(firsts, key, "left_semi")
+    else:  # a text's suffixes are told apart and listed at once, those of large runs in a list of their own
+        told = met.join(large.withColumn("crowded", F.lit(True)), "anchor", "left")
+        place = lambda crowded: F.collect_set(F.when(F.col("crowded").isNotNull() == crowded, F.col("place")))
+        told = told.groupBy(*key).agg(place(False).alias("places"), place(True).alias("crowded"))
+        listed = stage(told.join(firsts, key, "left_semi"), "listed")
+
+    def at(lists: DataFrame) -> DataFrame:
+        return marked.join(lists.hint("merge"), key)  # the lists grow with the texts, so they are never broadcast
 
-    found = runs(contexts(at(met if few else met.join(large, "anchor", "left_anti")), least, anchor), least, anchor)
+    some = listed if few else listed.filter(F.size("places") > 0).drop("crowded")
+    found = runs(contexts(at(some), least, anchor), least, anchor)
     if not few:
-        found = found.unionByName(twice(passages(at(met.join(large, "anchor", "left_semi")), least, anchor)))
+        crowded = listed.filter(F.size("crowded") > 0).select(*key, F.col("crowded").alias("places"))
+        found = found.unionByName(twice(passages(at(crowded), least, anchor)))
     alone = found.join(whole, ["doc_id", "digest"], "left_anti")
 
     by_start = Window.partitionBy("doc_id", "digest").orderBy("start")

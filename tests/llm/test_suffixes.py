@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 from helpers import docs, edges, empty
+from pyspark.sql import functions as F
 
 from starmill.llm import suffixes
 
@@ -122,3 +123,42 @@ def test_edge_cases(spark):
     short = found(suffixes.repeated_spans(edges(spark), least=8, anchor=4))
     assert short == {(6, 0, 50, True), (7, 0, 50, True)}
     assert found(suffixes.repeated_spans(empty(spark))) == set()
+
+
+def test_passages_that_stand_twice_are_found_without_a_join(spark):
+    """Sorted and compared with their neighbours, also across borders; a passage in most rows is split over tasks."""
+    rng = random.Random(3)
+    rows = [(rng.choice([7, 7, 7, rng.randrange(2000)]), rng.choice([1, 1, 1, 2]), k % 900, k % 3, k, k + 9) for k in range(3000)]
+    rows += [(-1, 5, 0, 0, 1, 2), (1 << 62, 5, 0, 0, 1, 2)]
+    count = Counter(r[:2] for r in rows)
+    table = spark.createDataFrame(rows, "passage bigint, check bigint, doc_id bigint, digest bigint, start bigint, end bigint")
+    names = ("shuffle.partitions", "adaptive.coalescePartitions.enabled", "autoBroadcastJoinThreshold")
+    old = {f"spark.sql.{name}": spark.conf.get(f"spark.sql.{name}") for name in names}
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        for tasks in ("1", "7", "300"):
+            spark.conf.set("spark.sql.shuffle.partitions", tasks)
+            made = suffixes.twice(table)
+            assert sorted(map(tuple, made.collect())) == sorted(r[2:] for r in rows if count[r[:2]] > 1)
+            assert "SortMergeJoin" not in made._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in old.items():
+            spark.conf.set(name, value)
+    assert suffixes.twice(table.limit(0)).collect() == []
+
+
+def test_passages_of_near_copies_grow_with_the_copies_alone(spark):
+    """Not with the pairs of a group: twice the near copies, twice the rows."""
+    passage = " ".join(f"p{i}" for i in range(60))
+
+    def rows(n):
+        found = suffixes.passages(places(docs(spark, [(k, f"only{k} {passage} end{k}") for k in range(n)])), 50, 25)
+        return suffixes.twice(found).count()
+
+    def places(table):
+        read = table.select("doc_id", "text", suffixes.digest())
+        met = suffixes.retained(read, 50, 25).groupBy("doc_id", "digest")
+        return read.join(met.agg(F.collect_set("place").alias("places")), ["doc_id", "digest"])
+
+    assert 0 < 2 * rows(200) == rows(400)

@@ -44,24 +44,19 @@ SCHEMA = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, sequenc
 _TASK_BITS = 36  # sequences of a task
 
 
-# What the vocabulary takes apart anyway: letters, single digits and signs. Words of other characters go to it whole.
+# What the vocabulary takes apart anyway: letters, single digits and signs, in lower case each a word of its own to it.
+# Words of other characters go to it whole.
 _PLAIN = re.compile(r"[!-&(-;=-~ªµºÀ-ÖØ-öø-ÿ]+")
 _PART = re.compile(r"[a-zªµºà-öø-ÿ]+|[0-9]|[!-/:-`{-~]+")
 
 
-def _parts(word: str) -> list[str] | None:
-    """The parts of a plain word in lower case, each a word of its own to the vocabulary."""
-    if word.isalpha() and max(word) <= "ÿ":
-        return [word.lower()]
-    return _PART.findall(word.lower()) if _PLAIN.fullmatch(word) else None
-
-
 class WordEncoder:
     """Token ids as little-endian unsigned 32-bit bytes, word by word.
 
     The vocabulary drops white space between words, so a text's ids are those
     of its words one after another; a word's ids are looked up once. Parts of plain
-    words need neither its normalizer nor its splitting.
+    words need neither its normalizer nor its splitting, and are encoded together: where a
+    part's last id alone has the vocabulary's end-of-word mark, it tells where the next begins.
     """
 
     def __init__(self, path: str):
@@ -73,14 +68,28 @@ class WordEncoder:
         self._tokenizer = Tokenizer.from_str(json.dumps(settings))
         settings |= {"normalizer": None, "pre_tokenizer": settings["pre_tokenizer"]["pretokenizers"][-1]}
         self._bare = Tokenizer.from_str(json.dumps(settings))
+        mark = settings["model"].get("end_of_word_suffix")
+        vocabulary = self._bare.get_vocab()
+        self._ends = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a word
+        if mark:
+            self._ends[[n for token, n in vocabulary.items() if token.endswith(mark)]] = True
         self._known: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}  # words not met since the last turn are let go at the next
 
     def _encode(self, tokenizer, some: list[str]) -> Iterator[tuple[str, bytes]]:
-        for k in range(0, len(some), 10_000):
-            part = some[k : k + 10_000]
-            for word, made in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                yield word, array("I", made.ids).tobytes()
+        for word, made in zip(some, tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+            yield word, array("I", made.ids).tobytes()
+
+    def _encode_parts(self, parts: list[str]) -> Iterator[tuple[str, bytes]]:
+        for k in range(0, len(parts), 10_000):
+            some = parts[k : k + 10_000]
+            made = np.array(self._bare.encode_batch_fast([some], is_pretokenized=True, add_special_tokens=False)[0].ids, "<u4")
+            ends = ((np.flatnonzero(self._ends[made]) + 1) * 4).tolist()
+            if len(ends) != len(some) or ends[-1] != made.nbytes:  # a vocabulary without such marks
+                yield from self._encode(self._bare, some)
+                continue
+            ids = made.tobytes()
+            yield from zip(some, map(ids.__getitem__, map(slice, [0, *ends], ends)))
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         split = [(t or "").replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
@@ -88,21 +97,27 @@ class WordEncoder:
             self._known, self._older = {}, self._known
         known, older = self._known, self._older
         parted: dict[str, list[str]] = {}
+        lowered: dict[str, str] = {}
+        todo: set[str] = set()
         whole = []
         for word in set().union(*split).difference(known):
             ids = older.get(word)
             if ids is not None:
                 known[word] = ids
-            elif (parts := _parts(word)) is not None:
-                parted[word] = parts
+            elif word.isalpha() and (word.isascii() or max(word) <= "ÿ"):
+                lowered[word] = low = word.lower()
+                todo.add(low)
+            elif _PLAIN.fullmatch(word):
+                parted[word] = parts = _PART.findall(word.lower())
+                todo.update(parts)
             else:
                 whole.append(word)
-        todo = {part for parts in parted.values() for part in parts}.difference(known)
-        known.update(self._encode(self._bare, list(todo)))
-        known.update(self._encode(self._tokenizer, whole))
+        known.update(self._encode_parts(list(todo.difference(known))))
+        for k in range(0, len(whole), 10_000):
+            known.update(self._encode(self._tokenizer, whole[k : k + 10_000]))
+        known.update(zip(lowered, map(known.__getitem__, lowered.values())))
         for word, parts in parted.items():
-            if word not in known:
-                known[word] = b"".join([known[part] for part in parts])
+            known[word] = b"".join([known[part] for part in parts])
         get = known.__getitem__
         return [b"".join(map(get, words)) for words in split]
 

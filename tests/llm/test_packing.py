@@ -78,3 +78,18 @@ def test_pool_keeps_its_bound_when_nothing_fits_exactly():
 
 def test_padding():
     assert [packing.padding(n) for n in (4096, 2048, 1, 4095, 3)] == [0, 0, 0, 1, 4093]
+
+
+def test_parts_are_encoded_together(monkeypatch):
+    """One call for the new parts of a block, not one encoding of each; without end-of-word marks, one by one again."""
+    texts = ["Plain words, Étés d'été x1y2 <|endoftext|> </w> a</w>b", "ŐÄ 漢字🙂 e\u0301 \x1c ª º ÷ × (a.b) plain", "", None]
+    tokenizer = Tokenizer.from_file(PATH)
+    want = [np.array(tokenizer.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    encode, alone = packing.WordEncoder(PATH), []
+    word_by_word = packing.WordEncoder._encode
+    monkeypatch.setattr(packing.WordEncoder, "_encode", lambda self, how, some: alone.extend(some) or word_by_word(self, how, some))
+    assert encode(texts) == want == encode(texts)
+    assert "ŐÄ" in alone and not {"plain", "words", "été", "étés", ","} & set(alone)
+    unmarked = packing.WordEncoder(PATH)
+    unmarked._ends[:] = False
+    assert unmarked(texts) == want

@@ -26,6 +26,8 @@ import zlib
 from array import array
 from collections import Counter, deque
 from collections.abc import Iterator
+from itertools import compress, repeat
+from operator import is_
 
 import numpy as np
 import pyarrow as pa
@@ -45,18 +47,40 @@ _TASK_BITS = 36  # sequences of a task
 
 
 # What the vocabulary takes apart anyway: letters, single digits and signs, in lower case each a word of its own to it.
-# Words of other characters go to it whole.
-_PLAIN = re.compile(r"[!-&(-;=-~ªµºÀ-ÖØ-öø-ÿ]+")
-_PART = re.compile(r"[a-zªµºà-öø-ÿ]+|[0-9]|[!-/:-`{-~]+")
+# Words with other characters go to it whole.
+_SIGNS = re.compile(r"[!-/:-`{-~][!-/:-`{-~]*")  # beginning with one class, it is searched for faster
+_DIGIT = re.compile(r"[0-9]")
+_ODD = re.compile(r"[^ !-&(-;=-~ªµºÀ-ÖØ-öø-ÿ]")
+
+
+def _parts(text: str) -> list[str]:
+    """The parts of plain words."""
+    return _DIGIT.sub(r" \g<0> ", _SIGNS.sub(r" \g<0> ", text.lower())).split()
+
+
+def _split(text: str) -> list[str]:
+    """The parts of a text's plain words, in lower case, and its other words whole; what stands between them is left out."""
+    text = text.replace("\n", " ").replace("\t", " ")
+    found, done = [], 0
+    while odd := _ODD.search(text, done):
+        start = max(done, text.rfind(" ", done, odd.start()) + 1)
+        found += _parts(text[done:start])
+        done = text.find(" ", odd.end())
+        if done < 0:
+            done = len(text)
+        found.append(text[start:done])
+    found += _parts(text[done:])
+    return found
 
 
 class WordEncoder:
     """Token ids as little-endian unsigned 32-bit bytes, word by word.
 
     The vocabulary drops white space between words, so a text's ids are those
-    of its words one after another; a word's ids are looked up once. Parts of plain
-    words need neither its normalizer nor its splitting, and are encoded together: where a
-    part's last id alone has the vocabulary's end-of-word mark, it tells where the next begins.
+    of its words one after another, and those of a plain word are its parts'; what a text is split into is looked up once.
+    Parts need neither its normalizer nor its splitting, and are encoded together, their letters
+    spelled as it spells their bytes: where a part's last id alone has the vocabulary's
+    end-of-word mark, it tells where the next begins.
     """
 
     def __init__(self, path: str):
@@ -67,7 +91,9 @@ class WordEncoder:
             settings = json.load(file)
         self._tokenizer = Tokenizer.from_str(json.dumps(settings))
         settings |= {"normalizer": None, "pre_tokenizer": settings["pre_tokenizer"]["pretokenizers"][-1]}
-        self._bare = Tokenizer.from_str(json.dumps(settings))
+        spell = Tokenizer.from_str(json.dumps(settings)).pre_tokenizer.pre_tokenize_str
+        self._spelled = {c: spell(chr(c))[0][0] for c in range(128, 256)}
+        self._bare = Tokenizer.from_str(json.dumps(settings | {"pre_tokenizer": None, "added_tokens": []}))
         mark = settings["model"].get("end_of_word_suffix")
         vocabulary = self._bare.get_vocab()
         self._ends = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a word
@@ -83,43 +109,35 @@ class WordEncoder:
     def _encode_parts(self, parts: list[str]) -> Iterator[tuple[str, bytes]]:
         for k in range(0, len(parts), 10_000):
             some = parts[k : k + 10_000]
-            made = np.array(self._bare.encode_batch_fast([some], is_pretokenized=True, add_special_tokens=False)[0].ids, "<u4")
+            spelled = [part if part.isascii() else part.translate(self._spelled) for part in some]
+            made = np.array(self._bare.encode_batch_fast([spelled], is_pretokenized=True, add_special_tokens=False)[0].ids, "<u4")
             ends = ((np.flatnonzero(self._ends[made]) + 1) * 4).tolist()
             if len(ends) != len(some) or ends[-1] != made.nbytes:  # a vocabulary without such marks
-                yield from self._encode(self._bare, some)
+                yield from zip(some, [ids for _, ids in self._encode(self._bare, spelled)])
                 continue
             ids = made.tobytes()
             yield from zip(some, map(ids.__getitem__, map(slice, [0, *ends], ends)))
 
-    def __call__(self, texts: list[str | None]) -> list[bytes]:
-        split = [(t or "").replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-        if len(self._known) > CACHED_WORDS:
-            self._known, self._older = {}, self._known
+    def _learn(self, words: set[str]) -> None:
         known, older = self._known, self._older
-        parted: dict[str, list[str]] = {}
-        lowered: dict[str, str] = {}
-        todo: set[str] = set()
-        whole = []
-        for word in set().union(*split).difference(known):
-            ids = older.get(word)
-            if ids is not None:
-                known[word] = ids
-            elif word.isalpha() and (word.isascii() or max(word) <= "ÿ"):
-                lowered[word] = low = word.lower()
-                todo.add(low)
-            elif _PLAIN.fullmatch(word):
-                parted[word] = parts = _PART.findall(word.lower())
-                todo.update(parts)
-            else:
-                whole.append(word)
-        known.update(self._encode_parts(list(todo.difference(known))))
+        known.update((word, older[word]) for word in words.intersection(older))
+        words = words.difference(known)
+        whole = [word for word in words if _ODD.search(word)]
+        known.update(self._encode_parts(list(words.difference(whole))))
         for k in range(0, len(whole), 10_000):
             known.update(self._encode(self._tokenizer, whole[k : k + 10_000]))
-        known.update(zip(lowered, map(known.__getitem__, lowered.values())))
-        for word, parts in parted.items():
-            known[word] = b"".join([known[part] for part in parts])
-        get = known.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+
+    def __call__(self, texts: list[str | None]) -> list[bytes]:
+        if len(self._known) > CACHED_WORDS:
+            self._known, self._older = {}, self._known
+        split = [_split(t or "") for t in texts]
+        found = [list(map(self._known.get, words)) for words in split]
+        new = [list(compress(range(len(own)), map(is_, own, repeat(None)))) for own in found]
+        self._learn({words[k] for words, places in zip(split, new) for k in places})
+        for words, own, places in zip(split, found, new):
+            for k in places:
+                own[k] = self._known[words[k]]
+        return list(map(b"".join, found))
 
 
 def fill(counts: Counter, capacity: int) -> dict[int, int]:

@@ -93,3 +93,15 @@ def test_parts_are_encoded_together(monkeypatch):
     unmarked = packing.WordEncoder(PATH)
     unmarked._ends[:] = False
     assert unmarked(texts) == want
+
+
+def test_no_letter_of_a_word_with_signs_is_lost():
+    """As the tokenizer itself, for every letter below U+0300 beside signs, digits, letters and others; each part is learned once."""
+    tokenizer = Tokenizer.from_file(PATH)
+    texts = [f"{a}{chr(c)}{b}" for c in range(1, 0x300) for a, b in (("", ""), ("", "."), ("(x", "1,"), ("E", " e,é 漢, z"), ("x y'", "s ,z"))]
+    encode = packing.WordEncoder(PATH)
+    want = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert [t for t, ids, made in zip(texts, want, encode(texts)) if ids != made] == []
+    encode = packing.WordEncoder(PATH)
+    encode(["plain, Plain! (PLAIN) plain1", "Groß. groß, GROSS"])
+    assert set(encode._known) == {"plain", ",", "!", "(", ")", "1", "groß", ".", "gross"}

@@ -91,3 +91,27 @@ def test_edge_cases(spark):
     assert [(r.rank, r.score) for r in made if r.doc_id == 2] == [(1, 0.0)]
     assert sum(r.doc_id == 6 for r in made) == 4
     assert pieces.decode(pieces.encode(empty(spark), PATH), PATH).collect() == []
+
+
+def test_parts_of_a_text_equal_the_text_as_a_whole(vocabulary):
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("  aeinst,.-=0éßçX漢\n_{") for _ in range(rng.randint(0, 60))) for _ in range(400)]
+    for text, made in zip(texts, vocabulary.nbest_all(texts, 2)):
+        score, ids, lost = vocabulary._forward(pieces.normal(text))
+        assert made[0] == (score, ids) and [s for s, _ in made[1:]] == [score - lost] * (lost < np.inf)
+        assert made == vocabulary.nbest_bytes(text, 2)
+        assert all(vocabulary.decode(np.frombuffer(own, np.int32)) == text for _, own in made)
+
+
+def test_a_word_beside_other_signs_is_learned_once():
+    vocabulary = pieces.Vocabulary(PATH)
+    vocabulary.nbest("plain, plain. plain! plain?", 2)
+    assert {part for part in vocabulary._known if "plain" in part} == {"▁plain"}
+
+
+@pytest.mark.parametrize("n", range(6))
+def test_the_first_of_equally_small_losses(n):
+    loss = np.array([3, 1, np.inf, 1, 0, 1, 3.0])
+    want = [4, 1, 3, 5, 0, 6][:n]
+    assert pieces.Vocabulary._least(loss, n).tolist() == sorted(want)
+    assert pieces.Vocabulary._least(loss[:0], n).tolist() == []

@@ -21,7 +21,7 @@ wherever it stands, a passage retains the same suffix.
 
 Runs of more than ``RUN`` suffixes would not fit a task. Their passages are
 sorted over the cluster by 128 bits of two hashes of their words and compared with
-their neighbours; the spans are the same.
+their neighbours; of equal passages of a block one is sorted. The spans are the same.
 
 Documents with an exact copy and at least ``least`` words are spans themselves.
 The sort of step 1 splits suffixes that a third of all texts share over many tasks;
@@ -260,8 +260,27 @@ def runs(suffixes: DataFrame, least: int, anchor: int) -> DataFrame:
     return suffixes.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, "doc_id bigint, digest bigint, start bigint, end bigint")
 
 
-def passages(texts: DataFrame, least: int, anchor: int) -> DataFrame:
-    """(passage, check, doc_id, digest, start, end) around the suffixes at ``places`` of every text, in code points."""
+def _combined(passage: np.ndarray, check: np.ndarray, owner: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The first of every passage's rows, and where the joined spans of those that stand twice begin and end; rows are in the order of the texts."""
+    order = np.lexsort((check, passage))
+    new = np.ones(len(order), bool)
+    new[1:] = (passage[order[1:]] != passage[order[:-1]]) | (check[order[1:]] != check[order[:-1]])
+    counts = np.diff(np.append(np.flatnonzero(new), len(order)))
+    met = np.empty(len(order), bool)
+    met[order] = np.repeat(counts > 1, counts)
+    at = np.flatnonzero(met)
+    opens = np.ones(len(at), bool)
+    opens[1:] = (owner[at[1:]] != owner[at[:-1]]) | (start[at[1:]] > end[at[:-1]])
+    closes = np.append(opens[1:], True)[: len(at)]
+    return np.sort(order[new]), at[opens], at[closes]
+
+
+def passages(texts: DataFrame, least: int, anchor: int, combine: bool = False) -> DataFrame:
+    """(passage, check, doc_id, digest, start, end) around the suffixes at ``places`` of every text, in code points.
+
+    With ``combine`` only the first of a block's equal passages has a row. What stands twice in the block is found
+    by that, whatever the others hold: its joined spans are rows without a passage.
+    """
 
     def work(block: pa.RecordBatch) -> list:
         words, starts, lowest, _ = _windows(block.column("text"), least, anchor)
@@ -274,18 +293,22 @@ def passages(texts: DataFrame, least: int, anchor: int) -> DataFrame:
         owner = np.searchsorted(words.first, starts, "right") - 1
         origin = points[words.texts[owner]]
         row = np.searchsorted(at, starts)
+        passage, check = hashes[row].view(np.int64), checks[row].view(np.int64)
         columns = [block.column(c).to_numpy(zero_copy_only=False)[owner] for c in ("doc_id", "digest")]
-        return [
-            hashes[row].view(np.int64), checks[row].view(np.int64), *columns,
-            points[words.starts[starts]] - origin, points[words.ends[starts + least - 1]] - origin,
-        ]
+        start, end = points[words.starts[starts]] - origin, points[words.ends[starts + least - 1]] - origin
+        if not combine:
+            return [passage, check, *columns, start, end]
+        first, opens, closes = _combined(passage, check, owner, start, end)
+        begin, without = np.append(first, opens), np.repeat([False, True], [len(first), len(opens)])
+        named = [pa.array(x[begin], mask=without) for x in (passage, check)]
+        return [*named, *(x[begin] for x in (*columns, start)), end[np.append(first, closes)]]
 
     schema = "passage bigint, check bigint, doc_id bigint, digest bigint, start bigint, end bigint"
     return blocks.map_texts(texts, work, schema, "digest", "places")
 
 
 def twice(found: DataFrame) -> DataFrame:
-    """(doc_id, digest, start, end) of the passages that stand twice or more.
+    """(doc_id, digest, start, end) of the passages that stand twice or more, and of the spans without a passage.
 
     As the suffixes, they are sorted over the whole cluster and compared with their neighbours, so a passage that many
     texts share is split over many tasks. What stands at a border of a task has its other neighbour
@@ -317,13 +340,15 @@ def twice(found: DataFrame) -> DataFrame:
             yield rows(held[:-2], held[-2], np.ones(1, bool))
 
     order = ["passage", "check", "doc_id", "digest", "start"]
-    dealt = stage(found, "passages").repartitionByRange(*order).sortWithinPartitions(*order)
+    found = stage(found, "passages")
+    dealt = found.filter("passage is not null").repartitionByRange(*order).sortWithinPartitions(*order)
     schema = ", ".join(f"{name} bigint" for name in names)
     compared = stage(dealt.mapInArrow(run, f"{schema}, met boolean, edge boolean"), "compared")
     key = order[:2]
     many = compared.filter("edge").groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1").select(*key)
     settled = compared.filter("edge and not met").join(F.broadcast(many), key, "left_semi").select(*names)
-    return compared.filter("met").select(*names).unionByName(settled).select("doc_id", "digest", "start", "end")
+    every = compared.filter("met").select(*names).unionByName(settled).unionByName(found.filter("passage is null"))
+    return every.select("doc_id", "digest", "start", "end")
 
 
 def _copies(docs: DataFrame) -> DataFrame:
@@ -372,7 +397,7 @@ def repeated_spans(
     found = runs(contexts(at(some), least, anchor), least, anchor)
     if not few:
         crowded = listed.filter(F.size("crowded") > 0).select(*key, F.col("crowded").alias("places"))
-        found = found.unionByName(twice(passages(at(crowded), least, anchor)))
+        found = found.unionByName(twice(passages(at(crowded), least, anchor, combine=True)))
     alone = found.join(whole, ["doc_id", "digest"], "left_anti")
 
     by_start = Window.partitionBy("doc_id", "digest").orderBy("start")

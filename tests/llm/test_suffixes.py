@@ -162,3 +162,34 @@ def test_passages_of_near_copies_grow_with_the_copies_alone(spark):
         return read.join(met.agg(F.collect_set("place").alias("places")), ["doc_id", "digest"])
 
     assert 0 < 2 * rows(200) == rows(400)
+
+
+def test_equal_passages_of_a_block_are_combined(spark):
+    """Four times the near copies of a passage in as many blocks: no more passages are sorted but those of the edits, and the same spans are found."""
+    passage = [f"p{i}" for i in range(120)]
+
+    def texts(n):
+        rows = [(k, " ".join([f"only{k}", *passage[: 50 + k % 3], *([f"edit{k}"] if k % 3 else []), *passage[50 + k % 3 :]])) for k in range(n)]
+        read = docs(spark, rows).select("doc_id", "text", suffixes.digest())
+        met = suffixes.retained(read, 50, 25).groupBy("doc_id", "digest")
+        return read.join(met.agg(F.collect_set("place").alias("places")), ["doc_id", "digest"]).repartition(2, "doc_id").cache()
+
+    def joined(found):
+        spans = {}
+        for doc, _, start, end in sorted(map(tuple, found.collect())):
+            own = spans.setdefault(doc, [])
+            if own and start <= own[-1][1]:
+                own[-1][1] = max(own[-1][1], end)
+            else:
+                own.append([start, end])
+        return spans
+
+    made = {}
+    for n in (100, 400):
+        table = texts(n)
+        combined = suffixes.passages(table, 50, 25, combine=True).cache()
+        every = suffixes.passages(table, 50, 25)
+        made[n] = every.count(), combined.filter("passage is not null").groupBy("passage", "check").count().filter("count > 1").agg(F.max("count")).first()[0]
+        assert combined.count() < every.count()
+        assert joined(suffixes.twice(combined)) == joined(suffixes.twice(every)) != {}
+    assert made[400][0] > 3.9 * made[100][0] and made[400][1] == made[100][1] == 2  # one row of a block

@@ -156,7 +156,8 @@ def _by_category(star: Star, *keys: str, orders: bool = False) -> DataFrame:
     tasks = categories.count() // PRODUCTS_PER_TASK
     more = [tasks] if tasks > int(categories.sparkSession.conf.get("spark.sql.shuffle.partitions")) else []
     dealt = star.sales.withColumn("share", F.pmod(F.hash(*keys), F.lit(SHARES))).repartition(*more, "product_id", "share")
-    in_shares = categories.withColumn("share", F.explode(F.array(*map(F.lit, range(SHARES)))))
+    # sorted, not broadcast: Spark takes a row for each product, where there are SHARES of them, and would pass them through the driver
+    in_shares = categories.withColumn("share", F.explode(F.array(*map(F.lit, range(SHARES))))).hint("merge")
     by_product = _folded(dealt, *keys, "product_id", "share", orders=orders).join(in_shares, ["product_id", "share"])
     word = [distinct.WORD] if orders else []
     return by_product.groupBy(*keys, "product_category", *word).agg(*again, *([distinct.united()] if orders else []))
